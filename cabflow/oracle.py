@@ -218,5 +218,89 @@ FROM valid_trips
 }
 
 
+def _with(body: str, **ctes: str) -> str:
+    """Extra CTEs after the prelude's, then the final SELECT."""
+    extra = "".join(f", {name} AS ({sql})\n" for name, sql in ctes.items())
+    return extra + body
+
+
+def _pivot(value: str) -> str:
+    return _with(
+        f"""SELECT file_year,
+  max(CASE WHEN taxi_type = 'green' THEN {value} END) AS green,
+  max(CASE WHEN taxi_type = 'yellow' THEN {value} END) AS yellow
+FROM yearly GROUP BY file_year""",
+        yearly=YEARLY_RAW,
+    )
+
+
+TOTALS = SQL["totals"]
+MILLION = "CAST(1000000 AS DOUBLE)"
+
+SQL.update(
+    {
+        "pivot_avg_total": _pivot("avg_total_usd"),
+        "pivot_avg_distance": _pivot("avg_distance_miles"),
+        "yellow_green_ratio": _with(
+            """SELECT file_year, y AS yellow_trips, g AS green_trips,
+  CASE WHEN g IS NOT NULL THEN y / greatest(g, 1) END AS ratio
+FROM (SELECT file_year,
+        max(CASE WHEN taxi_type = 'yellow' THEN trips END) AS y,
+        max(CASE WHEN taxi_type = 'green' THEN trips END) AS g
+      FROM yearly GROUP BY file_year)""",
+            yearly=YEARLY_RAW,
+        ),
+        "card_cash_share": _with(
+            """SELECT taxi_type, CAST(card AS BIGINT) AS card_trips, CAST(cash AS BIGINT) AS cash_trips,
+  CASE WHEN card + cash > 0 THEN card / (card + cash) * 100.0 END AS card_pct,
+  CASE WHEN card + cash > 0 THEN cash / (card + cash) * 100.0 END AS cash_pct
+FROM (SELECT taxi_type,
+        coalesce(sum(CASE WHEN payment_type = 1 THEN trips END), 0) AS card,
+        coalesce(sum(CASE WHEN payment_type = 2 THEN trips END), 0) AS cash
+      FROM pay WHERE payment_type IN (1, 2) GROUP BY taxi_type)""",
+            pay=PAYMENT,
+        ),
+        "monthly_series": _with(
+            f"""SELECT CAST(make_date(file_year, file_month, 1) AS TIMESTAMP) AS period, taxi_type, trips,
+  trips / {MILLION} AS trips_millions FROM monthly""",
+            monthly=MONTHLY_RAW,
+        ),
+        "hourly_series": _with(
+            f"SELECT taxi_type, pickup_hour, trips / {MILLION} AS trips_millions FROM hourly", hourly=HOURLY
+        ),
+        "quantile_panel": SQL["quantiles"],
+        "skew_check": f"""
+SELECT taxi_type,
+  {rnd('quantile_cont(trip_distance, 0.5)', 8)} AS distance_p50,
+  {rnd('quantile_cont(trip_distance, 0.99)', 8)} AS distance_p99,
+  {xmean('trip_distance')} AS mean_distance,
+  {xmean('trip_distance')} > quantile_cont(trip_distance, 0.5) AS mean_above_median
+FROM valid_trips GROUP BY taxi_type
+""",
+        "kpi_cards": _with(
+            f"""SELECT trips, {rnd('revenue / CAST(1000000000 AS DOUBLE)', 2)} AS revenue_billions,
+  {rnd('avg_total', 2)} AS avg_total, {rnd('avg_distance', 2)} AS avg_distance,
+  {rnd('avg_duration', 1)} AS avg_duration, {rnd('tip_pct', 1)} AS tip_pct FROM tot""",
+            tot=TOTALS,
+        ),
+        "busiest_month": _with(
+            """SELECT file_year, file_month, taxi_type, trips FROM monthly
+ORDER BY trips DESC, file_year, file_month, taxi_type LIMIT 1""",
+            monthly=MONTHLY_RAW,
+        ),
+        "top_hour": _with("SELECT * FROM hourly ORDER BY trips DESC, taxi_type, pickup_hour LIMIT 1", hourly=HOURLY),
+        "bench_count": "SELECT COUNT(*) AS rows FROM trips",
+        "bench_summary": f"""
+SELECT taxi_type, COUNT(*) AS trips, {xmean('trip_distance')} AS avg_distance,
+  {xmean('total_amount')} AS avg_total FROM trips GROUP BY taxi_type
+""",
+        "bench_monthly": f"""
+SELECT {Y}, {M}, taxi_type, COUNT(*) AS trips, {xsum('total_amount')} AS revenue
+FROM trips GROUP BY ALL
+""",
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _q(v) for k, v in SQL.items()}

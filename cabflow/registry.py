@@ -15,6 +15,7 @@ from cabflow.functions.columns import sql_round
 from cabflow.operators import indicators as ind
 from cabflow.operators import quality as qual
 from cabflow.operators import quantiles as qnt
+from cabflow.operators import reshape as rs
 from cabflow.operators.normalize import rejected_trips, valid_trips
 from cabflow.sources.fixture import fixture_trips
 
@@ -59,6 +60,22 @@ def _quantiles_list_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("taxi_type", *cols)
 
 
+def _round8(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[sql_round(c, 8).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _yearly_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ind.yearly_indicators_raw(_valid(spark, sf_dir))
+
+
+def _skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round8(rs.skew_check(_valid(spark, sf_dir)), ["distance_p50", "distance_p99"])
+
+
+def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rs.quantile_panel(_quantiles_8(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "valid_trips": _on_valid(lambda v: v),
     "rejected_trips": _rejected,
@@ -78,4 +95,20 @@ QUERIES: dict[str, Query] = {
     "totals": _on_valid(ind.totals),
     "quantiles": _quantiles_8,
     "quantiles_list": _quantiles_list_flat,
+    "pivot_avg_total": lambda s, d: rs.pivot_by_taxi(_yearly_raw(s, d), "avg_total_usd"),
+    "pivot_avg_distance": lambda s, d: rs.pivot_by_taxi(_yearly_raw(s, d), "avg_distance_miles"),
+    "yellow_green_ratio": lambda s, d: rs.yellow_green_ratio(_yearly_raw(s, d)),
+    "card_cash_share": _on_valid(lambda v: rs.card_cash_share(ind.payment_mix(v))),
+    "monthly_series": _on_valid(lambda v: rs.monthly_series(ind.monthly_indicators(v))),
+    "hourly_series": _on_valid(lambda v: rs.hourly_series(ind.pickup_hour(v))),
+    "quantile_panel": _panel,
+    "skew_check": _skew,
+    "kpi_cards": _on_valid(lambda v: rs.kpi_cards(ind.totals(v))),
+    "busiest_month": _on_valid(lambda v: rs.busiest_month(ind.monthly_indicators(v))),
+    "top_hour": _on_valid(lambda v: rs.top_hour(ind.pickup_hour(v))),
+    "sample_rows": _on_trips(rs.sample_rows),
+    "describe_trips": lambda s, d: rs.describe(s, _trips(s, d)),
+    "bench_count": _on_trips(ind.bench_count),
+    "bench_summary": _on_trips(ind.bench_summary),
+    "bench_monthly": _on_trips(ind.bench_monthly),
 }
