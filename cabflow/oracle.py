@@ -302,5 +302,52 @@ FROM trips GROUP BY ALL
 )
 
 
+# The file lake omits the two fee columns in its first year.
+LAKE = f"""SELECT {TRIP_COLUMNS.replace('airport_fee, ehail_fee', "CASE WHEN file_year = 1996 THEN NULL ELSE airport_fee END AS airport_fee, CASE WHEN file_year = 1996 THEN NULL ELSE ehail_fee END AS ehail_fee")} FROM trips"""
+LAKE_VALID = f"""SELECT {TRIP_COLUMNS.replace('airport_fee, ehail_fee', "CASE WHEN file_year = 1996 THEN NULL ELSE airport_fee END AS airport_fee, CASE WHEN file_year = 1996 THEN NULL ELSE ehail_fee END AS ehail_fee")}, duration_minutes FROM valid_trips"""
+CALENDAR = """SELECT f.taxi_type, CAST(y.year AS BIGINT) AS year, CAST(m.month AS BIGINT) AS month,
+  printf('%s_tripdata_%04d-%02d.parquet', f.taxi_type, y.year, m.month) AS file
+FROM (SELECT unnest(range(min(file_year), max(file_year) + 1)) AS year FROM trips) y,
+     (SELECT unnest(['yellow', 'green']) AS taxi_type) f,
+     (SELECT unnest(range(1, 13)) AS month) m"""
+
+SQL.update(
+    {
+        "scan_feed": "SELECT taxi_type, filename, COUNT(*) AS rows FROM trips WHERE taxi_type = 'yellow' GROUP BY ALL",
+        "scan_evolving_schema": LAKE,
+        "scan_filename": "SELECT DISTINCT taxi_type, filename FROM trips",
+        "scan_file_period": "SELECT DISTINCT filename, CAST(file_year AS BIGINT) AS file_year, CAST(file_month AS BIGINT) AS file_month FROM trips",
+        "scan_scoped_years": f"SELECT * FROM ({LAKE}) WHERE file_year IN (1996, 1997)",
+        "scan_mixed_feeds": "SELECT taxi_type, filename, COUNT(*) AS rows FROM trips GROUP BY ALL",
+        "file_row_counts": "SELECT taxi_type, CAST(file_year AS BIGINT) AS year, COUNT(DISTINCT filename) AS files, COUNT(*) AS rows FROM trips GROUP BY ALL",
+        "normalize_yellow": f"SELECT * FROM ({LAKE}) WHERE taxi_type = 'yellow'",
+        "normalize_green": f"SELECT * FROM ({LAKE}) WHERE taxi_type = 'green'",
+        "union_by_name": LAKE,
+        "view_trips": LAKE,
+        "view_valid_trips": LAKE_VALID,
+        "materialize_trips": "SELECT CAST(file_year AS BIGINT) AS file_year, taxi_type, COUNT(*) AS rows FROM trips GROUP BY ALL",
+        "materialized_lookup": f"SELECT * FROM ({LAKE}) WHERE file_year IN (1997) AND taxi_type = 'green'",
+        "filter_year_in": f"SELECT * FROM ({LAKE}) WHERE file_year IN (1996, 1997)",
+        "bench_count_table": SQL["bench_count"],
+        "bench_summary_table": SQL["bench_summary"],
+        "bench_monthly_table": SQL["bench_monthly"],
+        "sink_csv": YEARLY,
+        "sink_json": YEARLY_RAW,
+        "ingest_calendar": CALENDAR,
+        "ingest_missing_months": f"SELECT * FROM ({CALENDAR}) c WHERE c.file NOT IN (SELECT DISTINCT filename FROM trips)",
+        "ingest_incremental": SQL["coverage"],
+        "reconcile_counts": _with(
+            """SELECT 'coverage_vs_files' AS "check", taxi_type, CAST(file_year AS BIGINT) AS file_year,
+  rows AS "left", rows AS "right", true AS ok FROM cov
+UNION ALL
+SELECT 'monthly_vs_yearly', taxi_type, CAST(file_year AS BIGINT), COUNT(*), COUNT(*), true FROM valid_trips GROUP BY ALL
+UNION ALL
+SELECT 'payment_vs_hourly', taxi_type, NULL, COUNT(*), COUNT(*), true FROM valid_trips GROUP BY taxi_type""",
+            cov="SELECT taxi_type, file_year, COUNT(*) AS rows FROM trips GROUP BY ALL",
+        ),
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _q(v) for k, v in SQL.items()}

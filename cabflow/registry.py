@@ -17,7 +17,18 @@ from cabflow.operators import quality as qual
 from cabflow.operators import quantiles as qnt
 from cabflow.operators import reshape as rs
 from cabflow.operators.normalize import rejected_trips, valid_trips
-from cabflow.sources.fixture import fixture_trips
+from cabflow.operators.reconcile import reconcile_counts
+from cabflow.plans import ingest as ing
+from cabflow.plans.materialize import materialize, read_materialized
+from cabflow.plans.sinks import export_csv, export_json, read_csv, read_json
+from cabflow.plans.views import register_views
+from cabflow.session import glob_paths, work_dir
+from cabflow.sources import lake
+from cabflow.sources.fixture import FIXTURE_YEARS, fixture_trips
+from cabflow.sources.footers import manifest
+from cabflow.sources.testlake import fixture_lake
+from cabflow.functions.columns import basename, feed_of
+from cabflow.streaming.incremental import ingest_incremental, read_ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,3 +123,161 @@ QUERIES: dict[str, Query] = {
     "bench_summary": _on_trips(ind.bench_summary),
     "bench_monthly": _on_trips(ind.bench_monthly),
 }
+
+
+# --- file layer: a drifted monthly-file lake that Spark writes from lineitem ----
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> str:
+    return fixture_lake(spark, sf_dir)
+
+
+def _base(df: DataFrame) -> DataFrame:
+    """Relation with the file column reduced to its base name (paths differ per machine)."""
+    return df.withColumn("filename", basename("filename"))
+
+
+def _lake_trips(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None) -> DataFrame:
+    return lake.read_trips(spark, _lake(spark, sf_dir), years)
+
+
+def _scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = lake.feed_paths(spark, _lake(spark, sf_dir), "yellow")
+    files = spark.read.parquet(*paths).select(basename(F.col("_metadata.file_path")).alias("filename"))
+    return files.groupBy(F.lit("yellow").alias("taxi_type"), "filename").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _scan_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = lake.read_all(spark, _lake(spark, sf_dir))
+    return files.groupBy(feed_of("filename").alias("taxi_type"), basename("filename").alias("filename")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+def _views(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    register_views(spark, _lake_trips(spark, sf_dir))
+    return _base(spark.table(name))
+
+
+def _table_path(spark: SparkSession, sf_dir: str) -> str:
+    root = _lake(spark, sf_dir)
+    return work_dir(spark, f"tables/{root.rstrip('/').rsplit('/', 1)[1]}/trips_materialized")
+
+
+def _table(spark: SparkSession, sf_dir: str) -> str:
+    path = _table_path(spark, sf_dir)
+    if not glob_paths(spark, f"{path}/_SUCCESS"):
+        materialize(_lake_trips(spark, sf_dir), path)
+    return path
+
+
+def _materialize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = materialize(_lake_trips(spark, sf_dir), _table_path(spark, sf_dir))
+    t = read_materialized(spark, path)
+    return t.groupBy(F.col("file_year").cast("long").alias("file_year"), "taxi_type").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+def _materialized(spark: SparkSession, sf_dir: str, years=None, taxi=None) -> DataFrame:
+    return read_materialized(spark, _table(spark, sf_dir), years, taxi)
+
+
+def _export_dir(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    return work_dir(spark, f"exports/{uuid.uuid4().hex}/{name}")
+
+
+def _sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = ind.yearly_indicators(_valid(spark, sf_dir))
+    return read_csv(spark, export_csv(df, _export_dir(spark, "yearly_indicators.csv")), df.schema)
+
+
+def _sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = ind.yearly_indicators_raw(_valid(spark, sf_dir))
+    return read_json(spark, export_json(df, _export_dir(spark, "yearly_indicators_raw.json")), df.schema)
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(spark, _lake(spark, sf_dir)).drop("path", "signature")
+
+
+def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    years = ing.year_span(_trips(spark, sf_dir), "file_year")
+    return ing.calendar(years).select("taxi_type", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), "file")
+
+
+def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = manifest(spark, _lake(spark, sf_dir))
+    return ing.missing_months(_calendar(spark, sf_dir), m)
+
+
+def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = manifest(spark, _lake(spark, sf_dir))
+    return ing.status_summary(ing.calendar(ing.year_span(m, "year")), m)
+
+
+def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _lake(spark, sf_dir)
+    tag = root.rstrip("/").rsplit("/", 1)[1]
+    table = work_dir(spark, f"ingest/{tag}/table")
+    ingest_incremental(spark, root, table, work_dir(spark, f"ingest/{tag}/checkpoint"))
+    from cabflow.operators.quality import coverage
+
+    return coverage(read_ingested(spark, table))
+
+
+def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _lake_trips(spark, sf_dir)
+    v = valid_trips(trips)
+    return reconcile_counts(
+        qual.coverage(trips),
+        qual.file_row_counts(lake.read_all(spark, _lake(spark, sf_dir))),
+        ind.monthly_volume(v),
+        ind.yearly_indicators_raw(v),
+        ind.payment_mix(v),
+        ind.pickup_hour(v),
+    )
+
+
+ALL_YEARS = FIXTURE_YEARS
+
+QUERIES.update(
+    {
+        "scan_feed": _scan_feed,
+        "scan_evolving_schema": lambda s, d: _base(_lake_trips(s, d)),
+        "scan_filename": lambda s, d: _base(_lake_trips(s, d)).select("taxi_type", "filename").distinct(),
+        "scan_file_period": lambda s, d: _base(_lake_trips(s, d))
+        .select("filename", F.col("file_year").cast("long"), F.col("file_month").cast("long"))
+        .distinct(),
+        "scan_scoped_years": lambda s, d: _base(_lake_trips(s, d, (1996, 1997))),
+        "scan_mixed_feeds": _scan_mixed,
+        "file_row_counts": lambda s, d: qual.file_row_counts(lake.read_all(s, _lake(s, d))),
+        "normalize_yellow": lambda s, d: _base(lake.read_feed(s, _lake(s, d), "yellow")),
+        "normalize_green": lambda s, d: _base(lake.read_feed(s, _lake(s, d), "green")),
+        "union_by_name": lambda s, d: _base(_lake_trips(s, d)),
+        "view_trips": lambda s, d: _views(s, d, "trips"),
+        "view_valid_trips": lambda s, d: _views(s, d, "valid_trips"),
+        "materialize_trips": _materialize_counts,
+        "materialized_lookup": lambda s, d: _base(_materialized(s, d, (1997,), "green")),
+        "filter_year_in": lambda s, d: _base(_materialized(s, d, (1996, 1997))),
+        "bench_count": lambda s, d: ind.bench_count(_lake_trips(s, d, ALL_YEARS)),
+        "bench_summary": lambda s, d: ind.bench_summary(_lake_trips(s, d, ALL_YEARS)),
+        "bench_monthly": lambda s, d: ind.bench_monthly(_lake_trips(s, d, ALL_YEARS)),
+        "bench_count_table": lambda s, d: ind.bench_count(_materialized(s, d, ALL_YEARS)),
+        "bench_summary_table": lambda s, d: ind.bench_summary(_materialized(s, d, ALL_YEARS)),
+        "bench_monthly_table": lambda s, d: ind.bench_monthly(_materialized(s, d, ALL_YEARS)),
+        "sink_csv": _sink_csv,
+        "sink_json": _sink_json,
+        "ingest_calendar": _calendar,
+        "ingest_missing_months": _missing,
+        "ingest_status_summary": _status,
+        "ingest_manifest": _manifest,
+        "ingest_integrity": lambda s, d: _manifest(s, d).select("taxi_type", "year", "file", "bytes", "valid_parquet"),
+        "ingest_gate": lambda s, d: ing.gate(_manifest(s, d)),
+        "schema_drift": lambda s, d: ing.schema_drift(manifest(s, _lake(s, d))),
+        "ingest_incremental": _ingest,
+        "reconcile_counts": _reconcile,
+    }
+)

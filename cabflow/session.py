@@ -37,14 +37,24 @@ def work_dir(spark: SparkSession, sub: str = "") -> str:
     Only when the session names none (a bare local test) is a fresh scratch
     folder created and registered as the checkpoint dir.
     """
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="cabflow-")
         spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    base = base.rstrip("/") + "/cabflow"
     return f"{base}/{sub}" if sub else base
 
 
+def file_identity(spark: SparkSession, path: str) -> str:
+    """``<length>-<mtime>`` of a file, to key derived data on its exact input."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    return f"{st.getLen()}-{st.getModificationTime()}"
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme so Python-side helpers can open local paths."""
     if uri.startswith("file://"):
