@@ -10,7 +10,7 @@ sum / non-NULL count, so results are identical on every rerun and layout.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabflow.functions.columns import (
@@ -23,14 +23,21 @@ from cabflow.functions.columns import (
     sql_round,
 )
 
-_YEAR = F.col("file_year").cast("long").alias("file_year")
-_MONTH = F.col("file_month").cast("long").alias("file_month")
-_TRIPS = F.count(F.lit(1)).alias("trips")
+def _year() -> Column:
+    return F.col("file_year").cast("long").alias("file_year")
+
+
+def _month() -> Column:
+    return F.col("file_month").cast("long").alias("file_month")
+
+
+def _trips() -> Column:
+    return F.count(F.lit(1)).alias("trips")
 
 
 def monthly_eda(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, _MONTH, "taxi_type").agg(
-        _TRIPS,
+    return valid.groupBy(_year(), _month(), "taxi_type").agg(
+        _trips(),
         sql_round(exact_mean("trip_distance")).alias("avg_distance_miles"),
         sql_round(int_mean("duration_minutes")).alias("avg_duration_minutes"),
         sql_round(exact_mean("total_amount")).alias("avg_total_usd"),
@@ -38,8 +45,8 @@ def monthly_eda(valid: DataFrame) -> DataFrame:
 
 
 def monthly_indicators(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, _MONTH, "taxi_type").agg(
-        _TRIPS,
+    return valid.groupBy(_year(), _month(), "taxi_type").agg(
+        _trips(),
         exact_mean("trip_distance").alias("avg_distance_miles"),
         int_mean("duration_minutes").alias("avg_duration_minutes"),
         exact_mean("total_amount").alias("avg_total_usd"),
@@ -48,7 +55,7 @@ def monthly_indicators(valid: DataFrame) -> DataFrame:
 
 
 def monthly_volume(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, _MONTH, "taxi_type").agg(_TRIPS)
+    return valid.groupBy(_year(), _month(), "taxi_type").agg(_trips())
 
 
 def _yearly_aggs(rounded: bool) -> list:
@@ -57,7 +64,7 @@ def _yearly_aggs(rounded: bool) -> list:
     # summation order; the unrounded export fixes it at 8 decimals.
     tip = F.avg(card_tip_pct_value())
     return [
-        _TRIPS,
+        _trips(),
         r(exact_sum("total_amount")).alias("revenue_usd"),
         r(exact_mean("total_amount")).alias("avg_total_usd"),
         r(exact_mean("trip_distance")).alias("avg_distance_miles"),
@@ -68,34 +75,34 @@ def _yearly_aggs(rounded: bool) -> list:
 
 
 def yearly_indicators(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, "taxi_type").agg(*_yearly_aggs(rounded=True))
+    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(rounded=True))
 
 
 def yearly_indicators_raw(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, "taxi_type").agg(*_yearly_aggs(rounded=False))
+    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(rounded=False))
 
 
 def yearly_notebook(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, "taxi_type").agg(
-        _TRIPS,
+    return valid.groupBy(_year(), "taxi_type").agg(
+        _trips(),
         sql_round(exact_mean("total_amount")).alias("avg_total"),
         sql_round(exact_mean("trip_distance")).alias("avg_distance"),
     )
 
 
 def card_tip_pct(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, "taxi_type").agg(sql_round(F.avg(card_tip_pct_value())).alias("avg_card_tip_pct"))
+    return valid.groupBy(_year(), "taxi_type").agg(sql_round(F.avg(card_tip_pct_value())).alias("avg_card_tip_pct"))
 
 
 def weekend_share(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_YEAR, "taxi_type").agg(
+    return valid.groupBy(_year(), "taxi_type").agg(
         sql_round(share_pct(is_weekend("pickup_datetime"))).alias("weekend_share_pct")
     )
 
 
 def payment_mix(valid: DataFrame) -> DataFrame:
     """Trips per taxi and payment type; a NULL payment type is its own group."""
-    return valid.groupBy("taxi_type", "payment_type").agg(_TRIPS)
+    return valid.groupBy("taxi_type", "payment_type").agg(_trips())
 
 
 def payment_share(valid: DataFrame) -> DataFrame:
@@ -113,13 +120,13 @@ def payment_share(valid: DataFrame) -> DataFrame:
 
 
 def pickup_hour(valid: DataFrame) -> DataFrame:
-    return valid.groupBy("taxi_type", F.hour("pickup_datetime").cast("long").alias("pickup_hour")).agg(_TRIPS)
+    return valid.groupBy("taxi_type", F.hour("pickup_datetime").cast("long").alias("pickup_hour")).agg(_trips())
 
 
 def totals(valid: DataFrame) -> DataFrame:
     """One global row: the dashboard's KPI inputs."""
     return valid.agg(
-        _TRIPS,
+        _trips(),
         exact_sum("total_amount").alias("revenue"),
         exact_mean("total_amount").alias("avg_total"),
         exact_mean("trip_distance").alias("avg_distance"),
@@ -137,7 +144,7 @@ def bench_count(trips: DataFrame) -> DataFrame:
 
 def bench_summary(trips: DataFrame) -> DataFrame:
     return trips.groupBy("taxi_type").agg(
-        _TRIPS,
+        _trips(),
         exact_mean("trip_distance").alias("avg_distance"),
         exact_mean("total_amount").alias("avg_total"),
     )
@@ -145,7 +152,7 @@ def bench_summary(trips: DataFrame) -> DataFrame:
 
 def bench_monthly(trips: DataFrame) -> DataFrame:
     return (
-        trips.groupBy(_YEAR, _MONTH, "taxi_type")
-        .agg(_TRIPS, exact_sum("total_amount").alias("revenue"))
+        trips.groupBy(_year(), _month(), "taxi_type")
+        .agg(_trips(), exact_sum("total_amount").alias("revenue"))
         .orderBy("file_year", "file_month", "taxi_type")
     )

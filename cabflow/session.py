@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -83,5 +84,25 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in found if s.isFile())
 
 
+_STATUS = re.compile(r"path=(.*?); isDirectory=(true|false); length=(\d+);.*?modification_time=(\d+)")
+
+
+def glob_status(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
+    """Like ``glob_paths`` but with (length, modification time) per file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(p)
+    if found is None:
+        return []
+    out = []
+    for st in found:
+        # One round trip per file: FileStatus.toString carries path, kind, length and mtime.
+        m = _STATUS.search(str(st.toString()))
+        if m and m.group(2) == "false":
+            out.append((m.group(1), int(m.group(3)), int(m.group(4))))
+    return sorted(out)
+
+
 def env_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))

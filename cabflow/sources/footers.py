@@ -49,6 +49,7 @@ def _open(path: str):
 
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import from_arrow_schema
 
     for pdf in batches:
         out = []
@@ -68,7 +69,8 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         rows = pf.metadata.num_rows
                         ncols = len(schema)
                         names = list(schema.names)
-                        sig = "|".join(f"{fld.name.lower()}:{fld.type}" for fld in schema)
+                        # The Spark read schema of this file doubles as its group key.
+                        sig = from_arrow_schema(schema, prefer_timestamp_ntz=True).json()
             except OSError:
                 valid = False
             out.append((path, length, valid, rows, ncols, names, sig))

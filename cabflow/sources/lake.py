@@ -10,26 +10,36 @@ canonical columns with casts, and the groups are unioned by name.
 
 from __future__ import annotations
 
+import json
+from collections import OrderedDict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cabflow.operators.normalize import normalize_feed, union_feeds
-from cabflow.session import glob_paths
+from cabflow.operators.normalize import META_PATH, normalize_feed, union_feeds
+from cabflow.session import glob_status
 from cabflow.sources.footers import footers, list_paths
 from cabflow.sources.schema import FEEDS
 
 
-def feed_paths(spark: SparkSession, root: str, feed: str, years: tuple[int, ...] | None = None) -> list[str]:
-    """Files of one feed: the two-level wildcard, or only the listed year folders."""
+def feed_files(
+    spark: SparkSession, root: str, feed: str, years: tuple[int, ...] | None = None
+) -> list[tuple[str, int, int]]:
+    """(path, length, mtime) of one feed's files: the two-level wildcard, or only the listed years."""
     root = root.rstrip("/")
     if years is None:
-        return glob_paths(spark, f"{root}/{feed}/*/*.parquet")
-    paths: list[str] = []
+        return glob_status(spark, f"{root}/{feed}/*/*.parquet")
+    files: list[tuple[str, int, int]] = []
     for y in years:
-        paths.extend(glob_paths(spark, f"{root}/{feed}/{y}/*.parquet"))
-    if not paths:
+        files.extend(glob_status(spark, f"{root}/{feed}/{y}/*.parquet"))
+    if not files:
         raise FileNotFoundError(f"no Parquet files of feed {feed!r} for years {tuple(years)} under {root}")
-    return paths
+    return files
+
+
+def feed_paths(spark: SparkSession, root: str, feed: str, years: tuple[int, ...] | None = None) -> list[str]:
+    return [f[0] for f in feed_files(spark, root, feed, years)]
 
 
 def require_feeds(spark: SparkSession, root: str) -> None:
@@ -39,31 +49,118 @@ def require_feeds(spark: SparkSession, root: str) -> None:
             raise FileNotFoundError(f"no Parquet files of feed {feed!r} under {root}")
 
 
-def schema_groups(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+# (path, length, mtime) -> footer signature, for files whose footers were already read.
+_SIGNATURES: dict[tuple[str, int, int], str] = {}
+
+
+def schema_groups(spark: SparkSession, paths: list[str], files: list[tuple[str, int, int]] | None = None) -> dict[str, list[str]]:
     """Footer signature -> files. The footers are read by executors; only one
-    short (signature, path) pair per file comes back to plan the reads."""
-    rows = footers(list_paths(spark, paths)).select("signature", "path", "valid_parquet").collect()
-    bad = [r.path for r in rows if not r.valid_parquet]
-    if bad:
-        raise ValueError(f"invalid Parquet files: {', '.join(sorted(bad))}")
-    groups: dict[str, list[str]] = {}
-    for r in rows:
-        groups.setdefault(r.signature, []).append(r.path)
-    return {k: sorted(v) for k, v in sorted(groups.items())}
+    short (signature, path) pair per file comes back to plan the reads.
+
+    With ``files`` (path, length, mtime) given, footers already read for an
+    unchanged file are not read again: only new or rewritten files cost a job.
+    """
+    known = {f[0]: _SIGNATURES[f] for f in (files or []) if f in _SIGNATURES}
+    todo = [p for p in paths if p not in known]
+    if todo:
+        rows = footers(list_paths(spark, todo)).select("signature", "path", "valid_parquet").collect()
+        bad = [r.path for r in rows if not r.valid_parquet]
+        if bad:
+            raise ValueError(f"invalid Parquet files: {', '.join(sorted(bad))}")
+        stamp = {f[0]: f for f in (files or [])}
+        for r in rows:
+            known[r.path] = r.signature
+            if r.path in stamp:
+                _SIGNATURES[stamp[r.path]] = r.signature
+    exact: dict[str, list[str]] = {}
+    for p in paths:
+        exact.setdefault(known[p], []).append(p)
+    return merge_compatible(exact)
+
+
+# Reads the Parquet reader performs for a requested type (probed on Spark 4.1):
+# INT32 as BIGINT or DOUBLE and FLOAT as DOUBLE work; INT64 as DOUBLE and
+# DOUBLE as BIGINT fail. A merged group requests the widest type per column.
+_WIDEN = {
+    frozenset({"integer", "long"}): "long",
+    frozenset({"integer", "double"}): "double",
+    frozenset({"float", "double"}): "double",
+    frozenset({"integer", "float"}): "double",
+}
+
+
+def _merge(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    """Superset schema reading files of both ``a`` and ``b``; None on a conflict."""
+    fields = {f.name.lower(): f for f in a.fields}
+    for f in b.fields:
+        key = f.name.lower()
+        if key not in fields:
+            fields[key] = f
+            continue
+        ta, tb = fields[key].dataType, f.dataType
+        if ta == tb:
+            continue
+        wide = _WIDEN.get(frozenset({ta.typeName(), tb.typeName()}))
+        if wide is None:
+            return None
+        fields[key] = T.StructField(fields[key].name, T.LongType() if wide == "long" else T.DoubleType(), True)
+    return T.StructType(list(fields.values()))
+
+
+def merge_compatible(exact: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Fold footer-schema groups into as few read schemas as the reader allows.
+
+    Greedy, largest group first; a group joins the first merged schema it does
+    not conflict with. Fewer groups mean fewer scan branches per query.
+    """
+    merged: list[tuple[T.StructType, list[str]]] = []
+    for sig, ps in sorted(exact.items(), key=lambda kv: (-len(kv[1]), kv[0])):
+        st = T.StructType.fromJson(json.loads(sig))
+        for i, (cur, files) in enumerate(merged):
+            both = _merge(cur, st)
+            if both is not None:
+                merged[i] = (both, files + ps)
+                break
+        else:
+            merged.append((st, list(ps)))
+    return {st.json(): sorted(ps) for st, ps in merged}
+
+
+def read_raw_group(spark: SparkSession, paths: list[str], schema: str | None = None) -> DataFrame:
+    """Files sharing one footer schema (their source path is ``_metadata.file_path``).
+
+    ``schema`` is the group's Spark schema (JSON) from the footers; passing it
+    spares Spark a schema-inference job per group and query.
+    """
+    reader = spark.read
+    if schema:
+        reader = reader.schema(T.StructType.fromJson(json.loads(schema)))
+    return reader.parquet(*paths)
 
 
-def read_raw_group(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files sharing one footer schema, with the source file as ``_file``."""
-    return spark.read.parquet(*paths).select("*", F.col("_metadata.file_path").alias("_file"))
+# (session, feed, files) -> normalised DataFrame. The key holds every file's
+# length and modification time, so an added or rewritten file means a new
+# entry; reusing the entry spares re-analysing the same plan on every query.
+_FRAMES: OrderedDict = OrderedDict()
+_MAX_FRAMES = 64
 
 
 def read_feed(spark: SparkSession, root: str, feed: str, years: tuple[int, ...] | None = None) -> DataFrame:
     """One feed, normalised to the canonical 25 columns."""
-    paths = feed_paths(spark, root, feed, years)
-    if not paths:
+    files = feed_files(spark, root, feed, years)
+    if not files:
         raise FileNotFoundError(f"no Parquet files of feed {feed!r} under {root}")
-    frames = [normalize_feed(read_raw_group(spark, ps), feed) for ps in schema_groups(spark, paths).values()]
-    return union_feeds(frames)
+    key = (id(spark._jsparkSession), feed, tuple(files))
+    if key in _FRAMES:
+        _FRAMES.move_to_end(key)
+        return _FRAMES[key]
+    groups = schema_groups(spark, [f[0] for f in files], files)
+    frames = [normalize_feed(read_raw_group(spark, ps, sig), feed, META_PATH) for sig, ps in groups.items()]
+    df = union_feeds(frames)
+    _FRAMES[key] = df
+    if len(_FRAMES) > _MAX_FRAMES:
+        _FRAMES.popitem(last=False)
+    return df
 
 
 def read_trips(spark: SparkSession, root: str, years: tuple[int, ...] | None = None) -> DataFrame:
@@ -78,7 +175,8 @@ def read_all(spark: SparkSession, root: str) -> DataFrame:
     only needs row counts (a column-less Parquet scan).
     """
     paths = [p for feed in FEEDS for p in feed_paths(spark, root, feed)]
-    return spark.read.parquet(*paths).select(F.col("_metadata.file_path").alias("filename"))
+    empty = T.StructType([])
+    return spark.read.schema(empty).parquet(*paths).select(F.col("_metadata.file_path").alias("filename"))
 
 
 def file_rows(spark: SparkSession, path: str) -> int:

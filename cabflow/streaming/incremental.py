@@ -21,7 +21,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.operators.normalize import normalize_feed, union_feeds
+from cabflow.operators.normalize import META_PATH, normalize_feed, union_feeds
 from cabflow.sources.footers import LAKE_LAYOUT
 from cabflow.sources.lake import read_raw_group, schema_groups
 from cabflow.sources.schema import CANONICAL_NAMES, FEEDS
@@ -35,7 +35,8 @@ def _write_batch(spark: SparkSession, paths: list[str], table: str) -> None:
     for feed in FEEDS:
         mine = [p for p in paths if (m := re.search(LAKE_LAYOUT, p)) and m.group(1) == feed]
         if mine:
-            frames += [normalize_feed(read_raw_group(spark, ps), feed) for ps in schema_groups(spark, mine).values()]
+            groups = schema_groups(spark, mine)
+            frames += [normalize_feed(read_raw_group(spark, ps, sig), feed, META_PATH) for sig, ps in groups.items()]
     if not frames:
         return
     (
