@@ -7,7 +7,9 @@ every distinct value in one task. Here the work is a sort-based selection:
 1. count rows per distinct (group, value) — map-side combined;
 2. range-partition those counts on (group, value): a hot group is spread
    over many slices, each a bounded, sorted run of values; the slices are
-   checkpointed so both passes below see the very same boundaries;
+   checkpointed so both passes below see the very same boundaries (when the
+   whole distinct-value table is small — counted, not guessed — each group
+   is a single slice instead);
 3. per (slice, group) totals (slices x groups rows) give each slice's
    starting rank; the ranks we need (floor/ceil of p*(n-1)) are assigned to
    the slice that holds them;
@@ -24,14 +26,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Distinct (group, value) rows one task may sort and scan when the whole
+# distinct-value table is this small (~24 bytes a row).
+SINGLE_SLICE_LIMIT = 1_000_000
+
+
 def exact_quantiles(
     df: DataFrame,
     group_cols: list[str],
     value_col: str,
     probs: list[float],
     slices: int | None = None,
+    single_slice_limit: int = SINGLE_SLICE_LIMIT,
 ) -> DataFrame:
-    """Return ``(group_cols..., prob, value)`` with the exact quantile per group."""
+    """Return ``(group_cols..., prob, value)`` with the exact quantile per group.
+
+    The distinct-value counts are checkpointed (one scan of the input) and
+    counted; only when there are more than ``single_slice_limit`` of them are
+    they range-partitioned into slices, otherwise every group is one slice,
+    whose size that count bounds.
+    """
     spark = df.sparkSession
     g = list(group_cols)
     n_slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,12 +55,16 @@ def exact_quantiles(
         .where(F.col("_v").isNotNull())
         .groupBy(*g, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranged = (
-        freq.repartitionByRange(n_slices, *g, "_v")
-        .withColumn("_slice", F.spark_partition_id())
         .checkpoint(eager=True)
     )
+    if slices is None and freq.count() <= single_slice_limit:
+        ranged = freq.withColumn("_slice", F.lit(0))
+    else:
+        ranged = (
+            freq.repartitionByRange(n_slices, *g, "_v")
+            .withColumn("_slice", F.spark_partition_id())
+            .checkpoint(eager=True)
+        )
 
     per_slice = ranged.groupBy("_slice", *g).agg(F.sum("_n").alias("_slice_n"))
     by_slice = Window.partitionBy(*g).orderBy("_slice")

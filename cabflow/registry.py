@@ -213,16 +213,43 @@ def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ing.missing_months(_calendar(spark, sf_dir), m)
 
 
+def _ingest_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    root = _lake(spark, sf_dir)
+    tag = root.rstrip("/").rsplit("/", 1)[1]
+    return root, work_dir(spark, f"ingest/{tag}/table"), work_dir(spark, f"ingest/{tag}/checkpoint")
+
+
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = manifest(spark, _lake(spark, sf_dir))
-    return ing.status_summary(ing.calendar(ing.year_span(m, "year")), m)
+    """Status of every expected month against the ingested table (the ledger), if any."""
+    root, table, _ = _ingest_paths(spark, sf_dir)
+    m = manifest(spark, root)
+    ledger = None
+    if glob_paths(spark, f"{table}/_SUCCESS"):
+        ledger = read_ingested(spark, table).select(basename("filename").alias("file"))
+    return ing.status_summary(ing.calendar(ing.year_span(m, "year")), m, ledger)
+
+
+def _bench_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cabflow.plans import benchmark as bm
+
+    return bm.run_matrix(spark, _lake(spark, sf_dir), _table(spark, sf_dir), reps=1, warmup=0)
+
+
+def _bench_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cabflow.plans import benchmark as bm
+
+    return bm.bench_stats(_bench_samples(spark, sf_dir))
+
+
+def _bench_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cabflow.plans import benchmark as bm
+
+    return bm.bench_pivot(bm.bench_stats(_bench_samples(spark, sf_dir)))
 
 
 def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _lake(spark, sf_dir)
-    tag = root.rstrip("/").rsplit("/", 1)[1]
-    table = work_dir(spark, f"ingest/{tag}/table")
-    ingest_incremental(spark, root, table, work_dir(spark, f"ingest/{tag}/checkpoint"))
+    root, table, checkpoint = _ingest_paths(spark, sf_dir)
+    ingest_incremental(spark, root, table, checkpoint)
     from cabflow.operators.quality import coverage
 
     return coverage(read_ingested(spark, table))
@@ -278,6 +305,8 @@ QUERIES.update(
         "ingest_gate": lambda s, d: ing.gate(_manifest(s, d)),
         "schema_drift": lambda s, d: ing.schema_drift(manifest(s, _lake(s, d))),
         "ingest_incremental": _ingest,
+        "bench_stats": _bench_stats,
+        "bench_pivot": _bench_pivot,
         "reconcile_counts": _reconcile,
     }
 )

@@ -105,3 +105,14 @@ def test_incremental_ingestion_is_idempotent(spark, lake_root, tmp_path):
     assert ingest_incremental(spark, src, table, ckpt) == 2
     direct = lake.read_trips(spark, src)
     assert read_ingested(spark, table).count() == direct.count()
+
+
+def test_feed_presence_and_single_file_count(spark, lake_root, tmp_path):
+    lake.require_feeds(spark, lake_root)
+    _copy_lake(lake_root, str(tmp_path), 1)
+    shutil.rmtree(tmp_path / "green")
+    with pytest.raises(FileNotFoundError):
+        lake.require_feeds(spark, str(tmp_path))
+    path = lake.feed_paths(spark, str(tmp_path), "yellow")[0]
+    rows = [r.rows for r in manifest(spark, str(tmp_path)).collect()][0]
+    assert lake.file_rows(spark, path) == rows > 0
