@@ -63,15 +63,23 @@ def schema_groups(spark: SparkSession, paths: list[str], files: list[tuple[str,
     known = {f[0]: _SIGNATURES[f] for f in (files or []) if f in _SIGNATURES}
     todo = [p for p in paths if p not in known]
     if todo:
-        rows = footers(list_paths(spark, todo)).select("signature", "path", "valid_parquet").collect()
-        bad = [r.path for r in rows if not r.valid_parquet]
+        # Grouped on the executors: each distinct schema crosses to the driver once,
+        # with the paths that carry it (which Spark's file index needs there anyway).
+        groups = (
+            footers(list_paths(spark, todo))
+            .groupBy("valid_parquet", "signature")
+            .agg(F.collect_list("path").alias("paths"))
+            .collect()
+        )
+        bad = sorted(p for g in groups if not g.valid_parquet for p in g.paths)
         if bad:
-            raise ValueError(f"invalid Parquet files: {', '.join(sorted(bad))}")
+            raise ValueError(f"invalid Parquet files: {', '.join(bad)}")
         stamp = {f[0]: f for f in (files or [])}
-        for r in rows:
-            known[r.path] = r.signature
-            if r.path in stamp:
-                _SIGNATURES[stamp[r.path]] = r.signature
+        for g in groups:
+            for p in g.paths:
+                known[p] = g.signature
+                if p in stamp:
+                    _SIGNATURES[stamp[p]] = g.signature
     exact: dict[str, list[str]] = {}
     for p in paths:
         exact.setdefault(known[p], []).append(p)
