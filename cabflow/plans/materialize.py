@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabflow.session import parquet_v2
 from cabflow.sources.schema import CANONICAL_NAMES
 
 PARTITION_COLUMNS = ("file_year", "taxi_type")
@@ -40,8 +41,15 @@ def read_materialized(
     years: tuple[int, ...] | None = None,
     taxi: str | None = None,
 ) -> DataFrame:
-    """The table in canonical column order, optionally pruned to years / one taxi type."""
-    df = spark.read.parquet(path)
+    """The table in canonical column order, optionally pruned to years / one taxi type.
+
+    Read through the V2 Parquet source: partition filters prune directories
+    and a bare ``COUNT(*)`` is answered from footers (aggregate pushdown), so
+    the count query touches no data page.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    with parquet_v2(spark):
+        df = spark.read.parquet(path)
     if years is not None:
         df = df.filter(F.col("file_year").isin(*years))
     if taxi is not None:

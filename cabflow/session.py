@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -106,3 +107,20 @@ def glob_status(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]
 
 def env_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
+
+
+@contextmanager
+def parquet_v2(spark: SparkSession):
+    """Resolve Parquet reads made inside the block with the DataSource V2 reader.
+
+    V2 scans push COUNT/MIN/MAX down to footers (with
+    ``spark.sql.parquet.aggregatePushdown``) and prune partitions as V1 does;
+    the V1 list is restored on exit, so other reads keep ``_metadata`` support.
+    """
+    key = "spark.sql.sources.useV1SourceList"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ",".join(x for x in old.split(",") if x.strip().lower() != "parquet"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
