@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabflow.functions.columns import sql_round
 from cabflow.operators import indicators as ind
@@ -143,7 +144,7 @@ def _lake_trips(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None
 
 def _scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = lake.feed_paths(spark, _lake(spark, sf_dir), "yellow")
-    files = spark.read.parquet(*paths).select(basename(F.col("_metadata.file_path")).alias("filename"))
+    files = spark.read.schema(T.StructType([])).parquet(*paths).select(basename(F.col("_metadata.file_path")).alias("filename"))
     return files.groupBy(F.lit("yellow").alias("taxi_type"), "filename").agg(F.count(F.lit(1)).alias("rows"))
 
 

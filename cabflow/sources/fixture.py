@@ -17,6 +17,14 @@ from cabflow.sources.schema import CANONICAL, CANONICAL_NAMES
 # The ship years that stand in for the three trip years.
 FIXTURE_YEARS = (1996, 1997, 1998)
 
+# The lineitem columns the stand-in reads. Declared, not inferred: no inference
+# job, and the ship date is wall-clock time whatever the session's settings.
+LINEITEM_SCHEMA = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz"
+)
+
 
 def _secs(n: Column, ts: Column) -> Column:
     return F.timestamp_add("SECOND", n.cast("long"), ts)
@@ -28,7 +36,7 @@ def lineitem_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``year(l_shipdate) IN (...)`` cannot reach the Parquet reader; the
     equivalent half-open range on ``l_shipdate`` is pushed to row groups.
     """
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = spark.read.schema(LINEITEM_SCHEMA).parquet(f"{sf_dir}/lineitem.parquet")
     lo = F.lit(f"{min(FIXTURE_YEARS)}-01-01 00:00:00").cast("timestamp_ntz")
     hi = F.lit(f"{max(FIXTURE_YEARS) + 1}-01-01 00:00:00").cast("timestamp_ntz")
     return li.filter((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi))
