@@ -6,19 +6,21 @@ relation, or a file lake Spark writes from it) over their whole extent.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.functions.columns import sql_round
+from cabflow.functions.columns import basename, feed_of, sql_round
 from cabflow.operators import indicators as ind
 from cabflow.operators import quality as qual
 from cabflow.operators import quantiles as qnt
 from cabflow.operators import reshape as rs
 from cabflow.operators.normalize import rejected_trips, valid_trips
 from cabflow.operators.reconcile import reconcile_counts
+from cabflow.plans import benchmark as bm
 from cabflow.plans import ingest as ing
 from cabflow.plans.materialize import materialize, read_materialized
 from cabflow.plans.sinks import export_csv, export_json, read_csv, read_json
@@ -28,7 +30,6 @@ from cabflow.sources import lake
 from cabflow.sources.fixture import FIXTURE_YEARS, fixture_trips
 from cabflow.sources.footers import manifest
 from cabflow.sources.testlake import fixture_lake
-from cabflow.functions.columns import basename, feed_of
 from cabflow.streaming.incremental import ingest_incremental, read_ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,9 +121,6 @@ QUERIES: dict[str, Query] = {
     "top_hour": _on_valid(lambda v: rs.top_hour(ind.pickup_hour(v))),
     "sample_rows": _on_trips(rs.sample_rows),
     "describe_trips": lambda s, d: rs.describe(s, _trips(s, d)),
-    "bench_count": _on_trips(ind.bench_count),
-    "bench_summary": _on_trips(ind.bench_summary),
-    "bench_monthly": _on_trips(ind.bench_monthly),
 }
 
 
@@ -144,7 +142,8 @@ def _lake_trips(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None
 
 def _scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = lake.feed_paths(spark, _lake(spark, sf_dir), "yellow")
-    files = spark.read.schema(T.StructType([])).parquet(*paths).select(basename(F.col("_metadata.file_path")).alias("filename"))
+    no_columns = T.StructType([])
+    files = spark.read.schema(no_columns).parquet(*paths).select(basename(F.col("_metadata.file_path")).alias("filename"))
     return files.groupBy(F.lit("yellow").alias("taxi_type"), "filename").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -185,8 +184,6 @@ def _materialized(spark: SparkSession, sf_dir: str, years=None, taxi=None) -> Da
 
 
 def _export_dir(spark: SparkSession, name: str) -> str:
-    import uuid
-
     return work_dir(spark, f"exports/{uuid.uuid4().hex}/{name}")
 
 
@@ -206,7 +203,9 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = ing.year_span(_trips(spark, sf_dir), "file_year")
-    return ing.calendar(years).select("taxi_type", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), "file")
+    return ing.calendar(years).select(
+        "taxi_type", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), "file"
+    )
 
 
 def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,29 +230,21 @@ def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bench_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cabflow.plans import benchmark as bm
-
     return bm.run_matrix(spark, _lake(spark, sf_dir), _table(spark, sf_dir), reps=1, warmup=0)
 
 
 def _bench_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cabflow.plans import benchmark as bm
-
     return bm.bench_stats(_bench_samples(spark, sf_dir))
 
 
 def _bench_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cabflow.plans import benchmark as bm
-
     return bm.bench_pivot(bm.bench_stats(_bench_samples(spark, sf_dir)))
 
 
 def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, table, checkpoint = _ingest_paths(spark, sf_dir)
     ingest_incremental(spark, root, table, checkpoint)
-    from cabflow.operators.quality import coverage
-
-    return coverage(read_ingested(spark, table))
+    return qual.coverage(read_ingested(spark, table))
 
 
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
