@@ -7,17 +7,18 @@ every distinct value in one task. Here the work is a sort-based selection:
 1. count rows per distinct (group, value) — map-side combined;
 2. range-partition those counts on (group, value): a hot group is spread
    over many slices, each a bounded, sorted run of values; the slices are
-   checkpointed so both passes below see the very same boundaries (when the
-   whole distinct-value table is small — counted, not guessed — each group
-   is a single slice instead);
+   checkpointed so both passes below see the very same boundaries;
 3. per (slice, group) totals (slices x groups rows) give each slice's
    starting rank; the ranks we need (floor/ceil of p*(n-1)) are assigned to
    the slice that holds them;
 4. a running count inside each (slice, group) finds the value at each rank,
    joined on (group, slice) so the hot group never lands in one task;
-5. interpolate ``lo + (hi - lo) * frac`` on a few rows per group.
+5. interpolate between the two ranks as Spark's ``percentile`` does.
 
-The result is identical to ``percentile`` / ``quantile_cont``.
+When the distinct-value table is small (counted, not guessed), the built-in
+``percentile(value, probs, frequency)`` over it is used directly: each
+group's map is then bounded by that count. Both paths give exactly what
+``percentile`` gives; ``quantile_cont`` agrees to the last binary digit or two.
 """
 
 from __future__ import annotations
@@ -43,8 +44,7 @@ def exact_quantiles(
 
     The distinct-value counts are checkpointed (one scan of the input) and
     counted; only when there are more than ``single_slice_limit`` of them are
-    they range-partitioned into slices, otherwise every group is one slice,
-    whose size that count bounds.
+    they range-partitioned into slices. ``slices`` forces the sliced path.
     """
     spark = df.sparkSession
     g = list(group_cols)
@@ -57,14 +57,20 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
         .checkpoint(eager=True)
     )
+    prob_list = [float(p) for p in probs]
     if slices is None and freq.count() <= single_slice_limit:
-        ranged = freq.withColumn("_slice", F.lit(0))
-    else:
-        ranged = (
-            freq.repartitionByRange(n_slices, *g, "_v")
-            .withColumn("_slice", F.spark_partition_id())
-            .checkpoint(eager=True)
+        # Every group's value->count map is bounded by the count just taken.
+        per_group = freq.groupBy(*g).agg(
+            F.percentile("_v", F.array(*[F.lit(p) for p in prob_list]), F.col("_n")).alias("_q")
         )
+        return per_group.select(*g, F.posexplode("_q").alias("_i", "value")).select(
+            *g, F.element_at(F.array(*[F.lit(p) for p in prob_list]), F.col("_i") + 1).alias("prob"), "value"
+        )
+    ranged = (
+        freq.repartitionByRange(n_slices, *g, "_v")
+        .withColumn("_slice", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
 
     per_slice = ranged.groupBy("_slice", *g).agg(F.sum("_n").alias("_slice_n"))
     by_slice = Window.partitionBy(*g).orderBy("_slice")
@@ -72,7 +78,7 @@ def exact_quantiles(
     totals = per_slice.groupBy(*g).agg(F.sum("_slice_n").alias("_total"))
 
     targets = (
-        totals.select(*g, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+        totals.select(*g, "_total", F.explode(F.array(*[F.lit(p) for p in prob_list])).alias("prob"))
         .withColumn("_pos", F.col("prob") * (F.col("_total") - 1).cast("double"))
         .withColumn("_lo", F.floor("_pos").cast("long"))
         .withColumn("_hi", F.ceil("_pos").cast("long"))
@@ -96,11 +102,11 @@ def exact_quantiles(
     )
     lo = hits.withColumnRenamed("_rank", "_lo").withColumnRenamed("_v", "_vlo")
     hi = hits.withColumnRenamed("_rank", "_hi").withColumnRenamed("_v", "_vhi")
-    return (
-        targets.join(lo, [*g, "_lo"])
-        .join(hi, [*g, "_hi"])
-        .select(*g, "prob", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"))
+    # Spark's own interpolation, so both paths equal ``percentile`` bit for bit.
+    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi")
     )
+    return targets.join(lo, [*g, "_lo"]).join(hi, [*g, "_hi"]).select(*g, "prob", value.alias("value"))
 
 
 # Measures reported by the quantile queries (output prefix, source column).

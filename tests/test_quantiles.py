@@ -24,6 +24,20 @@ def test_matches_numpy_linear_with_hot_group(spark):
             assert math.isclose(got[(g, p)], want, rel_tol=1e-12, abs_tol=1e-12), (g, p)
 
 
+def test_both_paths_equal_builtin_percentile(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    rows = [("hot" if i % 3 else "cold", float(np.round(rng.lognormal(2, 1), 2))) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.25, 0.5, 0.9, 0.99]
+    builtin = df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()
+    want = {(r.g, p): r.q[i] for r in builtin for i, p in enumerate(probs)}
+    for kwargs in ({}, {"slices": 5}):
+        got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["g"], "v", probs, **kwargs).collect()}
+        assert got == want, kwargs
+
+
 def test_monotone_and_duplicates(spark):
     rows = [("a", 5.0)] * 1000 + [("a", 1.0)] * 10 + [("a", 9.0)] * 10
     df = spark.createDataFrame(rows, "g string, v double")
