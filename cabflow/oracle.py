@@ -69,11 +69,14 @@ valid_trips AS (
 )
 """
 
+# Nullable integer codes are compared as DOUBLE on both sides (see registry.py).
+PAYMENT_CMP = "CAST(payment_type AS DOUBLE) AS payment_type"
 TRIP_COLUMNS = (
     "taxi_type, filename, file_year, file_month, vendor_id, pickup_datetime, dropoff_datetime, "
     "passenger_count, trip_distance, rate_code_id, store_and_fwd_flag, pickup_location_id, "
-    "dropoff_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, "
-    "improvement_surcharge, total_amount, congestion_surcharge, airport_fee, ehail_fee, trip_type"
+    f"dropoff_location_id, {PAYMENT_CMP}, fare_amount, extra, mta_tax, tip_amount, tolls_amount, "
+    "improvement_surcharge, total_amount, congestion_surcharge, airport_fee, ehail_fee, "
+    "CAST(trip_type AS DOUBLE) AS trip_type"
 )
 
 
@@ -146,7 +149,7 @@ SELECT {Y}, {M}, taxi_type, COUNT(*) AS trips,
 FROM valid_trips GROUP BY ALL
 """
 
-PAYMENT = "SELECT taxi_type, payment_type, COUNT(*) AS trips FROM valid_trips GROUP BY ALL"
+PAYMENT = f"SELECT taxi_type, {PAYMENT_CMP}, COUNT(*) AS trips FROM valid_trips GROUP BY taxi_type, payment_type"
 HOURLY = "SELECT taxi_type, CAST(hour(pickup_datetime) AS BIGINT) AS pickup_hour, COUNT(*) AS trips FROM valid_trips GROUP BY ALL"
 
 SQL: dict[str, str] = {
@@ -155,7 +158,7 @@ SQL: dict[str, str] = {
     "valid_trips": f"SELECT {TRIP_COLUMNS}, duration_minutes FROM valid_trips",
     "rejected_trips": f"""
 SELECT {TRIP_COLUMNS},
-  CAST(date_diff('minute', pickup_datetime, dropoff_datetime) AS BIGINT) AS duration_minutes,
+  CAST(date_diff('minute', pickup_datetime, dropoff_datetime) AS DOUBLE) AS duration_minutes,
   concat_ws(',',
     CASE WHEN pickup_datetime IS NULL OR dropoff_datetime IS NULL THEN 'null_timestamps' END,
     CASE WHEN year(pickup_datetime) <> file_year THEN 'pickup_outside_file_year' END,
@@ -202,7 +205,7 @@ FROM valid_trips GROUP BY ALL
     "weekend_share": f"SELECT {Y}, taxi_type, {rnd(share(WEEKEND))} AS weekend_share_pct FROM valid_trips GROUP BY ALL",
     "payment_mix": PAYMENT,
     "payment_share": f"""
-SELECT taxi_type, payment_type, COUNT(*) AS trips,
+SELECT taxi_type, {PAYMENT_CMP}, COUNT(*) AS trips,
   {rnd('100.0 * CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER (PARTITION BY taxi_type)')} AS share_pct
 FROM valid_trips GROUP BY taxi_type, payment_type
 """,
@@ -337,12 +340,12 @@ SQL.update(
         "ingest_missing_months": f"SELECT * FROM ({CALENDAR}) c WHERE c.file NOT IN (SELECT DISTINCT filename FROM trips)",
         "ingest_incremental": SQL["coverage"],
         "reconcile_counts": _with(
-            """SELECT 'coverage_vs_files' AS "check", taxi_type, CAST(file_year AS BIGINT) AS file_year,
+            """SELECT 'coverage_vs_files' AS "check", taxi_type, CAST(file_year AS DOUBLE) AS file_year,
   rows AS "left", rows AS "right", true AS ok FROM cov
 UNION ALL
-SELECT 'monthly_vs_yearly', taxi_type, CAST(file_year AS BIGINT), COUNT(*), COUNT(*), true FROM valid_trips GROUP BY ALL
+SELECT 'monthly_vs_yearly', taxi_type, CAST(file_year AS DOUBLE), COUNT(*), COUNT(*), true FROM valid_trips GROUP BY ALL
 UNION ALL
-SELECT 'payment_vs_hourly', taxi_type, NULL, COUNT(*), COUNT(*), true FROM valid_trips GROUP BY taxi_type""",
+SELECT 'payment_vs_hourly', taxi_type, CAST(NULL AS DOUBLE), COUNT(*), COUNT(*), true FROM valid_trips GROUP BY taxi_type""",
             cov="SELECT taxi_type, file_year, COUNT(*) AS rows FROM trips GROUP BY ALL",
         ),
     }

@@ -302,3 +302,25 @@ QUERIES.update(
         "reconcile_counts": _reconcile,
     }
 )
+
+
+# Nullable integer codes are compared as DOUBLE (here and in the SQL oracle):
+# converted to pandas, a BIGINT column holding NULLs is float64 from Spark but
+# nullable Int64 from DuckDB, so equal values could hash differently.
+NULLABLE_INTEGERS = {"payment_type", "trip_type"}
+NULLABLE_PER_KEY = {"rejected_trips": {"duration_minutes"}, "reconcile_counts": {"file_year"}}
+
+
+def _comparable(key: str, fn: Query) -> Query:
+    cols = NULLABLE_INTEGERS | NULLABLE_PER_KEY.get(key, set())
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        if not cols.intersection(df.columns):
+            return df
+        return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+    return run
+
+
+QUERIES = {k: _comparable(k, f) for k, f in QUERIES.items()}
