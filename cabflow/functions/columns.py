@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 
 # File-period pattern applied to the file name (year, month groups).
 FILE_PERIOD_PATTERN = r"(\d{4})-(\d{2})\.parquet$"
+# The pattern has a fixed length (15) and ends the string, so it can only ever
+# match the last 15 characters: matching it, anchored, against that suffix gives
+# the same groups for every string while reading 15 characters instead of
+# scanning the whole path (the unanchored scan backtracks over every digit run
+# in the directories and cost ~8x the Parquet scan itself).
+FILE_PERIOD_LENGTH = 15
+FILE_PERIOD_ANCHORED = "^" + FILE_PERIOD_PATTERN
 # Feed tag pattern used when both feeds are scanned together.
 FEED_PATTERN = r"(yellow|green)"
 
@@ -91,7 +98,8 @@ def card_tip_pct_value() -> Column:
 
 def file_period(path: str | Column, part: int) -> Column:
     """Year (part=1) or month (part=2) encoded in a ``..YYYY-MM.parquet`` name."""
-    return F.regexp_extract(_col(path), FILE_PERIOD_PATTERN, part).cast("int")
+    suffix = F.substring(_col(path), -FILE_PERIOD_LENGTH, FILE_PERIOD_LENGTH)
+    return F.regexp_extract(suffix, FILE_PERIOD_ANCHORED, part).cast("int")
 
 
 def feed_of(path: str | Column) -> Column:
@@ -99,4 +107,5 @@ def feed_of(path: str | Column) -> Column:
 
 
 def basename(path: str | Column) -> Column:
-    return F.regexp_extract(_col(path), r"([^/]+)$", 1)
+    """Text after the last ``/`` (the whole string when there is none)."""
+    return F.substring_index(_col(path), "/", -1)

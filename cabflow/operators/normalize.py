@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.functions.columns import FILE_PERIOD_PATTERN, minute_diff, plus_hours
+from cabflow.functions.columns import FILE_PERIOD_ANCHORED, FILE_PERIOD_LENGTH, minute_diff, plus_hours
 from cabflow.sources.schema import CANONICAL_TYPES, SOURCE_NAMES
 
 
@@ -32,13 +32,14 @@ def normalize_feed(raw: DataFrame, feed: str, path_col: str = META_PATH) -> Data
     Column objects one by one costs over a thousand driver round trips.
     """
     present = {c.lower(): c for c in raw.columns}
-    period = FILE_PERIOD_PATTERN.replace("\\", "\\\\")
+    period = FILE_PERIOD_ANCHORED.replace("\\", "\\\\")
     path = _quote(path_col)
+    suffix = f"substring({path}, -{FILE_PERIOD_LENGTH}, {FILE_PERIOD_LENGTH})"  # see functions.columns.file_period
     exprs = [
         f"'{feed}' AS taxi_type",
         f"{path} AS filename",
-        f"CAST(regexp_extract({path}, '{period}', 1) AS INT) AS file_year",
-        f"CAST(regexp_extract({path}, '{period}', 2) AS INT) AS file_month",
+        f"CAST(regexp_extract({suffix}, '{period}', 1) AS INT) AS file_year",
+        f"CAST(regexp_extract({suffix}, '{period}', 2) AS INT) AS file_month",
     ]
     for canon, src in SOURCE_NAMES[feed].items():
         t = CANONICAL_TYPES[canon].simpleString()

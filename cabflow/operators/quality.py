@@ -34,12 +34,13 @@ def file_row_counts(all_files: DataFrame, path_col: str = "filename") -> DataFra
 
     ``all_files`` is one scan over both feeds; it is an independent code path
     (no feed literal, no normalisation) used to reconcile against coverage.
+    Rows are first counted per path (one short hash per row); the regexes then
+    run once per file on that tiny frame, not once per row.
     """
-    p = F.col(path_col)
-    return _files_and_rows(
-        all_files,
-        {"taxi_type": feed_of(p), "year": file_period(p, 1).cast("long")},
-        basename(p),
+    per_path = all_files.groupBy(F.col(path_col).alias("_path")).agg(F.count(F.lit(1)).alias("_rows"))
+    p = F.col("_path")
+    return per_path.groupBy(feed_of(p).alias("taxi_type"), file_period(p, 1).cast("long").alias("year")).agg(
+        F.count_distinct(basename(p)).alias("files"), F.sum("_rows").alias("rows")
     )
 
 

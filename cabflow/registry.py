@@ -143,15 +143,15 @@ def _lake_trips(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None
 def _scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = lake.feed_paths(spark, _lake(spark, sf_dir), "yellow")
     no_columns = T.StructType([])
-    files = spark.read.schema(no_columns).parquet(*paths).select(basename(F.col("_metadata.file_path")).alias("filename"))
-    return files.groupBy(F.lit("yellow").alias("taxi_type"), "filename").agg(F.count(F.lit(1)).alias("rows"))
+    files = spark.read.schema(no_columns).parquet(*paths).select(F.col("_metadata.file_path").alias("path"))
+    per_path = files.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))  # name derived once per file
+    return per_path.select(F.lit("yellow").alias("taxi_type"), basename("path").alias("filename"), "rows")
 
 
 def _scan_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = lake.read_all(spark, _lake(spark, sf_dir))
-    return files.groupBy(feed_of("filename").alias("taxi_type"), basename("filename").alias("filename")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    per_path = files.groupBy("filename").agg(F.count(F.lit(1)).alias("rows"))  # lineage derived once per file
+    return per_path.select(feed_of("filename").alias("taxi_type"), basename("filename").alias("filename"), "rows")
 
 
 def _views(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
