@@ -106,3 +106,29 @@ def test_exact_sums_do_not_depend_on_partitioning(spark):
     a = df.repartition(1).agg(exact_sum("total_amount").alias("s")).first().s
     b = df.repartition(13).agg(exact_sum("total_amount").alias("s")).first().s
     assert a == b
+
+
+def test_suffix_period_equals_whole_path_regex(spark):
+    """The anchored 15-character suffix match returns what the unanchored whole-path regex returns."""
+    import random
+
+    from cabflow.functions.columns import FILE_PERIOD_ANCHORED, FILE_PERIOD_LENGTH, FILE_PERIOD_PATTERN
+
+    rng = random.Random(11)
+    tokens = ["2024", "-", "01", "1", ".parquet", "/", "yellow_tripdata_", "9", "x", "12-", ".parq", "2025-13"]
+    names = ["", "2024-01.parquet", "a2024-01.parquet", "024-01.parquet", "/2024-01.parquet", "2024-01.parquet.x"]
+    names += ["".join(rng.choice(tokens) for _ in range(rng.randint(1, 9))) for _ in range(2000)]
+    names += [
+        "".join(rng.choice(tokens) for _ in range(rng.randint(0, 5)))
+        + f"{rng.randint(0, 9999):0{rng.choice([3, 4, 4, 5])}d}-{rng.randint(0, 99):0{rng.choice([1, 2, 2])}d}.parquet"
+        + rng.choice(["", "", "", "x", "/", ".parquet"])
+        for _ in range(2000)
+    ]
+    df = spark.createDataFrame([(n,) for n in names], "p string")
+    suffix = F.substring("p", -FILE_PERIOD_LENGTH, FILE_PERIOD_LENGTH)
+    got = df.select(
+        *[F.regexp_extract("p", FILE_PERIOD_PATTERN, k).alias(f"a{k}") for k in (1, 2)],
+        *[F.regexp_extract(suffix, FILE_PERIOD_ANCHORED, k).alias(f"b{k}") for k in (1, 2)],
+    )
+    assert got.filter((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))).count() == 0
+    assert got.filter(F.col("a1") != "").count() > 500  # the generator does produce matches
