@@ -68,7 +68,9 @@ def write_lake(spark: SparkSession, trips: DataFrame, root: str, years: tuple[in
         for i, year in enumerate(years):
             part = trips.filter((F.col("taxi_type") == feed) & (F.col("file_year") == year))
             staging = f"{root}/_staging/{feed}-{year}"
-            # One task per month: each month directory receives exactly one file.
+            # The raw format is one file per feed-month, and one file has one writer:
+            # each month goes to one task. This builds test fixtures from lineitem;
+            # the library itself only reads such lakes (split by maxPartitionBytes).
             (
                 raw_projection(part, feed, i)
                 .repartition("_month")
