@@ -19,45 +19,60 @@ from cabflow.functions.columns import (
     exact_sum,
     int_mean,
     is_weekend,
+    reused,
     share_pct,
     sql_round,
 )
 
+@reused
 def _year() -> Column:
     return F.col("file_year").cast("long").alias("file_year")
 
 
+@reused
 def _month() -> Column:
     return F.col("file_month").cast("long").alias("file_month")
 
 
+@reused
 def _trips() -> Column:
     return F.count(F.lit(1)).alias("trips")
 
 
-def monthly_eda(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), _month(), "taxi_type").agg(
+@reused
+def _monthly_eda_aggs() -> list:
+    return [
         _trips(),
         sql_round(exact_mean("trip_distance")).alias("avg_distance_miles"),
         sql_round(int_mean("duration_minutes")).alias("avg_duration_minutes"),
         sql_round(exact_mean("total_amount")).alias("avg_total_usd"),
-    )
+    ]
 
 
-def monthly_indicators(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), _month(), "taxi_type").agg(
+@reused
+def _monthly_aggs() -> list:
+    return [
         _trips(),
         exact_mean("trip_distance").alias("avg_distance_miles"),
         int_mean("duration_minutes").alias("avg_duration_minutes"),
         exact_mean("total_amount").alias("avg_total_usd"),
         exact_sum("total_amount").alias("revenue_usd"),
-    )
+    ]
+
+
+def monthly_eda(valid: DataFrame) -> DataFrame:
+    return valid.groupBy(_year(), _month(), "taxi_type").agg(*_monthly_eda_aggs())
+
+
+def monthly_indicators(valid: DataFrame) -> DataFrame:
+    return valid.groupBy(_year(), _month(), "taxi_type").agg(*_monthly_aggs())
 
 
 def monthly_volume(valid: DataFrame) -> DataFrame:
     return valid.groupBy(_year(), _month(), "taxi_type").agg(_trips())
 
 
+@reused
 def _yearly_aggs(rounded: bool) -> list:
     r = sql_round if rounded else (lambda c, digits=2: c)
     # The tip mean averages arbitrary doubles, so its last bits depend on
@@ -75,11 +90,11 @@ def _yearly_aggs(rounded: bool) -> list:
 
 
 def yearly_indicators(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(rounded=True))
+    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(True))
 
 
 def yearly_indicators_raw(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(rounded=False))
+    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(False))
 
 
 def yearly_notebook(valid: DataFrame) -> DataFrame:
@@ -123,16 +138,21 @@ def pickup_hour(valid: DataFrame) -> DataFrame:
     return valid.groupBy("taxi_type", F.hour("pickup_datetime").cast("long").alias("pickup_hour")).agg(_trips())
 
 
-def totals(valid: DataFrame) -> DataFrame:
-    """One global row: the dashboard's KPI inputs."""
-    return valid.agg(
+@reused
+def _totals_aggs() -> list:
+    return [
         _trips(),
         exact_sum("total_amount").alias("revenue"),
         exact_mean("total_amount").alias("avg_total"),
         exact_mean("trip_distance").alias("avg_distance"),
         int_mean("duration_minutes").alias("avg_duration"),
         sql_round(F.avg(card_tip_pct_value()), 8).alias("tip_pct"),
-    )
+    ]
+
+
+def totals(valid: DataFrame) -> DataFrame:
+    """One global row: the dashboard's KPI inputs."""
+    return valid.agg(*_totals_aggs())
 
 
 # --- benchmark query set (over raw trips of a scope) -------------------------

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.functions.columns import FILE_PERIOD_ANCHORED, FILE_PERIOD_LENGTH, minute_diff, plus_hours
+from cabflow.functions.columns import FILE_PERIOD_ANCHORED, FILE_PERIOD_LENGTH, minute_diff, plus_hours, reused
 from cabflow.sources.schema import CANONICAL_TYPES, SOURCE_NAMES
 
 
@@ -68,12 +68,18 @@ def _valid_conjuncts() -> dict[str, Column]:
     }
 
 
+@reused
 def valid_condition() -> Column:
     return reduce(lambda a, b: a & b, _valid_conjuncts().values())
 
 
+@reused
+def _duration() -> Column:
+    return minute_diff("pickup_datetime", "dropoff_datetime")
+
+
 def with_duration(df: DataFrame) -> DataFrame:
-    return df.withColumn("duration_minutes", minute_diff("pickup_datetime", "dropoff_datetime"))
+    return df.withColumn("duration_minutes", _duration())
 
 
 def valid_trips(trips: DataFrame) -> DataFrame:

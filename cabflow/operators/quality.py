@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.functions.columns import basename, feed_of, file_period, plus_hours
+from cabflow.functions.columns import basename, feed_of, file_period, plus_hours, reused
 
 
 def _files_and_rows(df: DataFrame, keys: dict[str, Column], file_col: Column) -> DataFrame:
@@ -46,6 +46,11 @@ def file_row_counts(all_files: DataFrame, path_col: str = "filename") -> DataFra
 
 def quality(trips: DataFrame) -> DataFrame:
     """Rows and seven overlapping defect counters per taxi type and file year."""
+    return trips.groupBy("taxi_type", F.col("file_year").cast("long").alias("file_year")).agg(*_quality_aggs())
+
+
+@reused
+def _quality_aggs() -> list:
     p, d = F.col("pickup_datetime"), F.col("dropoff_datetime")
     counters = {
         "null_timestamps": p.isNull() | d.isNull(),
@@ -56,7 +61,7 @@ def quality(trips: DataFrame) -> DataFrame:
         "negative_total": F.col("total_amount") < 0,
         "missing_or_zero_passengers": F.col("passenger_count").isNull() | (F.col("passenger_count") <= 0),
     }
-    return trips.groupBy("taxi_type", F.col("file_year").cast("long").alias("file_year")).agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(cond).cast("long").alias(name) for name, cond in counters.items()],
-    )
+    ]
