@@ -24,6 +24,20 @@ from cabflow.functions.columns import (
     sql_round,
 )
 
+def ordered(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """The reference's result order, NULLs last in both directions (its default).
+
+    Spark puts NULLs first in ascending order; a string key sorts ascending.
+    The frames sorted here are aggregates of at most a few dozen rows.
+    """
+    cols = [F.col(k).asc_nulls_last() if isinstance(k, str) else k for k in keys]
+    return df.orderBy(*cols)
+
+
+def _desc(name: str) -> Column:
+    return F.col(name).desc_nulls_last()
+
+
 @reused
 def _year() -> Column:
     return F.col("file_year").cast("long").alias("file_year")
@@ -61,15 +75,18 @@ def _monthly_aggs() -> list:
 
 
 def monthly_eda(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), _month(), "taxi_type").agg(*_monthly_eda_aggs())
+    agg = valid.groupBy(_year(), _month(), "taxi_type").agg(*_monthly_eda_aggs())
+    return ordered(agg, "file_year", "file_month", "taxi_type")
 
 
 def monthly_indicators(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), _month(), "taxi_type").agg(*_monthly_aggs())
+    agg = valid.groupBy(_year(), _month(), "taxi_type").agg(*_monthly_aggs())
+    return ordered(agg, "file_year", "file_month", "taxi_type")
 
 
 def monthly_volume(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), _month(), "taxi_type").agg(_trips())
+    agg = valid.groupBy(_year(), _month(), "taxi_type").agg(_trips())
+    return ordered(agg, "file_year", "file_month", "taxi_type", "trips")
 
 
 @reused
@@ -90,19 +107,20 @@ def _yearly_aggs(rounded: bool) -> list:
 
 
 def yearly_indicators(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(True))
+    return ordered(valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(True)), "file_year", "taxi_type")
 
 
 def yearly_indicators_raw(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(False))
+    return ordered(valid.groupBy(_year(), "taxi_type").agg(*_yearly_aggs(False)), "file_year", "taxi_type")
 
 
 def yearly_notebook(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(_year(), "taxi_type").agg(
+    agg = valid.groupBy(_year(), "taxi_type").agg(
         _trips(),
         sql_round(exact_mean("total_amount")).alias("avg_total"),
         sql_round(exact_mean("trip_distance")).alias("avg_distance"),
     )
+    return ordered(agg, "file_year", "taxi_type")
 
 
 def card_tip_pct(valid: DataFrame) -> DataFrame:
@@ -117,7 +135,7 @@ def weekend_share(valid: DataFrame) -> DataFrame:
 
 def payment_mix(valid: DataFrame) -> DataFrame:
     """Trips per taxi and payment type; a NULL payment type is its own group."""
-    return valid.groupBy("taxi_type", "payment_type").agg(_trips())
+    return ordered(valid.groupBy("taxi_type", "payment_type").agg(_trips()), "taxi_type", _desc("trips"))
 
 
 def payment_share(valid: DataFrame) -> DataFrame:
@@ -128,14 +146,14 @@ def payment_share(valid: DataFrame) -> DataFrame:
     payment codes, whatever the data size.
     """
     w = Window.partitionBy("taxi_type")
-    mix = payment_mix(valid)
-    return mix.withColumn(
-        "share_pct", sql_round(100.0 * F.col("trips").cast("double") / F.sum("trips").over(w))
-    )
+    mix = valid.groupBy("taxi_type", "payment_type").agg(_trips())
+    shared = mix.withColumn("share_pct", sql_round(100.0 * F.col("trips").cast("double") / F.sum("trips").over(w)))
+    return ordered(shared, "taxi_type", _desc("trips"))
 
 
 def pickup_hour(valid: DataFrame) -> DataFrame:
-    return valid.groupBy("taxi_type", F.hour("pickup_datetime").cast("long").alias("pickup_hour")).agg(_trips())
+    agg = valid.groupBy("taxi_type", F.hour("pickup_datetime").cast("long").alias("pickup_hour")).agg(_trips())
+    return ordered(agg, "taxi_type", "pickup_hour")
 
 
 @reused
@@ -171,8 +189,5 @@ def bench_summary(trips: DataFrame) -> DataFrame:
 
 
 def bench_monthly(trips: DataFrame) -> DataFrame:
-    return (
-        trips.groupBy(_year(), _month(), "taxi_type")
-        .agg(_trips(), exact_sum("total_amount").alias("revenue"))
-        .orderBy("file_year", "file_month", "taxi_type")
-    )
+    agg = trips.groupBy(_year(), _month(), "taxi_type").agg(_trips(), exact_sum("total_amount").alias("revenue"))
+    return ordered(agg, "file_year", "file_month", "taxi_type", "trips", "revenue")

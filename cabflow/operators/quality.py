@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions.columns import basename, feed_of, file_period, plus_hours, reused
+from cabflow.operators.indicators import ordered
 
 
 def _files_and_rows(df: DataFrame, keys: dict[str, Column], file_col: Column) -> DataFrame:
@@ -22,11 +23,12 @@ def _files_and_rows(df: DataFrame, keys: dict[str, Column], file_col: Column) ->
 
 def coverage(trips: DataFrame) -> DataFrame:
     """Files and rows per taxi type and file year."""
-    return _files_and_rows(
+    cov = _files_and_rows(
         trips,
         {"taxi_type": F.col("taxi_type"), "file_year": F.col("file_year").cast("long")},
         F.col("filename"),
     )
+    return ordered(cov, "file_year", "taxi_type")
 
 
 def file_row_counts(all_files: DataFrame, path_col: str = "filename") -> DataFrame:
@@ -39,14 +41,16 @@ def file_row_counts(all_files: DataFrame, path_col: str = "filename") -> DataFra
     """
     per_path = all_files.groupBy(F.col(path_col).alias("_path")).agg(F.count(F.lit(1)).alias("_rows"))
     p = F.col("_path")
-    return per_path.groupBy(feed_of(p).alias("taxi_type"), file_period(p, 1).cast("long").alias("year")).agg(
+    counts = per_path.groupBy(feed_of(p).alias("taxi_type"), file_period(p, 1).cast("long").alias("year")).agg(
         F.count_distinct(basename(p)).alias("files"), F.sum("_rows").alias("rows")
     )
+    return ordered(counts, "year", "taxi_type")
 
 
 def quality(trips: DataFrame) -> DataFrame:
     """Rows and seven overlapping defect counters per taxi type and file year."""
-    return trips.groupBy("taxi_type", F.col("file_year").cast("long").alias("file_year")).agg(*_quality_aggs())
+    q = trips.groupBy("taxi_type", F.col("file_year").cast("long").alias("file_year")).agg(*_quality_aggs())
+    return ordered(q, "file_year", "taxi_type")
 
 
 @reused

@@ -133,7 +133,7 @@ def quantiles(valid: DataFrame, probs: tuple[float, ...] = (0.5, 0.99)) -> DataF
     labels = {p: _label(p) for p in probs}
     name = F.concat(F.col("measure"), F.lit("_"), F.create_map(*[x for p, l in labels.items() for x in (F.lit(p), F.lit(l))])[F.col("prob")])
     cols = [f"{m}_{labels[p]}" for m, _ in MEASURES for p in probs]
-    return q.withColumn("_name", name).groupBy("taxi_type").pivot("_name", cols).agg(F.first("value"))
+    return q.withColumn("_name", name).groupBy("taxi_type").pivot("_name", cols).agg(F.first("value")).orderBy("taxi_type")
 
 
 def quantiles_list(valid: DataFrame, probs: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
