@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabflow.functions.columns import card_tip_pct_value, fixed_point, is_weekend, sql_round
+from cabflow.operators.indicators import ordered
 
 
 def indicator_cube(valid: DataFrame) -> DataFrame:
@@ -59,6 +60,10 @@ def _tip_mean() -> Column:
 
 
 def monthly_indicators(cube: DataFrame) -> DataFrame:
+    return _monthly(cube).transform(lambda df: ordered(df, "file_year", "file_month", "taxi_type"))
+
+
+def _monthly(cube: DataFrame) -> DataFrame:
     return cube.groupBy("file_year", "file_month", "taxi_type").agg(
         F.sum("trips").alias("trips"),
         _money_mean("distance_cents", "distance_n").alias("avg_distance_miles"),
@@ -69,6 +74,10 @@ def monthly_indicators(cube: DataFrame) -> DataFrame:
 
 
 def yearly_indicators(cube: DataFrame, rounded: bool = True) -> DataFrame:
+    return ordered(_yearly(cube, rounded), "file_year", "taxi_type")
+
+
+def _yearly(cube: DataFrame, rounded: bool) -> DataFrame:
     r = sql_round if rounded else (lambda c, digits=2: c)
     return cube.groupBy("file_year", "taxi_type").agg(
         F.sum("trips").alias("trips"),
@@ -81,19 +90,24 @@ def yearly_indicators(cube: DataFrame, rounded: bool = True) -> DataFrame:
     )
 
 
-def payment_mix(cube: DataFrame) -> DataFrame:
+def _mix(cube: DataFrame) -> DataFrame:
     return cube.groupBy("taxi_type", "payment_type").agg(F.sum("trips").alias("trips"))
 
 
+def payment_mix(cube: DataFrame) -> DataFrame:
+    return ordered(_mix(cube), "taxi_type", F.col("trips").desc_nulls_last())
+
+
 def payment_share(cube: DataFrame) -> DataFrame:
     w = Window.partitionBy("taxi_type")
-    return payment_mix(cube).withColumn(
+    shared = _mix(cube).withColumn(
         "share_pct", sql_round(100.0 * F.col("trips").cast("double") / F.sum("trips").over(w))
     )
+    return ordered(shared, "taxi_type", F.col("trips").desc_nulls_last())
 
 
 def pickup_hour(cube: DataFrame) -> DataFrame:
-    return cube.groupBy("taxi_type", "pickup_hour").agg(F.sum("trips").alias("trips"))
+    return ordered(cube.groupBy("taxi_type", "pickup_hour").agg(F.sum("trips").alias("trips")), "taxi_type", "pickup_hour")
 
 
 def totals(cube: DataFrame) -> DataFrame:
