@@ -10,28 +10,60 @@ file, i.e. one (year, taxi type, month), so each task writes into one
 partition directory. A dominant feed just means more tasks of the same size
 (splits follow ``spark.sql.files.maxPartitionBytes``), never one huge task;
 ``maxRecordsPerFile`` bounds output file size.
+
+Replacement is atomic for readers: each materialisation is written to a fresh
+version folder and published afterwards by creating a marker file; readers take
+the newest published version. A job that dies midway leaves the previous
+version readable (``overwrite`` would already have deleted it).
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.session import parquet_v2
+from cabflow.session import glob_paths, parquet_v2
 from cabflow.sources.schema import CANONICAL_NAMES
 
 PARTITION_COLUMNS = ("file_year", "taxi_type")
+VERSIONS, DATA = "_versions", "data"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_location(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest published version of the table at ``path`` (None if none)."""
+    markers = glob_paths(spark, f"{path.rstrip('/')}/{VERSIONS}/*")
+    if not markers:
+        return None
+    return f"{path.rstrip('/')}/{DATA}/{max(m.rsplit('/', 1)[1] for m in markers)}"
 
 
-def materialize(trips: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
-    """Create or replace the partitioned table at ``path`` from ``trips``."""
+def materialize(trips: DataFrame, path: str, max_records_per_file: int = 5_000_000, keep: int = 2) -> str:
+    """Create or replace the partitioned table at ``path`` from ``trips``; returns ``path``."""
+    spark = trips.sparkSession
+    base = path.rstrip("/")
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"  # sorts by publication time
     (
         trips.sortWithinPartitions(*PARTITION_COLUMNS, "file_month")
-        .write.mode("overwrite")
+        .write.mode("errorifexists")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
+        .parquet(f"{base}/{DATA}/{version}")
     )
+    marker, fs = _fs(spark, f"{base}/{VERSIONS}/{version}")
+    fs.create(marker, False).close()  # publish: creating a file is atomic
+    for old in sorted(m.rsplit("/", 1)[1] for m in glob_paths(spark, f"{base}/{VERSIONS}/*"))[:-keep]:
+        for stale in (f"{base}/{VERSIONS}/{old}", f"{base}/{DATA}/{old}"):
+            p, stale_fs = _fs(spark, stale)
+            stale_fs.delete(p, True)
     return path
 
 
@@ -47,9 +79,12 @@ def read_materialized(
     and a bare ``COUNT(*)`` is answered from footers (aggregate pushdown), so
     the count query touches no data page.
     """
+    location = table_location(spark, path)
+    if location is None:
+        raise FileNotFoundError(f"no published version of the table at {path}")
     spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     with parquet_v2(spark):
-        df = spark.read.parquet(path)
+        df = spark.read.parquet(location)
     if years is not None:
         df = df.filter(F.col("file_year").isin(*years))
     if taxi is not None:

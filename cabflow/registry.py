@@ -22,7 +22,7 @@ from cabflow.operators.normalize import rejected_trips, valid_trips
 from cabflow.operators.reconcile import reconcile_counts
 from cabflow.plans import benchmark as bm
 from cabflow.plans import ingest as ing
-from cabflow.plans.materialize import materialize, read_materialized
+from cabflow.plans.materialize import materialize, read_materialized, table_location
 from cabflow.plans.sinks import export_csv, export_json, read_csv, read_json
 from cabflow.plans.views import register_views
 from cabflow.session import glob_paths, work_dir
@@ -166,7 +166,7 @@ def _table_path(spark: SparkSession, sf_dir: str) -> str:
 
 def _table(spark: SparkSession, sf_dir: str) -> str:
     path = _table_path(spark, sf_dir)
-    if not glob_paths(spark, f"{path}/_SUCCESS"):
+    if table_location(spark, path) is None:
         materialize(_lake_trips(spark, sf_dir), path)
     return path
 

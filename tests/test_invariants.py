@@ -41,3 +41,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 6 and set(df.columns) >= {"file_year", "taxi_type", "trips", "revenue_usd"}
+
+
+def test_materialize_publishes_versions(spark, lake_root, tmp_path):
+    from cabflow.plans.materialize import materialize, read_materialized, table_location
+    from cabflow.sources.lake import read_trips
+
+    path = str(tmp_path / "table")
+    assert table_location(spark, path) is None
+    trips = read_trips(spark, lake_root)
+    for _ in range(3):
+        materialize(trips, path)
+    assert read_materialized(spark, path).count() == trips.count()
+    versions = [p for p in (tmp_path / "table" / "_versions").iterdir() if not p.name.startswith(".")]
+    assert len(versions) == 2  # older versions pruned, the previous one kept for in-flight readers
