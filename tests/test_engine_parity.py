@@ -4,7 +4,6 @@ import random
 from datetime import datetime, timedelta
 
 import duckdb
-from pyspark.sql import functions as F
 
 from cabflow.functions.columns import is_weekend, minute_diff, sql_round
 
