@@ -116,3 +116,19 @@ def test_feed_presence_and_single_file_count(spark, lake_root, tmp_path):
     path = lake.feed_paths(spark, str(tmp_path), "yellow")[0]
     rows = [r.rows for r in manifest(spark, str(tmp_path)).collect()][0]
     assert lake.file_rows(spark, path) == rows > 0
+
+
+def test_analysis_and_validation_runs(spark, lake_root, tmp_path):
+    from cabflow.plans.report import run_analysis, run_validation
+
+    out = run_analysis(spark, lake_root, str(tmp_path / "results"))
+    assert set(out) == {"coverage", "quality", "monthly_indicators", "yearly_indicators", "payment_mix", "pickup_hour", "quantiles"}
+    cov = spark.read.option("header", True).csv(out["coverage"])
+    assert cov.count() == 6 and set(cov.columns) == {"taxi_type", "file_year", "files", "rows"}
+    val = run_validation(spark, lake_root, str(tmp_path / "audit"))
+    assert spark.read.json(val["manifest"]).count() == 72
+    _copy_lake(lake_root, str(tmp_path / "bad"), 1)
+    (tmp_path / "bad" / "yellow" / "1996" / "yellow_tripdata_1996-05.parquet").write_bytes(b"PAR1" + b"\x00" * 12)
+    with pytest.raises(ValueError, match="yellow_tripdata_1996-05.parquet"):
+        run_validation(spark, str(tmp_path / "bad"), str(tmp_path / "audit_bad"))
+    assert spark.read.json(str(tmp_path / "audit_bad" / "manifest.json")).count() == 3  # written before failing
