@@ -82,7 +82,6 @@ def exact_quantiles(
         .withColumn("_pos", F.col("prob") * (F.col("_total") - 1).cast("double"))
         .withColumn("_lo", F.floor("_pos").cast("long"))
         .withColumn("_hi", F.ceil("_pos").cast("long"))
-        .withColumn("_frac", F.col("_pos") - F.col("_lo").cast("double"))
     )
     ranks = targets.select(*g, F.explode(F.array("_lo", "_hi")).alias("_rank")).distinct()
     # Which slice holds each rank: slices x groups joined with a few ranks per group.
@@ -103,7 +102,8 @@ def exact_quantiles(
     lo = hits.withColumnRenamed("_rank", "_lo").withColumnRenamed("_v", "_vlo")
     hi = hits.withColumnRenamed("_rank", "_hi").withColumnRenamed("_v", "_vhi")
     # Spark's own interpolation, so both paths equal ``percentile`` bit for bit.
-    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+    same = (F.col("_lo") == F.col("_hi")) | (F.col("_vlo") == F.col("_vhi"))
+    value = F.when(same, F.col("_vlo")).otherwise(
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi")
     )
     return targets.join(lo, [*g, "_lo"]).join(hi, [*g, "_hi"]).select(*g, "prob", value.alias("value"))

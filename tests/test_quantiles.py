@@ -29,8 +29,9 @@ def test_both_paths_equal_builtin_percentile(spark):
 
     rng = np.random.default_rng(3)
     rows = [("hot" if i % 3 else "cold", float(np.round(rng.lognormal(2, 1), 2))) for i in range(5000)]
+    rows += [("dups", v) for v in (0.1, 0.1, 0.1, 0.3, 0.3, 0.7, 0.7, 0.7, 0.7)]  # equal neighbours
     df = spark.createDataFrame(rows, "g string, v double")
-    probs = [0.25, 0.5, 0.9, 0.99]
+    probs = [0.25, 0.33, 0.5, 0.77, 0.9, 0.99]
     builtin = df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()
     want = {(r.g, p): r.q[i] for r in builtin for i, p in enumerate(probs)}
     for kwargs in ({}, {"slices": 5}):
