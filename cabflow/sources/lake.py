@@ -3,9 +3,11 @@
 Files of one feed drift: columns appear, disappear, change case, and switch
 between INT32, INT64 and DOUBLE. Spark's ``mergeSchema`` rejects INT64/DOUBLE
 mixes and a single superset schema cannot read INT64 as double (or the
-reverse), so files are grouped by their footer schema (a handful of groups,
-not one per file), each group is read with its own schema, projected onto the
-canonical columns with casts, and the groups are unioned by name.
+reverse), so files are grouped by their footer schema (read on executors),
+groups the reader can serve with one superset schema are merged (a handful of
+groups, not one per file), each group is read with its explicit schema and
+projected onto the canonical columns with casts, and the groups are unioned by
+name.
 """
 
 from __future__ import annotations
