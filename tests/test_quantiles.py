@@ -44,3 +44,15 @@ def test_monotone_and_duplicates(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     got = sorted((r.prob, r.value) for r in exact_quantiles(df, ["g"], "v", [0.005, 0.5, 0.995]).collect())
     assert [v for _, v in got] == [1.0, 5.0, 9.0]
+
+
+def test_sliced_path_equals_bounded_path_on_trip_measures(spark):
+    from cabflow.operators.normalize import valid_trips
+    from cabflow.operators.quantiles import _stacked
+    from cabflow.sources.fixture import fixture_trips
+
+    stacked = _stacked(valid_trips(fixture_trips(spark, "/root/testdata/sf0.01")))
+    probs = [0.01, 0.5, 0.9, 0.99]
+    bounded = {(r.taxi_type, r.measure, r.prob): r.value for r in exact_quantiles(stacked, ["taxi_type", "measure"], "value", probs).collect()}
+    sliced = {(r.taxi_type, r.measure, r.prob): r.value for r in exact_quantiles(stacked, ["taxi_type", "measure"], "value", probs, slices=11).collect()}
+    assert len(bounded) == 2 * 3 * len(probs) and bounded == sliced
