@@ -12,7 +12,6 @@ from __future__ import annotations
 PRELUDE = """
 WITH li AS (
   SELECT * FROM lineitem
-  WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1999-01-01'
 ),
 t0 AS (
   SELECT *,
@@ -306,8 +305,13 @@ FROM trips GROUP BY ALL
 
 
 # The file lake omits the two fee columns in its first year.
-LAKE = f"""SELECT {TRIP_COLUMNS.replace('airport_fee, ehail_fee', "CASE WHEN file_year = 1996 THEN NULL ELSE airport_fee END AS airport_fee, CASE WHEN file_year = 1996 THEN NULL ELSE ehail_fee END AS ehail_fee")} FROM trips"""
-LAKE_VALID = f"""SELECT {TRIP_COLUMNS.replace('airport_fee, ehail_fee', "CASE WHEN file_year = 1996 THEN NULL ELSE airport_fee END AS airport_fee, CASE WHEN file_year = 1996 THEN NULL ELSE ehail_fee END AS ehail_fee")}, duration_minutes FROM valid_trips"""
+FIRST = "(SELECT min(file_year) FROM trips)"
+LAKE_FEES = (
+    f"CASE WHEN file_year = {FIRST} THEN NULL ELSE airport_fee END AS airport_fee, "
+    f"CASE WHEN file_year = {FIRST} THEN NULL ELSE ehail_fee END AS ehail_fee"
+)
+LAKE = f"""SELECT {TRIP_COLUMNS.replace('airport_fee, ehail_fee', LAKE_FEES)} FROM trips"""
+LAKE_VALID = f"""SELECT {TRIP_COLUMNS.replace('airport_fee, ehail_fee', LAKE_FEES)}, duration_minutes FROM valid_trips"""
 CALENDAR = """SELECT f.taxi_type, CAST(y.year AS BIGINT) AS year, CAST(m.month AS BIGINT) AS month,
   printf('%s_tripdata_%04d-%02d.parquet', f.taxi_type, y.year, m.month) AS file
 FROM (SELECT unnest(range(min(file_year), max(file_year) + 1)) AS year FROM trips) y,

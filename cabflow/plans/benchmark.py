@@ -16,11 +16,17 @@ from pyspark.sql import functions as F
 
 from cabflow.operators import indicators as ind
 from cabflow.plans.materialize import read_materialized
-from cabflow.sources.fixture import FIXTURE_YEARS
+from cabflow.session import glob_paths
 from cabflow.sources.lake import read_trips
 
-# Cumulative year scopes (first year, first two, all three).
-SCOPES: tuple[tuple[int, ...], ...] = tuple(FIXTURE_YEARS[: i + 1] for i in range(len(FIXTURE_YEARS)))
+
+def scopes(spark: SparkSession, root: str) -> tuple[tuple[int, ...], ...]:
+    """Three cumulative year scopes: the first year, the first two, every year."""
+    files = glob_paths(spark, f"{root.rstrip('/')}/*/[0-9][0-9][0-9][0-9]/*.parquet")
+    years = sorted({int(f.rsplit("/", 2)[1]) for f in files})  # the <year> folder of each file
+    return (tuple(years[:1]), tuple(years[:2]), tuple(years))
+
+
 QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "count": ind.bench_count,
     "summary": ind.bench_summary,
@@ -44,7 +50,7 @@ def timed(build: Callable[[], DataFrame]) -> float:
 def run_matrix(spark: SparkSession, root: str, table: str, reps: int = 3, warmup: int = 1) -> DataFrame:
     """One row per timed sample: years, year_count, query, strategy, rep, seconds."""
     records = []
-    for years in SCOPES:
+    for years in scopes(spark, root):
         label = "+".join(map(str, years))
         for qname, q in QUERIES.items():
             for strategy in STRATEGIES:

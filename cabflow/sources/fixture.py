@@ -1,8 +1,8 @@
 """Stand-in ``trips`` relation derived from the driver's ``lineitem`` table.
 
 Deterministic: every column is a rule over lineitem columns, so Spark and an
-independent SQL engine produce the same rows. Three ship years play the three
-trip years; the rules plant every kind of data-quality defect the reference's
+independent SQL engine produce the same rows. Every lineitem row is a trip and
+its ship year is the trip's file year; the rules plant every kind of data-quality defect the reference's
 report counts (NULL timestamps, reversed and over-long trips, pickups outside
 the file year, zero or negative distance, negative totals, missing payment).
 """
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from cabflow.sources.schema import CANONICAL, CANONICAL_NAMES
 
-# The ship years that stand in for the three trip years.
-FIXTURE_YEARS = (1996, 1997, 1998)
+# Ship years used as fixed scopes by the scoped-read and lookup keys.
+SCOPE_YEARS = (1996, 1997)
 
 # The lineitem columns the stand-in reads. Declared, not inferred: no inference
 # job, and the ship date is wall-clock time whatever the session's settings.
@@ -31,15 +31,8 @@ def _secs(n: Column, ts: Column) -> Column:
 
 
 def lineitem_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem restricted to the fixture years with a range predicate.
-
-    ``year(l_shipdate) IN (...)`` cannot reach the Parquet reader; the
-    equivalent half-open range on ``l_shipdate`` is pushed to row groups.
-    """
-    li = spark.read.schema(LINEITEM_SCHEMA).parquet(f"{sf_dir}/lineitem.parquet")
-    lo = F.lit(f"{min(FIXTURE_YEARS)}-01-01 00:00:00").cast("timestamp_ntz")
-    hi = F.lit(f"{max(FIXTURE_YEARS) + 1}-01-01 00:00:00").cast("timestamp_ntz")
-    return li.filter((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi))
+    """The whole lineitem table (only the columns the stand-in uses)."""
+    return spark.read.schema(LINEITEM_SCHEMA).parquet(f"{sf_dir}/lineitem.parquet")
 
 
 def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

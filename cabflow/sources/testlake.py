@@ -17,10 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.session import file_identity, glob_paths, work_dir
-from cabflow.sources.fixture import FIXTURE_YEARS, fixture_trips
+from cabflow.sources.fixture import fixture_trips
 from cabflow.sources.schema import FEEDS, SOURCE_NAMES
 
 
+# Bumped whenever the lake's layout or drift rules change, so old lakes are not reused.
+LAYOUT_VERSION = "l2"
+
+
 def _drift(feed: str, year_index: int) -> dict:
     first, second = year_index == 0, year_index == 1
     return {
@@ -61,9 +65,10 @@ def _move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
-def write_lake(spark: SparkSession, trips: DataFrame, root: str, years: tuple[int, ...] = FIXTURE_YEARS) -> str:
+def write_lake(spark: SparkSession, trips: DataFrame, root: str) -> str:
     """Write ``trips`` as the drifted raw lake under ``root``; returns ``root``."""
     root = root.rstrip("/")
+    years = sorted(r.file_year for r in trips.select("file_year").distinct().collect())  # a handful of ints
     for feed in FEEDS:
         for i, year in enumerate(years):
             part = trips.filter((F.col("taxi_type") == feed) & (F.col("file_year") == year))
@@ -97,7 +102,7 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> str:
     so an interrupted build is never read.
     """
     ident = file_identity(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    tag = sf_dir.rstrip("/").replace("/", "_").strip("_") + "-" + ident
+    tag = f"{sf_dir.rstrip('/').replace('/', '_').strip('_')}-{ident}-{LAYOUT_VERSION}"
     base = work_dir(spark, f"lakes/{tag}")
     ready = glob_paths(spark, f"{base}/*/_READY")
     if ready:

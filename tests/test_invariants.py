@@ -40,7 +40,7 @@ def test_materialized_equals_direct(spark, lake_root):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
-    assert len(rows) == 6 and set(df.columns) >= {"file_year", "taxi_type", "trips", "revenue_usd"}
+    assert len(rows) == 14 and set(df.columns) >= {"file_year", "taxi_type", "trips", "revenue_usd"}
 
 
 def test_materialize_publishes_versions(spark, lake_root, tmp_path):

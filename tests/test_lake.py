@@ -32,17 +32,19 @@ def test_drifted_lake_reads_back_equal_to_fixture(spark, lake_root):
 
 def test_schema_groups_are_few_and_merged(spark, lake_root):
     m = manifest(spark, lake_root)
-    assert m.select("signature").distinct().count() == 6  # 3 footer schemas per feed
+    assert m.select("signature").distinct().count() == 8  # 4 footer schemas per feed
     for feed in ("yellow", "green"):
         files = lake.feed_files(spark, lake_root, feed)
         groups = lake.schema_groups(spark, [f[0] for f in files], files)
         assert len(groups) == 2  # INT64 vs DOUBLE passenger_count is the only real conflict
-        assert sum(len(v) for v in groups.values()) == 36
+        assert sum(len(v) for v in groups.values()) == len(files) == m.filter(m.taxi_type == feed).count()
 
 
 def test_drift_report(spark, lake_root):
-    d = {(r.taxi_type, r.column_name): r for r in ing.schema_drift(manifest(spark, lake_root)).collect()}
-    assert d[("yellow", "cbd_fee")].first_year == 1998
+    m = manifest(spark, lake_root)
+    third_year = sorted(r.year for r in m.select("year").distinct().collect())[2]
+    d = {(r.taxi_type, r.column_name): r for r in ing.schema_drift(m).collect()}
+    assert d[("yellow", "cbd_fee")].first_year == d[("yellow", "cbd_fee")].last_year == third_year
     assert not d[("yellow", "cbd_fee")].in_every_file
     assert d[("green", "VendorID")].in_every_file
 
@@ -51,7 +53,7 @@ def test_scoped_years_and_empty_scope(spark, lake_root):
     scoped = lake.read_trips(spark, lake_root, (1997,))
     assert {r.file_year for r in scoped.select("file_year").distinct().collect()} == {1997}
     with pytest.raises(FileNotFoundError):
-        lake.read_trips(spark, lake_root, (2001,))
+        lake.read_trips(spark, lake_root, (2031,))
 
 
 def _copy_lake(src_root, dst, n_per_feed):
@@ -70,16 +72,17 @@ def _copy_lake(src_root, dst, n_per_feed):
 
 
 def test_corrupt_files_are_flagged_and_gate_fails(spark, lake_root, tmp_path):
-    _copy_lake(lake_root, str(tmp_path), 1)
-    bad1 = tmp_path / "yellow" / "1996" / "yellow_tripdata_1996-02.parquet"
+    copied = _copy_lake(lake_root, str(tmp_path), 1)
+    year = copied[0].split("/")[1]  # the bad files go into the copied files' year
+    bad1 = tmp_path / "yellow" / year / f"yellow_tripdata_{year}-12.parquet"
     bad1.write_bytes(b"PAR1" + b"\x00" * 12)  # 16 bytes, no trailing magic
-    bad2 = tmp_path / "green" / "1996" / "green_tripdata_1996-02.parquet"
+    bad2 = tmp_path / "green" / year / f"green_tripdata_{year}-12.parquet"
     bad2.write_bytes(b"PAR1")  # under 12 bytes
     m = manifest(spark, str(tmp_path))
     flags = {r.file: r.valid_parquet for r in m.collect()}
-    assert flags["yellow_tripdata_1996-02.parquet"] is False
-    assert flags["green_tripdata_1996-02.parquet"] is False
-    assert flags["yellow_tripdata_1996-01.parquet"] is True
+    assert flags[f"yellow_tripdata_{year}-12.parquet"] is False
+    assert flags[f"green_tripdata_{year}-12.parquet"] is False
+    assert flags[copied[0].split("/")[-1]] is True
     with pytest.raises(ValueError, match="invalid Parquet"):
         ing.gate(m)
     status = {r.status: r.files for r in ing.status_summary(ing.calendar(ing.year_span(m, "year")), m).collect()}
@@ -124,11 +127,12 @@ def test_analysis_and_validation_runs(spark, lake_root, tmp_path):
     out = run_analysis(spark, lake_root, str(tmp_path / "results"))
     assert set(out) == {"coverage", "quality", "monthly_indicators", "yearly_indicators", "payment_mix", "pickup_hour", "quantiles"}
     cov = spark.read.option("header", True).csv(out["coverage"])
-    assert cov.count() == 6 and set(cov.columns) == {"taxi_type", "file_year", "files", "rows"}
+    n_years = len({r.file_year for r in cov.collect()})
+    assert cov.count() == 2 * n_years and set(cov.columns) == {"taxi_type", "file_year", "files", "rows"}
     val = run_validation(spark, lake_root, str(tmp_path / "audit"))
-    assert spark.read.json(val["manifest"]).count() == 72
-    _copy_lake(lake_root, str(tmp_path / "bad"), 1)
-    (tmp_path / "bad" / "yellow" / "1996" / "yellow_tripdata_1996-05.parquet").write_bytes(b"PAR1" + b"\x00" * 12)
-    with pytest.raises(ValueError, match="yellow_tripdata_1996-05.parquet"):
+    assert spark.read.json(val["manifest"]).count() == manifest(spark, lake_root).count()
+    year = _copy_lake(lake_root, str(tmp_path / "bad"), 1)[0].split("/")[1]
+    (tmp_path / "bad" / "yellow" / year / f"yellow_tripdata_{year}-12.parquet").write_bytes(b"PAR1" + b"\x00" * 12)
+    with pytest.raises(ValueError, match=f"yellow_tripdata_{year}-12.parquet"):
         run_validation(spark, str(tmp_path / "bad"), str(tmp_path / "audit_bad"))
     assert spark.read.json(str(tmp_path / "audit_bad" / "manifest.json")).count() == 3  # written before failing
