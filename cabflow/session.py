@@ -36,11 +36,14 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 def work_dir(spark: SparkSession, sub: str = "") -> str:
     """A folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (a bare local test) is a fresh scratch
-    folder created and registered as the checkpoint dir.
+    Only a local master may do without the setting (tests): a fresh scratch folder
+    then serves as the checkpoint dir. Elsewhere a machine's own folder would be
+    out of the other machines' reach, so a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="cabflow-")
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
