@@ -42,7 +42,7 @@ def encode(
     out = fresh_name(df.columns, ids)
     length = F.coalesce(F.char_length(F.col(text)), F.lit(0))
     short = df.filter(length <= leaf_chars).mapInArrow(
-        _encode_rows(path, text, out), plus(df.schema, T.StructField(out, T.ArrayType(T.IntegerType(), False)))
+        _encode_rows(path, text, out), plus(df.schema, T.StructField(out, T.ArrayType(T.IntegerType())))
     )
     return short.unionByName(_encode_long(df.filter(length > leaf_chars), path, text, out, leaf_chars))
 
@@ -78,7 +78,7 @@ def _encode_long(df: DataFrame, path: str, text: str, out: str, leaf_chars: int)
         ),
     )
     spread = leaves.repartition(shuffle_partitions(df.sparkSession), key, leaf)
-    lists = T.ArrayType(T.IntegerType(), False)
+    lists = T.ArrayType(T.IntegerType())
     coded = spread.mapInArrow(
         _encode_leaves(path, piece),
         plus(spread.schema, *[T.StructField(f"_{c}", lists) for c in ("ids", "starts", "ends")]),
@@ -253,7 +253,7 @@ def _join(path: str, key: str, leaf: str, piece: str, row: str, out: str):
             coded = [np.asarray(group[c][i].values.to_numpy(zero_copy_only=False), np.int32) for c in ("_ids", "_starts", "_ends")]
             pieces.append((group[piece][i].as_py(), *coded))
         ids = join_tree(path, pieces)[1]
-        lists = pa.array([ids] * len(firsts), pa.list_(pa.int32()))
+        lists = pa.array([ids] * len(firsts), pa.list_(pa.field("element", pa.int32())))
         return pa.Table.from_arrays([rows.take(pa.array(firsts)), lists], names=[row, out])
 
     return run
