@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import bpe, packing
-from cabflow.llm.common import table
+from cabflow.llm import bpe, line_dedup, packing, quality, topk, warc
+from cabflow.llm.common import scratch, table
 from cabflow.llm.tokens import public_path
 
 
@@ -23,14 +23,114 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(key: str = "doc_id"):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model | None:
+    """The classifier fitted on the rows that are not held out."""
+    trusted = table(spark, sf_dir, "labels").filter((F.col("quality") == 1) & ~held_out()).select("doc_id")
+    return quality.train(docs.select("doc_id", "text").filter(~held_out()), trusted)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(spark, docs, sf_dir)
+    return quality.score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"),
+    )
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, n = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", n["n_lines"], n["n_dropped"], F.sha2(n["kept"], 256).alias("kept_sha256"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_path("byte_bpe_50k.json"), keep_ids=False)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archives(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_topk": op4_topk,
     "op7_packing": op7_packing,
+    "op9_warc": op9_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Equal results in DuckDB, where SQL can state them.
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), often AS (
+  SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT k.doc_id, k.pos, k.line, o.holder IS NOT NULL AND k.doc_id < o.holder AS dropped
+  FROM keyed k LEFT JOIN often o ON k.key = o.key
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""",
+    "op4_topk": """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+), scaled AS (
+  SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts
+  WHERE vec_id NOT IN (SELECT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x))
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM scaled q JOIN scaled c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY 1, 2
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op9_warc": """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), numbered AS (
+  SELECT page_id, strlen(body) AS payload_bytes, hex,
+         list_transform(range(8), lambda i: CAST('0x' || substr(hex, CAST(1 + 5 * i AS INTEGER), 5) AS BIGINT)) AS parts
+  FROM hashed
+), coded AS (
+  SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((parts[CAST(i // 4 + 1 AS INTEGER)] >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest
+  FROM numbered
+), best AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM coded
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+       CAST(CASE WHEN page_id < original THEN original END AS DOUBLE) AS refers_to
+FROM best
+""",
+}
