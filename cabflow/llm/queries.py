@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import bpe, line_dedup, packing, quality, topk, warc
+from cabflow.llm import bpe, fingerprints, licenses, line_dedup, minhash, packing, pages, quality, topk, warc
 from cabflow.llm.common import scratch, table
 from cabflow.llm.tokens import public_path
 
@@ -53,11 +53,23 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_path("byte_bpe_50k.json"), keep_ids=False)
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archives(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
     return warc.read_archives(spark, path).select(
@@ -65,13 +77,21 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op3_line_dedup": op3_line_dedup,
     "op4_topk": op4_topk,
+    "op5_licenses": op5_licenses,
+    "op6_pages": op6_pages,
     "op7_packing": op7_packing,
+    "op8_minhash": op8_minhash,
     "op9_warc": op9_warc,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 # Equal results in DuckDB, where SQL can state them.

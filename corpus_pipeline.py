@@ -5,11 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cabflow.llm import packing
-from cabflow.llm.common import stored
+from cabflow.llm import line_dedup, minhash, packing, quality
+from cabflow.llm.common import fresh_name, stored
+from cabflow.llm.queries import quality_model
 from cabflow.llm.tokens import public_path
 
+QUALITY_THRESHOLD = 0.3
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that score below the threshold go."""
+    name = fresh_name(docs.columns, "score")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir), out=name)
+    return scored.filter(F.col(name) >= QUALITY_THRESHOLD).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: lines of at least 40 code points in at least 5 documents stay in the last one only."""
+    out, new = line_dedup.dedup_lines(docs)
+    text = F.col(new["kept"])
+    changed = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    lost = F.col(new["n_dropped"]) > 0
+    return out.select(*[F.when(lost, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else c for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup at a similarity of 0.8: the document with the least id of each group stays."""
+    groups = minhash.near_duplicates(docs, percent=80)
+    kept = groups.filter("kept").select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows that share an id: one stays
+    return known.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the kept documents' ids in sequences of 1024 tokens."""
@@ -17,6 +45,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("near-duplicates", drop_near_duplicates),
     ("packing", pack_sequences),
 ]
 
@@ -24,6 +55,7 @@ ORACLE_SQL = None  # a trained classifier and packing cannot be stated in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
