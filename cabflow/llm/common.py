@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from cabflow.session import work_dir
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
