@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import append, fresh_name, int_lists, plus, shuffle_partitions, slices, text_column
+from cabflow.llm.common import append, fresh_name, int_lists, once, plus, shuffle_partitions, slices, text_column
 from cabflow.llm.tokens import decoder, tokenizer, text_encoder
 
 LEAF_CHARS = 65_536
@@ -222,10 +221,10 @@ def _agree_right(window, side, m: int, last_end: int) -> tuple[int, int] | None:
     return None
 
 
-@lru_cache(maxsize=8)
 def longest_added(path: str) -> int:
     """Code points of the longest special token."""
-    return max((len(t.content) for t in tokenizer(path).get_added_tokens_decoder().values()), default=0)
+    tokens = once(("added", path), lambda: list(tokenizer(path).get_added_tokens_decoder().values()))
+    return max((len(t.content) for t in tokens), default=0)
 
 
 def tokenizer_drops_space(path: str) -> bool:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,18 @@ from cabflow.session import work_dir
 BATCH_BYTES = 4 << 20
 
 
+def once(key: tuple, make: Callable):
+    """``make()``, called once in each Python process.
+
+    Functions reach the workers by value, with copies of their module's globals, so
+    what a worker is to keep between tasks is held apart from any module of this package.
+    """
+    held = sys.modules.setdefault("_cabflow_kept", types.ModuleType("_cabflow_kept")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

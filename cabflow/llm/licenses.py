@@ -23,7 +23,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import fresh_name, slices, text_column
+from cabflow.llm.common import fresh_name, once, slices, text_column
 
 # Short notices and the usual headers of public licenses.
 TEMPLATES = {
@@ -176,9 +175,8 @@ def blocks(text: str, anchors: tuple[str, ...]) -> Iterator[tuple[int, str]]:
         done = end
 
 
-@lru_cache(maxsize=4)
 def _scanner(templates: tuple, allowed: float) -> Scanner:
-    return Scanner(dict(templates), allowed)
+    return once(("scanner", templates, allowed), lambda: Scanner(dict(templates), allowed))
 
 
 NEW = ("license", "start", "end", "size_alone", "size_primed", "missing", "added", "notice")

@@ -12,13 +12,12 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from cabflow.llm.common import ragged
+from cabflow.llm.common import once, ragged
 
 _END = "\x01"
 _MARK = "\x02"
@@ -37,9 +36,12 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=8)
 def tokenizer(path: str):
     """The tokenizer, without truncation or padding; one for each Python worker."""
+    return once(("tokenizer", path), lambda: _load(path))
+
+
+def _load(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -179,9 +181,8 @@ class TextEncoder:
         return np.concatenate([*parts, kept[last:]]), n
 
 
-@lru_cache(maxsize=8)
 def text_encoder(path: str) -> TextEncoder:
-    return TextEncoder(path)
+    return once(("encoder", path), lambda: TextEncoder(path))
 
 
 class Decoder:
@@ -226,7 +227,6 @@ class Decoder:
         return out
 
 
-@lru_cache(maxsize=1)
 def _byte_of() -> dict[str, int]:
     """The public byte-level alphabet: printable bytes stand for themselves, the rest follow from U+0100."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -235,12 +235,11 @@ def _byte_of() -> dict[str, int]:
 
 
 def _token_bytes(token: str) -> bytes:
-    table = _byte_of()
+    table = once(("bytes",), _byte_of)
     if all(c in table for c in token):
         return bytes(table[c] for c in token)
     return token.encode()
 
 
-@lru_cache(maxsize=8)
 def decoder(path: str) -> Decoder:
-    return Decoder(path)
+    return once(("decoder", path), lambda: Decoder(path))
