@@ -88,11 +88,12 @@ class Scanner:
         self.allowed = allowed
 
     def ranked(self, block: str) -> list[tuple[int, int, str]]:
-        """(size alone, size with the template, name) of each template that shrinks the block, most first."""
+        """(size alone, size with the template, name) of each template, the one that shrinks the block most first."""
         raw = block.lower().encode()
         alone = len(self.plain.compress(raw))
+        # In a long block a short notice may save nothing, so none is ruled out by size alone.
         sizes = [(alone, len(self.primed[n].compress(raw)), n) for n in self.names]
-        return sorted((x for x in sizes if x[1] < alone), key=lambda x: (x[1], x[2]))
+        return sorted(sizes, key=lambda x: (x[1], x[2]))
 
     def aligned(self, name: str, block: list[str]) -> tuple[int, int, list[str], list[str]] | None:
         """(first word, last word + 1, missing, added) of the template's wording in the block, or None."""
