@@ -2,7 +2,7 @@
 
 All helpers return ``pyspark.sql.Column`` built from JVM-side functions, so they
 stay inside whole-stage codegen. The rules they encode (minute boundaries,
-weekday numbering, half-up rounding, exact fixed-point sums) are what keeps the
+weekday numbering, rounding) are what keeps the
 results identical to a SQL engine that follows the reference's conventions.
 """
 
@@ -73,31 +73,17 @@ def is_weekend(ts: str | Column) -> Column:
 
 
 def sql_round(c: str | Column, digits: int = 2) -> Column:
-    """Half-away-from-zero rounding of a double, done in decimal arithmetic.
+    """``ROUND(x, digits)`` of a double as the reference's engine has it.
 
-    Rounding the binary double directly makes ties such as 1.005 engine
-    dependent; going through DECIMAL(28,8) gives one answer everywhere.
+    The scaled value is rounded half away from zero and scaled back, all in
+    binary: 1.005 is below its decimal spelling and rounds to 1.0 (Spark's own
+    ``round`` goes by the spelling and gives 1.01).
     """
-    return F.round(_col(c).cast("decimal(28,8)"), digits).cast("double")
-
-
-def fixed_point(c: str | Column, scale: int = 2) -> Column:
-    """``c`` as a long count of 10^-scale units (cents for money)."""
-    return F.round(_col(c) * float(10**scale)).cast("long")
-
-
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
-    """SUM of a cent-quantised double, computed as a long.
-
-    Long addition is associative, so the total no longer depends on how rows
-    were split across tasks: reruns after executor loss give the same bits.
-    """
-    return F.sum(fixed_point(c, scale)).cast("double") / float(10**scale)
-
-
-def exact_mean(c: str | Column, scale: int = 2) -> Column:
-    """AVG of a cent-quantised double from its exact sum and non-NULL count."""
-    return exact_sum(c, scale) / F.count(_col(c))
+    x, scale = _col(c).cast("double"), float(10**digits)
+    scaled = F.abs(x) * scale
+    part = scaled % 1.0  # exact, unlike adding a half
+    whole = scaled - part + F.when(part >= 0.5, 1.0).otherwise(0.0)
+    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.signum(x) * whole / scale)
 
 
 def int_mean(c: str | Column) -> Column:

@@ -2,7 +2,7 @@
 
 The reference runs one query (one full scan) per exported indicator. Here one
 aggregation by (year, month, taxi type, payment type, pickup hour, weekend)
-keeps counts and exact sums — a few thousand rows however many trips there
+keeps counts and sums — a few thousand rows however many trips there
 are — and monthly, yearly, payment, hourly and total indicators are
 re-aggregations of it. Means come from summed numerators and counts, never
 from averaging averages, so the results equal the direct queries.
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabflow.functions.columns import card_tip_pct_value, fixed_point, is_weekend, sql_round
+from cabflow.functions.columns import card_tip_pct_value, is_weekend, sql_round
 from cabflow.operators.indicators import ordered
 
 
@@ -28,9 +28,9 @@ def indicator_cube(valid: DataFrame) -> DataFrame:
         is_weekend("pickup_datetime").alias("weekend"),
     ).agg(
         F.count(F.lit(1)).alias("trips"),
-        F.sum(fixed_point("total_amount")).alias("total_cents"),
+        F.sum("total_amount").alias("total_sum"),
         F.count("total_amount").alias("total_n"),
-        F.sum(fixed_point("trip_distance")).alias("distance_cents"),
+        F.sum("trip_distance").alias("distance_sum"),
         F.count("trip_distance").alias("distance_n"),
         F.sum(F.col("duration_minutes").cast("long")).alias("duration_sum"),
         F.count("duration_minutes").alias("duration_n"),
@@ -39,12 +39,8 @@ def indicator_cube(valid: DataFrame) -> DataFrame:
     )
 
 
-def _money_sum(col: str) -> Column:
-    return F.sum(col).cast("double") / 100.0
-
-
-def _money_mean(col: str, n: str) -> Column:
-    return _money_sum(col) / F.sum(n)
+def _mean(total: str, n: str) -> Column:
+    return F.sum(total) / F.sum(n)
 
 
 def _duration_mean() -> Column:
@@ -66,10 +62,10 @@ def monthly_indicators(cube: DataFrame) -> DataFrame:
 def _monthly(cube: DataFrame) -> DataFrame:
     return cube.groupBy("file_year", "file_month", "taxi_type").agg(
         F.sum("trips").alias("trips"),
-        _money_mean("distance_cents", "distance_n").alias("avg_distance_miles"),
+        _mean("distance_sum", "distance_n").alias("avg_distance_miles"),
         _duration_mean().alias("avg_duration_minutes"),
-        _money_mean("total_cents", "total_n").alias("avg_total_usd"),
-        _money_sum("total_cents").alias("revenue_usd"),
+        _mean("total_sum", "total_n").alias("avg_total_usd"),
+        F.sum("total_sum").alias("revenue_usd"),
     )
 
 
@@ -81,9 +77,9 @@ def _yearly(cube: DataFrame, rounded: bool) -> DataFrame:
     r = sql_round if rounded else (lambda c, digits=2: c)
     return cube.groupBy("file_year", "taxi_type").agg(
         F.sum("trips").alias("trips"),
-        r(_money_sum("total_cents")).alias("revenue_usd"),
-        r(_money_mean("total_cents", "total_n")).alias("avg_total_usd"),
-        r(_money_mean("distance_cents", "distance_n")).alias("avg_distance_miles"),
+        r(F.sum("total_sum")).alias("revenue_usd"),
+        r(_mean("total_sum", "total_n")).alias("avg_total_usd"),
+        r(_mean("distance_sum", "distance_n")).alias("avg_distance_miles"),
         r(_duration_mean()).alias("avg_duration_minutes"),
         (sql_round(_tip_mean()) if rounded else sql_round(_tip_mean(), 8)).alias("avg_card_tip_pct"),
         r(_weekend_pct()).alias("weekend_share_pct"),
@@ -113,9 +109,9 @@ def pickup_hour(cube: DataFrame) -> DataFrame:
 def totals(cube: DataFrame) -> DataFrame:
     return cube.agg(
         F.sum("trips").alias("trips"),
-        _money_sum("total_cents").alias("revenue"),
-        _money_mean("total_cents", "total_n").alias("avg_total"),
-        _money_mean("distance_cents", "distance_n").alias("avg_distance"),
+        F.sum("total_sum").alias("revenue"),
+        _mean("total_sum", "total_n").alias("avg_total"),
+        _mean("distance_sum", "distance_n").alias("avg_distance"),
         _duration_mean().alias("avg_duration"),
         sql_round(_tip_mean(), 8).alias("tip_pct"),
     )

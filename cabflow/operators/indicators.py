@@ -4,8 +4,8 @@ Each is a single partial+final hash aggregation: the partial side runs inside
 the scan's codegen stage and only one row per group and task is shuffled, so a
 feed holding almost every row (yellow) costs no more than its scan.
 
-Money and distance sums are exact (cents as longs) and averages are
-sum / non-NULL count, so results are identical on every rerun and layout.
+Money and distances are summed and averaged as the doubles they are: no value
+is rounded before it is aggregated, and a NaN gives a NaN.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from cabflow.functions.columns import (
     card_tip_pct_value,
-    exact_mean,
-    exact_sum,
     int_mean,
     is_weekend,
     reused,
@@ -57,9 +55,9 @@ def _trips() -> Column:
 def _monthly_eda_aggs() -> list:
     return [
         _trips(),
-        sql_round(exact_mean("trip_distance")).alias("avg_distance_miles"),
+        sql_round(F.avg("trip_distance")).alias("avg_distance_miles"),
         sql_round(int_mean("duration_minutes")).alias("avg_duration_minutes"),
-        sql_round(exact_mean("total_amount")).alias("avg_total_usd"),
+        sql_round(F.avg("total_amount")).alias("avg_total_usd"),
     ]
 
 
@@ -67,10 +65,10 @@ def _monthly_eda_aggs() -> list:
 def _monthly_aggs() -> list:
     return [
         _trips(),
-        exact_mean("trip_distance").alias("avg_distance_miles"),
+        F.avg("trip_distance").alias("avg_distance_miles"),
         int_mean("duration_minutes").alias("avg_duration_minutes"),
-        exact_mean("total_amount").alias("avg_total_usd"),
-        exact_sum("total_amount").alias("revenue_usd"),
+        F.avg("total_amount").alias("avg_total_usd"),
+        F.sum("total_amount").alias("revenue_usd"),
     ]
 
 
@@ -97,9 +95,9 @@ def _yearly_aggs(rounded: bool) -> list:
     tip = F.avg(card_tip_pct_value())
     return [
         _trips(),
-        r(exact_sum("total_amount")).alias("revenue_usd"),
-        r(exact_mean("total_amount")).alias("avg_total_usd"),
-        r(exact_mean("trip_distance")).alias("avg_distance_miles"),
+        r(F.sum("total_amount")).alias("revenue_usd"),
+        r(F.avg("total_amount")).alias("avg_total_usd"),
+        r(F.avg("trip_distance")).alias("avg_distance_miles"),
         r(int_mean("duration_minutes")).alias("avg_duration_minutes"),
         (sql_round(tip) if rounded else sql_round(tip, 8)).alias("avg_card_tip_pct"),
         r(share_pct(is_weekend("pickup_datetime"))).alias("weekend_share_pct"),
@@ -117,8 +115,8 @@ def yearly_indicators_raw(valid: DataFrame) -> DataFrame:
 def yearly_notebook(valid: DataFrame) -> DataFrame:
     agg = valid.groupBy(_year(), "taxi_type").agg(
         _trips(),
-        sql_round(exact_mean("total_amount")).alias("avg_total"),
-        sql_round(exact_mean("trip_distance")).alias("avg_distance"),
+        sql_round(F.avg("total_amount")).alias("avg_total"),
+        sql_round(F.avg("trip_distance")).alias("avg_distance"),
     )
     return ordered(agg, "file_year", "taxi_type")
 
@@ -160,9 +158,9 @@ def pickup_hour(valid: DataFrame) -> DataFrame:
 def _totals_aggs() -> list:
     return [
         _trips(),
-        exact_sum("total_amount").alias("revenue"),
-        exact_mean("total_amount").alias("avg_total"),
-        exact_mean("trip_distance").alias("avg_distance"),
+        F.sum("total_amount").alias("revenue"),
+        F.avg("total_amount").alias("avg_total"),
+        F.avg("trip_distance").alias("avg_distance"),
         int_mean("duration_minutes").alias("avg_duration"),
         sql_round(F.avg(card_tip_pct_value()), 8).alias("tip_pct"),
     ]
@@ -183,11 +181,11 @@ def bench_count(trips: DataFrame) -> DataFrame:
 def bench_summary(trips: DataFrame) -> DataFrame:
     return trips.groupBy("taxi_type").agg(
         _trips(),
-        exact_mean("trip_distance").alias("avg_distance"),
-        exact_mean("total_amount").alias("avg_total"),
+        F.avg("trip_distance").alias("avg_distance"),
+        F.avg("total_amount").alias("avg_total"),
     )
 
 
 def bench_monthly(trips: DataFrame) -> DataFrame:
-    agg = trips.groupBy(_year(), _month(), "taxi_type").agg(_trips(), exact_sum("total_amount").alias("revenue"))
+    agg = trips.groupBy(_year(), _month(), "taxi_type").agg(_trips(), F.sum("total_amount").alias("revenue"))
     return ordered(agg, "file_year", "file_month", "taxi_type", "trips", "revenue")

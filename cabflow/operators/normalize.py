@@ -55,22 +55,22 @@ def union_feeds(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _valid_conjuncts() -> dict[str, Column]:
+def _valid_conjuncts() -> list[Column]:
     p, d = F.col("pickup_datetime"), F.col("dropoff_datetime")
-    return {
-        "pickup_present": p.isNotNull(),
-        "dropoff_present": d.isNotNull(),
-        "pickup_in_file_year": F.year(p) == F.col("file_year"),
-        "positive_duration": d > p,
-        "within_24h": d <= plus_hours(p, 24),
-        "distance_nonnegative": F.col("trip_distance") >= 0,
-        "total_nonnegative": F.col("total_amount") >= 0,
-    }
+    return [
+        p.isNotNull(),
+        d.isNotNull(),
+        F.year(p) == F.col("file_year"),
+        d > p,
+        d <= plus_hours(p, 24),
+        F.col("trip_distance") >= 0,
+        F.col("total_amount") >= 0,
+    ]
 
 
 @reused
 def valid_condition() -> Column:
-    return reduce(lambda a, b: a & b, _valid_conjuncts().values())
+    return reduce(lambda a, b: a & b, _valid_conjuncts())
 
 
 @reused
@@ -82,12 +82,19 @@ def with_duration(df: DataFrame) -> DataFrame:
     return df.withColumn("duration_minutes", _duration())
 
 
-def valid_trips(trips: DataFrame) -> DataFrame:
+def valid_trips(trips: DataFrame, years: tuple[int, ...] | None = None) -> DataFrame:
     """Trips usable for indicators, plus ``duration_minutes``.
 
     A NULL distance or total fails its comparison and drops the row (SQL
     three-valued logic); zero distance is kept. The month is not checked.
+    ``years``: the scope ``trips`` was read for. A valid pickup lies in its file's
+    year, so the scope's range on the pickup is implied; stated, it reaches the
+    scan and skips row groups of stray dates.
     """
+    if years:
+        start, end = f"{min(years):04d}-01-01", f"{max(years) + 1:04d}-01-01"
+        pickup = F.col("pickup_datetime")
+        trips = trips.filter((pickup >= F.lit(start).cast("timestamp_ntz")) & (pickup < F.lit(end).cast("timestamp_ntz")))
     return with_duration(trips.filter(valid_condition()))
 
 

@@ -31,6 +31,26 @@ def coverage(trips: DataFrame) -> DataFrame:
     return ordered(cov, "file_year", "taxi_type")
 
 
+def audit_by_file(trips: DataFrame) -> DataFrame:
+    """Rows and defect counters per feed, year and file: one row a file, from one scan.
+
+    ``coverage_of`` and ``quality_of`` are sums of it, for runs that need both.
+    """
+    keys = ["taxi_type", F.col("file_year").cast("long").alias("file_year"), "filename"]
+    return trips.groupBy(*keys).agg(*_quality_aggs())
+
+
+def coverage_of(audit: DataFrame) -> DataFrame:
+    cov = audit.groupBy("taxi_type", "file_year").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+    return ordered(cov, "file_year", "taxi_type")
+
+
+def quality_of(audit: DataFrame) -> DataFrame:
+    counters = [c for c in audit.columns if c not in ("taxi_type", "file_year", "filename")]
+    q = audit.groupBy("taxi_type", "file_year").agg(*[F.sum(c).alias(c) for c in counters])
+    return ordered(q, "file_year", "taxi_type")
+
+
 def file_row_counts(all_files: DataFrame, path_col: str = "filename") -> DataFrame:
     """Same numbers as ``coverage`` but keyed by regexes over the file path only.
 

@@ -5,9 +5,10 @@ it in one task, so one hot group (a feed with most of the rows) would hold
 every distinct value in one task. Here the work is a sort-based selection:
 
 1. count rows per distinct (group, value) — map-side combined;
-2. range-partition those counts on (group, value): a hot group is spread
-   over many slices, each a bounded, sorted run of values; the slices are
-   checkpointed so both passes below see the very same boundaries;
+2. range-partition those counts on (group, value) into slices of
+   ``SLICE_VALUES`` values: a hot group is spread over many slices, each a
+   bounded, sorted run of values; the slices are stored as Parquet so both
+   passes below see the very same boundaries;
 3. per (slice, group) totals (slices x groups rows) give each slice's
    starting rank; the ranks we need (floor/ceil of p*(n-1)) are assigned to
    the slice that holds them;
@@ -15,21 +16,22 @@ every distinct value in one task. Here the work is a sort-based selection:
    joined on (group, slice) so the hot group never lands in one task;
 5. interpolate between the two ranks as Spark's ``percentile`` does.
 
-When the distinct-value table is small (counted, not guessed), the built-in
-``percentile(value, probs, frequency)`` over it is used directly: each
-group's map is then bounded by that count. Both paths give exactly what
-``percentile`` gives; ``quantile_cont`` agrees to the last binary digit or two.
+The stored counts are removed once the few result rows are stored. Results
+equal ``percentile``; ``quantile_cont`` agrees to the last binary digit or two.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabflow.session import remove, work_dir
 
-# Distinct (group, value) rows one task may sort and scan when the whole
-# distinct-value table is this small (~24 bytes a row).
-SINGLE_SLICE_LIMIT = 1_000_000
+SLICE_VALUES = 500_000
 
 
 def exact_quantiles(
@@ -37,48 +39,41 @@ def exact_quantiles(
     group_cols: list[str],
     value_col: str,
     probs: list[float],
-    slices: int | None = None,
-    single_slice_limit: int = SINGLE_SLICE_LIMIT,
+    slice_values: int = SLICE_VALUES,
 ) -> DataFrame:
-    """Return ``(group_cols..., prob, value)`` with the exact quantile per group.
-
-    The distinct-value counts are checkpointed (one scan of the input) and
-    counted; only when there are more than ``single_slice_limit`` of them are
-    they range-partitioned into slices. ``slices`` forces the sliced path.
-    """
+    """Return ``(group_cols..., prob, value, mean)``: the exact quantiles and the mean of each group."""
     spark = df.sparkSession
     g = list(group_cols)
-    n_slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = work_dir(spark, f"quantiles/{uuid.uuid4().hex}")
+    prob_list = [float(p) for p in probs]
 
-    freq = (
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{base}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{base}/{name}")
+
+    freq = kept(
         df.select(*g, F.col(value_col).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull())
         .groupBy(*g, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .checkpoint(eager=True)
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "counts",
     )
-    prob_list = [float(p) for p in probs]
-    if slices is None and freq.count() <= single_slice_limit:
-        # Every group's value->count map is bounded by the count just taken.
-        per_group = freq.groupBy(*g).agg(
-            F.percentile("_v", F.array(*[F.lit(p) for p in prob_list]), F.col("_n")).alias("_q")
-        )
-        return per_group.select(*g, F.posexplode("_q").alias("_i", "value")).select(
-            *g, F.element_at(F.array(*[F.lit(p) for p in prob_list]), F.col("_i") + 1).alias("prob"), "value"
-        )
-    ranged = (
-        freq.repartitionByRange(n_slices, *g, "_v")
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint(eager=True)
+    n_slices = max(1, math.ceil(freq.count() / slice_values))
+    ranged = kept(
+        freq.repartitionByRange(n_slices, *g, "_v").withColumn("_slice", F.spark_partition_id()), "slices"
     )
 
-    per_slice = ranged.groupBy("_slice", *g).agg(F.sum("_n").alias("_slice_n"))
+    per_slice = ranged.groupBy("_slice", *g).agg(
+        F.sum("_n").alias("_slice_n"), F.sum(F.col("_v") * F.col("_n")).alias("_slice_sum")
+    )
     by_slice = Window.partitionBy(*g).orderBy("_slice")
     offsets = per_slice.withColumn("_before", F.sum("_slice_n").over(by_slice) - F.col("_slice_n"))
-    totals = per_slice.groupBy(*g).agg(F.sum("_slice_n").alias("_total"))
+    totals = per_slice.groupBy(*g).agg(
+        F.sum("_slice_n").alias("_total"), (F.sum("_slice_sum") / F.sum("_slice_n")).alias("mean")
+    )
 
     targets = (
-        totals.select(*g, "_total", F.explode(F.array(*[F.lit(p) for p in prob_list])).alias("prob"))
+        totals.select(*g, "_total", "mean", F.explode(F.array(*[F.lit(p) for p in prob_list])).alias("prob"))
         .withColumn("_pos", F.col("prob") * (F.col("_total") - 1).cast("double"))
         .withColumn("_lo", F.floor("_pos").cast("long"))
         .withColumn("_hi", F.ceil("_pos").cast("long"))
@@ -101,12 +96,16 @@ def exact_quantiles(
     )
     lo = hits.withColumnRenamed("_rank", "_lo").withColumnRenamed("_v", "_vlo")
     hi = hits.withColumnRenamed("_rank", "_hi").withColumnRenamed("_v", "_vhi")
-    # Spark's own interpolation, so both paths equal ``percentile`` bit for bit.
+    # Spark's own interpolation, so the result equals ``percentile`` bit for bit.
     same = (F.col("_lo") == F.col("_hi")) | (F.col("_vlo") == F.col("_vhi"))
     value = F.when(same, F.col("_vlo")).otherwise(
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi")
     )
-    return targets.join(lo, [*g, "_lo"]).join(hi, [*g, "_hi"]).select(*g, "prob", value.alias("value"))
+    found = targets.join(lo, [*g, "_lo"]).join(hi, [*g, "_hi"]).select(*g, "prob", value.alias("value"), "mean")
+    result = kept(found.coalesce(1), "result")  # groups x probabilities rows
+    for name in ("counts", "slices"):
+        remove(spark, f"{base}/{name}")
+    return result
 
 
 # Measures reported by the quantile queries (output prefix, source column).
@@ -124,7 +123,10 @@ def _stacked(valid: DataFrame) -> DataFrame:
 
 
 def _label(prob: float) -> str:
-    return f"p{round(prob * 100):d}"
+    """``p50``, ``p99``, ``p99_5``: the probability in percent, every digit of it."""
+    percent = format(Decimal(str(prob)) * 100, "f")
+    percent = percent.rstrip("0").rstrip(".") if "." in percent else percent
+    return "p" + percent.replace(".", "_")
 
 
 def quantiles(valid: DataFrame, probs: tuple[float, ...] = (0.5, 0.99)) -> DataFrame:

@@ -7,11 +7,10 @@ up front so Spark plans them without a distinct-values job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cabflow.functions.columns import exact_mean, sql_round
+from cabflow.functions.columns import sql_round
 from cabflow.operators.quantiles import exact_quantiles
 from cabflow.sources.schema import FEEDS
 
@@ -74,14 +73,14 @@ def quantile_panel(quantiles: DataFrame) -> DataFrame:
 
 
 def skew_check(valid: DataFrame) -> DataFrame:
-    """Median, p99 and mean distance per taxi type; a mean above the median flags right skew."""
+    """Median, p99 and mean distance per taxi type, from one scan; a mean above the median flags right skew."""
     q = exact_quantiles(valid, ["taxi_type"], "trip_distance", [0.5, 0.99])
-    wide = q.groupBy("taxi_type").pivot("prob", [0.5, 0.99]).agg(F.first("value"))
-    wide = wide.select("taxi_type", F.col("`0.5`").alias("distance_p50"), F.col("`0.99`").alias("distance_p99"))
-    means = valid.groupBy("taxi_type").agg(exact_mean("trip_distance").alias("mean_distance"))
-    return wide.join(means, "taxi_type").withColumn(
-        "mean_above_median", F.col("mean_distance") > F.col("distance_p50")
+    wide = q.groupBy("taxi_type").agg(
+        F.first(F.when(F.col("prob") == 0.5, F.col("value")), ignorenulls=True).alias("distance_p50"),
+        F.first(F.when(F.col("prob") == 0.99, F.col("value")), ignorenulls=True).alias("distance_p99"),
+        F.first("mean").alias("mean_distance"),
     )
+    return wide.withColumn("mean_above_median", F.col("mean_distance") > F.col("distance_p50"))
 
 
 def kpi_cards(totals: DataFrame) -> DataFrame:
@@ -116,14 +115,17 @@ def sample_rows(trips: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:
     return trips.orderBy(F.rand(seed)).limit(n)
 
 
-def describe(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column names and types of a relation, as a DataFrame."""
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    schema = T.StructType(
-        [
-            T.StructField("column_name", T.StringType()),
-            T.StructField("column_type", T.StringType()),
-            T.StructField("nullable", T.BooleanType()),
-        ]
+def describe(df: DataFrame) -> DataFrame:
+    """One row per column of a relation: name, type, and how many of its rows have a value."""
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f.name)).alias(f"_{i}") for i, f in enumerate(df.schema.fields)])
+    entries = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("column_type"),
+            F.col(f"_{i}").alias("values"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return counts.select("rows", F.explode(F.array(*entries)).alias("_c")).select(
+        "_c.column_name", "_c.column_type", "rows", "_c.values"
     )
-    return spark.createDataFrame(rows, schema)

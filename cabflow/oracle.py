@@ -1,14 +1,16 @@
-"""Independent SQL (DuckDB dialect) for every SQL-checkable query key.
+"""Independent SQL for every registered query key.
 
 The prelude rebuilds ``trips`` and ``valid_trips`` from ``lineitem`` with the
 same fixture rules, but spelled with the SQL engine's own primitives
 (``date_diff('minute', ..)``, 0-based ``dayofweek``, ``quantile_cont``), so
 the comparison checks our Spark re-expressions of those semantics too.
-Sums and means use the same exact cent arithmetic as the Spark side.
+Sums, means and rounding are the SQL engine's own.
 """
 
 from __future__ import annotations
 
+from cabflow.sources.schema import CANONICAL, FEEDS, SOURCE_NAMES
+
 PRELUDE = """
 WITH li AS (
   SELECT * FROM lineitem
@@ -36,7 +38,7 @@ trips AS (
     CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE CAST(l_linenumber - 1 AS DOUBLE) END AS passenger_count,
     CASE WHEN l_orderkey % 53 = 0 THEN CAST(0.0 AS DOUBLE)
          WHEN l_orderkey % 401 = 0 THEN CAST(-1.5 AS DOUBLE)
-         ELSE CAST(l_partkey AS DOUBLE) / 100 END AS trip_distance,
+         ELSE CAST(l_partkey AS DOUBLE) / 128 END AS trip_distance,
     CAST(l_linenumber AS DOUBLE) AS rate_code_id,
     CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
     CAST(l_partkey % 263 + 1 AS BIGINT) AS pickup_location_id,
@@ -48,7 +50,7 @@ trips AS (
     l_quantity * l_discount AS tip_amount,
     CAST(0.0 AS DOUBLE) AS tolls_amount,
     CAST(1.0 AS DOUBLE) AS improvement_surcharge,
-    CASE WHEN l_orderkey % 71 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS total_amount,
+    CASE WHEN l_orderkey % 71 = 0 THEN -1.0 ELSE 1.0 END * floor(l_extendedprice * 128) / CAST(128 AS DOUBLE) AS total_amount,
     CAST(2.5 AS DOUBLE) AS congestion_surcharge,
     CASE WHEN taxi_type = 'yellow' THEN CAST(1.75 AS DOUBLE) END AS airport_fee,
     CASE WHEN taxi_type = 'green' THEN CAST(0.0 AS DOUBLE) END AS ehail_fee,
@@ -80,23 +82,19 @@ TRIP_COLUMNS = (
 
 
 def rnd(x: str, d: int = 2) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,8)), {d}) AS DOUBLE)"
+    return f"ROUND(CAST({x} AS DOUBLE), {d})"
 
 
 def xsum(x: str) -> str:
-    return f"(CAST(SUM(CAST(ROUND({x} * 100.0) AS BIGINT)) AS DOUBLE) / 100.0)"
+    return f"SUM({x})"
 
 
 def xmean(x: str) -> str:
-    return f"({xsum(x)} / COUNT({x}))"
-
-
-def imean(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS BIGINT)) AS DOUBLE) / COUNT({x}))"
+    return f"AVG({x})"
 
 
 def share(cond: str) -> str:
-    return f"(100.0 * (CAST(SUM(CAST(CASE WHEN {cond} THEN 1 ELSE 0 END AS BIGINT)) AS DOUBLE) / COUNT(*)))"
+    return f"(100.0 * AVG(CASE WHEN {cond} THEN 1 ELSE 0 END))"
 
 
 TIP = "AVG(CASE WHEN payment_type = 1 AND fare_amount > 0 THEN 100.0 * tip_amount / fare_amount END)"
@@ -113,7 +111,7 @@ def _quantile_cols(probs: tuple[float, ...]) -> str:
     cols = []
     for name, src in (("distance", "trip_distance"), ("duration", "duration_minutes"), ("total", "total_amount")):
         for p in probs:
-            cols.append(f"{rnd(f'quantile_cont(CAST({src} AS DOUBLE), {p})', 8)} AS {name}_p{round(p * 100)}")
+            cols.append(f"{rnd(f'quantile_cont(CAST({src} AS DOUBLE), {p})', 6)} AS {name}_p{round(p * 100)}")
     return ", ".join(cols)
 
 
@@ -122,7 +120,7 @@ SELECT {Y}, taxi_type, COUNT(*) AS trips,
   {rnd(xsum('total_amount'))} AS revenue_usd,
   {rnd(xmean('total_amount'))} AS avg_total_usd,
   {rnd(xmean('trip_distance'))} AS avg_distance_miles,
-  {rnd(imean('duration_minutes'))} AS avg_duration_minutes,
+  {rnd(xmean('duration_minutes'))} AS avg_duration_minutes,
   {rnd(TIP)} AS avg_card_tip_pct,
   {rnd(share(WEEKEND))} AS weekend_share_pct
 FROM valid_trips GROUP BY ALL
@@ -133,7 +131,7 @@ SELECT {Y}, taxi_type, COUNT(*) AS trips,
   {xsum('total_amount')} AS revenue_usd,
   {xmean('total_amount')} AS avg_total_usd,
   {xmean('trip_distance')} AS avg_distance_miles,
-  {imean('duration_minutes')} AS avg_duration_minutes,
+  {xmean('duration_minutes')} AS avg_duration_minutes,
   {rnd(TIP, 8)} AS avg_card_tip_pct,
   {share(WEEKEND)} AS weekend_share_pct
 FROM valid_trips GROUP BY ALL
@@ -142,7 +140,7 @@ FROM valid_trips GROUP BY ALL
 MONTHLY_RAW = f"""
 SELECT {Y}, {M}, taxi_type, COUNT(*) AS trips,
   {xmean('trip_distance')} AS avg_distance_miles,
-  {imean('duration_minutes')} AS avg_duration_minutes,
+  {xmean('duration_minutes')} AS avg_duration_minutes,
   {xmean('total_amount')} AS avg_total_usd,
   {xsum('total_amount')} AS revenue_usd
 FROM valid_trips GROUP BY ALL
@@ -187,7 +185,7 @@ FROM trips GROUP BY ALL
     "monthly_eda": f"""
 SELECT {Y}, {M}, taxi_type, COUNT(*) AS trips,
   {rnd(xmean('trip_distance'))} AS avg_distance_miles,
-  {rnd(imean('duration_minutes'))} AS avg_duration_minutes,
+  {rnd(xmean('duration_minutes'))} AS avg_duration_minutes,
   {rnd(xmean('total_amount'))} AS avg_total_usd
 FROM valid_trips GROUP BY ALL
 """,
@@ -211,7 +209,7 @@ FROM valid_trips GROUP BY taxi_type, payment_type
     "pickup_hour": HOURLY,
     "totals": f"""
 SELECT COUNT(*) AS trips, {xsum('total_amount')} AS revenue, {xmean('total_amount')} AS avg_total,
-  {xmean('trip_distance')} AS avg_distance, {imean('duration_minutes')} AS avg_duration,
+  {xmean('trip_distance')} AS avg_distance, {xmean('duration_minutes')} AS avg_duration,
   {rnd(TIP, 8)} AS tip_pct
 FROM valid_trips
 """,
@@ -273,8 +271,8 @@ FROM (SELECT taxi_type,
         "quantile_panel": SQL["quantiles"],
         "skew_check": f"""
 SELECT taxi_type,
-  {rnd('quantile_cont(trip_distance, 0.5)', 8)} AS distance_p50,
-  {rnd('quantile_cont(trip_distance, 0.99)', 8)} AS distance_p99,
+  {rnd('quantile_cont(trip_distance, 0.5)', 6)} AS distance_p50,
+  {rnd('quantile_cont(trip_distance, 0.99)', 6)} AS distance_p99,
   {xmean('trip_distance')} AS mean_distance,
   {xmean('trip_distance')} > quantile_cont(trip_distance, 0.5) AS mean_above_median
 FROM valid_trips GROUP BY taxi_type
@@ -356,5 +354,65 @@ SELECT 'payment_vs_hourly', taxi_type, CAST(NULL AS DOUBLE), COUNT(*), COUNT(*),
 )
 
 
+def _carries(column: str) -> str:
+    """Condition on (taxi_type, nth year) under which the lake's files carry a source column."""
+    feeds = [f for f in FEEDS if column in {c for c in SOURCE_NAMES[f].values() if c}]
+    if column.lower() in ("airport_fee", "ehail_fee"):
+        spelled = {"airport_fee": "nth = 2", "Airport_fee": "nth > 2"}.get(column, "nth > 1")
+        feed = "green" if column == "ehail_fee" else "yellow"
+        return f"taxi_type = '{feed}' AND {spelled}"
+    if column == "cbd_fee":
+        return "nth = 3"
+    return f"taxi_type IN ({', '.join(repr(f) for f in feeds)})"
+
+
+def _source_columns() -> list[str]:
+    names = {c for f in FEEDS for c in SOURCE_NAMES[f].values() if c}
+    return sorted(names | {"airport_fee", "Airport_fee", "cbd_fee"})
+
+
+FILES = """SELECT *, dense_rank() OVER (ORDER BY file_year) AS nth
+FROM (SELECT taxi_type, filename, file_year, COUNT(*) AS rows FROM trips GROUP BY ALL)"""
+CARRIED = " UNION ALL ".join(
+    f"SELECT taxi_type, filename, file_year, rows, '{c}' AS column_name FROM files WHERE {_carries(c)}" for c in _source_columns()
+)
+DRIFT = """SELECT c.taxi_type, c.column_name, CAST(min(c.file_year) AS BIGINT) AS first_year,
+  CAST(max(c.file_year) AS BIGINT) AS last_year, COUNT(*) AS files,
+  COUNT(*) = max(a.files) AS in_every_file
+FROM carried c JOIN (SELECT taxi_type, COUNT(*) AS files FROM files GROUP BY ALL) a USING (taxi_type)
+GROUP BY c.taxi_type, c.column_name"""
+SPELLED = {"string": "string", "integer": "int", "long": "long", "double": "double", "timestamp_ntz": "timestamp_ntz"}
+DESCRIBED = " UNION ALL ".join(
+    f"SELECT '{n}' AS column_name, '{SPELLED[t.typeName()]}' AS column_type, COUNT(*) AS rows, COUNT({n}) AS values FROM lake"
+    for n, t in CANONICAL
+)
+
+SQL.update(
+    {
+        "sample_rows": "SELECT CAST(10 AS BIGINT) AS wanted, least(COUNT(*), 10) AS in_trips FROM trips",
+        "describe_trips": _with(DESCRIBED, lake=LAKE),
+        "ingest_manifest": _with(
+            """SELECT taxi_type, CAST(file_year AS BIGINT) AS year, filename AS file, true AS valid_parquet, max(rows) AS rows,
+  COUNT(*) AS columns FROM carried GROUP BY taxi_type, file_year, filename""",
+            files=FILES,
+            carried=CARRIED,
+        ),
+        "ingest_integrity": """SELECT taxi_type, CAST(file_year AS BIGINT) AS year, COUNT(DISTINCT filename) AS files,
+  COUNT(DISTINCT filename) AS valid_files, COUNT(DISTINCT filename) AS sized_files FROM trips GROUP BY ALL""",
+        "ingest_gate": "SELECT COUNT(DISTINCT filename) AS files, COUNT(*) AS rows FROM trips",
+        "schema_drift": _with(DRIFT, files=FILES, carried=CARRIED),
+        "ingest_status_summary": _with(
+            """SELECT s.status, CAST(coalesce(n.files, 0) AS BIGINT) AS files,
+  s.status = 'new' AND coalesce(n.files, 0) > 0 AS has_new_bytes
+FROM (SELECT unnest(['new', 'skipped', 'missing', 'failed']) AS status) s
+LEFT JOIN (SELECT status, COUNT(*) AS files FROM marked GROUP BY status) n ON s.status = n.status""",
+            files=FILES,
+            marked=f"""SELECT CASE WHEN f.filename IS NULL THEN 'missing' WHEN f.nth = 1 THEN 'skipped' ELSE 'new' END AS status
+FROM ({CALENDAR}) c LEFT JOIN files f ON c.file = f.filename""",
+        ),
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _q(v) for k, v in SQL.items()}

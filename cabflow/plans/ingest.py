@@ -7,9 +7,12 @@ Spark picks their strategy from actual sizes.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabflow.session import work_dir
 from cabflow.sources.schema import FEEDS
 
 
@@ -79,11 +82,12 @@ def invalid_files(manifest: DataFrame) -> DataFrame:
     return manifest.filter(~F.col("valid_parquet")).select("taxi_type", "year", "file", "bytes")
 
 
-def gate(manifest: DataFrame, max_names: int = 50) -> DataFrame:
+def gate(manifest: DataFrame, report: str | None = None) -> DataFrame:
     """Raise if there is no file or any file is not valid Parquet; else return the manifest.
 
-    Only a bounded list of offending names is brought to the driver for the
-    message, with their total count.
+    All offending files are written as JSON lines to ``report`` (default: a fresh
+    folder in the shared work folder); the error has their number, the first
+    names and that path.
     """
     counts = manifest.agg(
         F.count(F.lit(1)).alias("files"), F.count_if(~F.col("valid_parquet")).alias("invalid")
@@ -91,8 +95,12 @@ def gate(manifest: DataFrame, max_names: int = 50) -> DataFrame:
     if counts is None or counts["files"] == 0:
         raise FileNotFoundError("no Parquet files found")
     if counts["invalid"]:
-        names = [r.file for r in invalid_files(manifest).orderBy("file").limit(max_names).collect()]
-        raise ValueError(f"{counts['invalid']} invalid Parquet files: {', '.join(names)}")
+        path = report or work_dir(manifest.sparkSession, f"invalid-files/{uuid.uuid4().hex}")
+        bad = invalid_files(manifest)
+        bad.write.mode("overwrite").json(path)
+        names = [r.file for r in bad.orderBy("file").limit(20).collect()]
+        more = " ..." if counts["invalid"] > len(names) else ""
+        raise ValueError(f"{counts['invalid']} invalid Parquet files, all in {path}: {', '.join(names)}{more}")
     return manifest
 
 

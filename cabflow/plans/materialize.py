@@ -5,16 +5,18 @@ here the equivalent is a Parquet table partitioned by those two columns:
 lookups by them prune whole directories (``PartitionFilters``), and rows are
 clustered by month inside each partition so month predicates skip row groups.
 
-No shuffle is needed to write it: every scan split comes from one monthly
-file, i.e. one (year, taxi type, month), so each task writes into one
-partition directory. A dominant feed just means more tasks of the same size
-(splits follow ``spark.sql.files.maxPartitionBytes``), never one huge task;
+No shuffle is needed to write it: a scan split holds one monthly file, a part of
+one or several small ones, so a task writes into few partition directories. A
+dominant feed just means more tasks of the same size (splits follow
+``spark.sql.files.maxPartitionBytes``), never one huge task;
 ``maxRecordsPerFile`` bounds output file size.
 
 Replacement is atomic for readers: each materialisation is written to a fresh
 version folder and published afterwards by creating a marker file; readers take
 the newest published version. A job that dies midway leaves the previous
-version readable (``overwrite`` would already have deleted it).
+version readable (``overwrite`` would already have deleted it), and its own
+folder is removed. Old versions go once they are past ``keep`` and older than
+``grace_seconds``, so that a reader that began on one can finish.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.session import glob_paths, parquet_v2
-from cabflow.sources.schema import CANONICAL_NAMES
+from cabflow.session import glob_paths, parquet_v2, remove
+from cabflow.sources.schema import CANONICAL_NAMES, canonical_schema
 
 PARTITION_COLUMNS = ("file_year", "taxi_type")
 VERSIONS, DATA = "_versions", "data"
@@ -46,24 +48,30 @@ def table_location(spark: SparkSession, path: str) -> str | None:
     return f"{path.rstrip('/')}/{DATA}/{max(m.rsplit('/', 1)[1] for m in markers)}"
 
 
-def materialize(trips: DataFrame, path: str, max_records_per_file: int = 5_000_000, keep: int = 2) -> str:
+def materialize(
+    trips: DataFrame, path: str, max_records_per_file: int = 5_000_000, keep: int = 2, grace_seconds: int = 6 * 3600
+) -> str:
     """Create or replace the partitioned table at ``path`` from ``trips``; returns ``path``."""
     spark = trips.sparkSession
     base = path.rstrip("/")
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"  # sorts by publication time
-    (
-        trips.sortWithinPartitions(*PARTITION_COLUMNS, "file_month")
-        .write.mode("errorifexists")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(f"{base}/{DATA}/{version}")
-    )
+    try:
+        (
+            trips.sortWithinPartitions(*PARTITION_COLUMNS, "file_month")
+            .write.mode("errorifexists")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(*PARTITION_COLUMNS)
+            .parquet(f"{base}/{DATA}/{version}")
+        )
+    except Exception:
+        remove(spark, f"{base}/{DATA}/{version}")
+        raise
     marker, fs = _fs(spark, f"{base}/{VERSIONS}/{version}")
     fs.create(marker, False).close()  # publish: creating a file is atomic
     for old in sorted(m.rsplit("/", 1)[1] for m in glob_paths(spark, f"{base}/{VERSIONS}/*"))[:-keep]:
-        for stale in (f"{base}/{VERSIONS}/{old}", f"{base}/{DATA}/{old}"):
-            p, stale_fs = _fs(spark, stale)
-            stale_fs.delete(p, True)
+        if time.time_ns() - int(old.split("-")[0]) > grace_seconds * 10**9:
+            remove(spark, f"{base}/{VERSIONS}/{old}")
+            remove(spark, f"{base}/{DATA}/{old}")
     return path
 
 
@@ -76,15 +84,14 @@ def read_materialized(
     """The table in canonical column order, optionally pruned to years / one taxi type.
 
     Read through the V2 Parquet source: partition filters prune directories
-    and a bare ``COUNT(*)`` is answered from footers (aggregate pushdown), so
-    the count query touches no data page.
+    and a bare ``COUNT(*)`` is answered from footers where the session has
+    ``spark.sql.parquet.aggregatePushdown`` on, as ``get_session`` sets it.
     """
     location = table_location(spark, path)
     if location is None:
         raise FileNotFoundError(f"no published version of the table at {path}")
-    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     with parquet_v2(spark):
-        df = spark.read.parquet(location)
+        df = spark.read.schema(canonical_schema()).parquet(location)  # declared: no inference job
     if years is not None:
         df = df.filter(F.col("file_year").isin(*years))
     if taxi is not None:

@@ -20,17 +20,20 @@ from cabflow.operators.normalize import valid_trips
 from cabflow.operators.quantiles import quantiles
 from cabflow.plans import ingest as ing
 from cabflow.plans.sinks import export_csv, export_json
+from cabflow.session import work_dir
 from cabflow.sources.footers import manifest
 from cabflow.sources.lake import read_all, read_trips
 
 
 def run_analysis(spark: SparkSession, root: str, out_dir: str, years: tuple[int, ...] | None = None) -> dict[str, str]:
     trips = read_trips(spark, root, years)
-    valid = valid_trips(trips)
+    valid = valid_trips(trips, years)
+    work_dir(spark)  # sets the checkpoint folder where the session has none
+    audit = qual.audit_by_file(trips).checkpoint(eager=True)  # a row a file: coverage and quality from one scan
     dash = cb.dashboard(valid)
     results: dict[str, DataFrame] = {
-        "coverage": qual.coverage(trips),
-        "quality": qual.quality(trips),
+        "coverage": qual.coverage_of(audit),
+        "quality": qual.quality_of(audit),
         "monthly_indicators": dash["monthly_indicators"],
         "yearly_indicators": dash["yearly_indicators_raw"],
         "payment_mix": dash["payment_mix"],
@@ -45,6 +48,6 @@ def run_validation(spark: SparkSession, root: str, out_dir: str) -> dict[str, st
     base = out_dir.rstrip("/")
     m = manifest(spark, root).drop("signature", "path")
     paths = {"manifest": export_json(m, f"{base}/manifest.json")}
-    ing.gate(spark.read.schema(m.schema).json(paths["manifest"]))  # the export, not a second footer pass
+    ing.gate(spark.read.schema(m.schema).json(paths["manifest"]), f"{base}/invalid_files.json")  # the export, not a second footer pass
     paths["file_row_counts"] = export_csv(qual.file_row_counts(read_all(spark, root)), f"{base}/file_row_counts.csv")
     return paths

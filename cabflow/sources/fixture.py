@@ -5,6 +5,9 @@ independent SQL engine produce the same rows. Every lineitem row is a trip and
 its ship year is the trip's file year; the rules plant every kind of data-quality defect the reference's
 report counts (NULL timestamps, reversed and over-long trips, pickups outside
 the file year, zero or negative distance, negative totals, missing payment).
+
+Distances and totals are multiples of 1/128: finer than a cent, and exact in
+binary, so their sums are the same in any order of addition and by any engine.
 """
 
 from __future__ import annotations
@@ -55,6 +58,7 @@ def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(ok % 193 == 0, _secs(F.lit(90_000), pickup))
         .otherwise(_secs(ride, pickup))
     )
+    price = F.floor(F.col("l_extendedprice") * 128.0).cast("double") / 128.0
     cols = {
         "taxi_type": taxi,
         "filename": F.concat(taxi, F.lit("_tripdata_"), F.date_format("l_shipdate", "yyyy-MM"), F.lit(".parquet")),
@@ -66,7 +70,7 @@ def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "passenger_count": F.when(ok % 10 == 0, F.lit(None)).otherwise(F.col("l_linenumber") - 1),
         "trip_distance": F.when(ok % 53 == 0, F.lit(0.0))
         .when(ok % 401 == 0, F.lit(-1.5))
-        .otherwise(F.col("l_partkey").cast("double") / 100),
+        .otherwise(F.col("l_partkey").cast("double") / 128),
         "rate_code_id": F.col("l_linenumber"),
         "store_and_fwd_flag": F.when(F.col("l_linestatus") == "O", "Y").otherwise("N"),
         "pickup_location_id": F.col("l_partkey") % 263 + 1,
@@ -78,7 +82,7 @@ def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tip_amount": F.col("l_quantity") * F.col("l_discount"),
         "tolls_amount": F.lit(0.0),
         "improvement_surcharge": F.lit(1.0),
-        "total_amount": F.when(ok % 71 == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")),
+        "total_amount": F.when(ok % 71 == 0, -price).otherwise(price),
         "congestion_surcharge": F.lit(2.5),
         "airport_fee": F.when(~green, F.lit(1.75)),
         "ehail_fee": F.when(green, F.lit(0.0)),

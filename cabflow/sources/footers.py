@@ -5,6 +5,10 @@ The listing is a ``binaryFile`` scan that selects only ``path`` and
 with pyarrow and reads the 4-byte magic at both ends and the footer. One
 output row per *file*, so the Python work grows with the number of files, not
 with their rows.
+
+"Not Parquet" and "could not be read" are different things. The bytes are read
+first, and any error of the store is raised; they are parsed from memory, and
+any error of the parser marks that one file as not valid.
 """
 
 from __future__ import annotations
@@ -33,48 +37,73 @@ FOOTER_SCHEMA = T.StructType(
 )
 
 
+# Hadoop schemes that pyarrow knows by another name. Stores it cannot open at all need a
+# caller's schema (``read_feed(..., schema=)``), or an entry in ``SCHEMES``.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
 def _open(path: str):
     """pyarrow file system + in-filesystem path for a Hadoop-style URI."""
+    from urllib.parse import unquote
+
     from pyarrow import fs as pafs
 
-    if path.startswith("file:"):
-        local = path[len("file:"):]
+    scheme, sep, rest = path.partition(":")
+    if not sep or scheme == "file":
+        local = rest if sep else path
         while local.startswith("//"):
             local = local[1:]
-        from urllib.parse import unquote
-
         return pafs.LocalFileSystem(), unquote(local)
-    return pafs.FileSystem.from_uri(path)
-
-
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    try:
+        return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+    except Exception as e:
+        raise OSError(
+            f"footers of {scheme}: files cannot be read ({e}); name the store in footers.SCHEMES or pass a schema"
+        ) from e
+
+
+def _footer_bytes(path: str, length: int) -> bytes | None:
+    """Magic, footer and magic of a file as one small Parquet file, None if it is not one by its magic."""
+    fs, p = _open(path)
+    with fs.open_input_file(p) as f:
+        if length < MIN_PARQUET_BYTES:
+            return None
+        head, tail = f.read_at(4, 0), f.read_at(8, length - 8)
+        if head != PARQUET_MAGIC or tail[4:] != PARQUET_MAGIC:
+            return None
+        size = int.from_bytes(tail[:4], "little")
+        if size > length - MIN_PARQUET_BYTES:
+            return None
+        return head + f.read_at(size, length - 8 - size) + tail
+
+
+def _facts(footer: bytes) -> tuple:
+    import pyarrow as pa
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_schema
 
+    pf = pq.ParquetFile(pa.BufferReader(footer))
+    schema = pf.schema_arrow
+    # The Spark read schema of this file doubles as its group key.
+    signature = from_arrow_schema(schema, prefer_timestamp_ntz=True).json()
+    return pf.metadata.num_rows, len(schema), list(schema.names), signature
+
+
+def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
         for path, length in zip(pdf["path"], pdf["length"]):
-            length = int(length)
-            valid, rows, ncols, names, sig = False, None, None, None, None
-            try:
-                fs, p = _open(path)
-                with fs.open_input_file(p) as f:
-                    if length >= MIN_PARQUET_BYTES:
-                        head = f.read_at(4, 0)
-                        tail = f.read_at(4, length - 4)
-                        valid = head == PARQUET_MAGIC and tail == PARQUET_MAGIC
-                    if valid:
-                        pf = pq.ParquetFile(f)
-                        schema = pf.schema_arrow
-                        rows = pf.metadata.num_rows
-                        ncols = len(schema)
-                        names = list(schema.names)
-                        # The Spark read schema of this file doubles as its group key.
-                        sig = from_arrow_schema(schema, prefer_timestamp_ntz=True).json()
-            except OSError:
-                valid = False
-            out.append((path, length, valid, rows, ncols, names, sig))
-        yield pd.DataFrame(out, columns=[f.name for f in FOOTER_SCHEMA.fields])
+            footer = _footer_bytes(path, int(length))  # errors of the store are raised
+            facts = None
+            if footer is not None:
+                try:
+                    facts = _facts(footer)
+                except Exception:  # whatever a broken footer makes the parser raise
+                    facts = None
+            out.append((path, int(length), facts is not None, *(facts or (None,) * 4)))
+        yield pd.DataFrame(out, columns=[f.name for f in FOOTER_SCHEMA.fields]).astype(
+            {"rows": "Int64", "columns": "Int32"}
+        )
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
@@ -88,11 +117,6 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataF
     )
 
 
-def list_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path, length`` for an explicit list of files."""
-    return spark.read.format("binaryFile").load(paths).select("path", "length")
-
-
 def footers(listing: DataFrame) -> DataFrame:
     """Footer facts per listed file (see ``FOOTER_SCHEMA``)."""
     return listing.mapInPandas(_read_footers, FOOTER_SCHEMA)

@@ -13,7 +13,6 @@ name.
 from __future__ import annotations
 
 import json
-from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,21 +20,22 @@ from pyspark.sql import types as T
 
 from cabflow.operators.normalize import META_PATH, normalize_feed, union_feeds
 from cabflow.session import glob_status
-from cabflow.sources.footers import footers, list_paths
+from cabflow.sources.footers import footers
 from cabflow.sources.schema import FEEDS
 
 
+def feed_globs(root: str, feed: str, years: tuple[int, ...] | None = None) -> list[str]:
+    """The two-level wildcard, or only the listed years."""
+    base = f"{root.rstrip('/')}/{feed}"
+    return [f"{base}/*/*.parquet"] if years is None else [f"{base}/{y}/*.parquet" for y in years]
+
+
 def feed_files(
     spark: SparkSession, root: str, feed: str, years: tuple[int, ...] | None = None
 ) -> list[tuple[str, int, int]]:
-    """(path, length, mtime) of one feed's files: the two-level wildcard, or only the listed years."""
-    root = root.rstrip("/")
-    if years is None:
-        return glob_status(spark, f"{root}/{feed}/*/*.parquet")
-    files: list[tuple[str, int, int]] = []
-    for y in years:
-        files.extend(glob_status(spark, f"{root}/{feed}/{y}/*.parquet"))
-    if not files:
+    """(path, length, mtime) of one feed's files; with years given, at least one has to be there."""
+    files = [f for g in feed_globs(root, feed, years) for f in glob_status(spark, g)]
+    if not files and years is not None:
         raise FileNotFoundError(f"no Parquet files of feed {feed!r} for years {tuple(years)} under {root}")
     return files
 
@@ -47,44 +47,46 @@ def feed_paths(spark: SparkSession, root: str, feed: str, years: tuple[int, ...]
 def require_feeds(spark: SparkSession, root: str) -> None:
     """Fail early when a feed has no file at all."""
     for feed in FEEDS:
-        if not feed_paths(spark, root, feed):
+        if not feed_files(spark, root, feed):
             raise FileNotFoundError(f"no Parquet files of feed {feed!r} under {root}")
 
 
-# (path, length, mtime) -> footer signature, for files whose footers were already read.
-_SIGNATURES: dict[tuple[str, int, int], str] = {}
+# (path, length, mtime) -> footer signature, for files whose footers were already read; the oldest go first.
+_SIGNATURES: dict[tuple[str, int, int], str | None] = {}
+_MAX_SIGNATURES = 100_000
 
 
-def schema_groups(spark: SparkSession, paths: list[str], files: list[tuple[str, int, int]] | None = None) -> dict[str, list[str]]:
-    """Footer signature -> files. The footers are read by executors; only one
-    short (signature, path) pair per file comes back to plan the reads.
+def signatures(spark: SparkSession, files: list[tuple[str, int, int]]) -> dict[str, str | None]:
+    """Path -> footer signature (None: not valid Parquet). Only files that are new or rewritten are opened.
 
-    With ``files`` (path, length, mtime) given, footers already read for an
-    unchanged file are not read again: only new or rewritten files cost a job.
+    The footers are read by executors. A row a file comes back, in one transfer
+    and never gathered in a task; equal signatures are held once.
     """
-    known = {f[0]: _SIGNATURES[f] for f in (files or []) if f in _SIGNATURES}
-    todo = [p for p in paths if p not in known]
+    todo = [f for f in files if f not in _SIGNATURES]
     if todo:
-        # Grouped on the executors: each distinct schema crosses to the driver once,
-        # with the paths that carry it (which Spark's file index needs there anyway).
-        groups = (
-            footers(list_paths(spark, todo))
-            .groupBy("valid_parquet", "signature")
-            .agg(F.collect_list("path").alias("paths"))
-            .collect()
-        )
-        bad = sorted(p for g in groups if not g.valid_parquet for p in g.paths)
-        if bad:
-            raise ValueError(f"invalid Parquet files: {', '.join(bad)}")
-        stamp = {f[0]: f for f in (files or [])}
-        for g in groups:
-            for p in g.paths:
-                known[p] = g.signature
-                if p in stamp:
-                    _SIGNATURES[stamp[p]] = g.signature
+        parts = max(1, min(len(todo), 4 * spark.sparkContext.defaultParallelism))
+        listing = spark.createDataFrame([f[:2] for f in todo], "path string, length long").repartition(parts)
+        read = footers(listing).select("path", "signature").toArrow()
+        text = read["signature"].combine_chunks().dictionary_encode()
+        distinct, index = text.dictionary.to_pylist(), text.indices.to_pylist()
+        found = {p: None if i is None else distinct[i] for p, i in zip(read["path"].to_pylist(), index, strict=True)}
+        for f in todo:
+            _SIGNATURES[f] = found[f[0]]
+    out = {f[0]: _SIGNATURES[f] for f in files}
+    while len(_SIGNATURES) > _MAX_SIGNATURES:
+        del _SIGNATURES[next(iter(_SIGNATURES))]
+    return out
+
+
+def schema_groups(spark: SparkSession, files: list[tuple[str, int, int]]) -> dict[str, list[str]]:
+    """Read schema -> files; raises where one is not valid Parquet."""
+    found = signatures(spark, files)
+    bad = sorted(p for p, s in found.items() if s is None)
+    if bad:
+        raise ValueError(f"invalid Parquet files: {', '.join(bad)}")
     exact: dict[str, list[str]] = {}
-    for p in paths:
-        exact.setdefault(known[p], []).append(p)
+    for p, s in found.items():
+        exact.setdefault(s, []).append(p)
     return merge_compatible(exact)
 
 
@@ -148,29 +150,24 @@ def read_raw_group(spark: SparkSession, paths: list[str], schema: str | None = N
     return reader.parquet(*paths)
 
 
-# (session, feed, files) -> normalised DataFrame. The key holds every file's
-# length and modification time, so an added or rewritten file means a new
-# entry; reusing the entry spares re-analysing the same plan on every query.
-_FRAMES: OrderedDict = OrderedDict()
-_MAX_FRAMES = 64
+def read_feed(
+    spark: SparkSession,
+    root: str,
+    feed: str,
+    years: tuple[int, ...] | None = None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """One feed, normalised to the canonical 25 columns.
 
-
-def read_feed(spark: SparkSession, root: str, feed: str, years: tuple[int, ...] | None = None) -> DataFrame:
-    """One feed, normalised to the canonical 25 columns."""
+    ``schema`` is for stores whose footers cannot be read: all files are read with it.
+    """
     files = feed_files(spark, root, feed, years)
     if not files:
         raise FileNotFoundError(f"no Parquet files of feed {feed!r} under {root}")
-    key = (id(spark._jsparkSession), feed, tuple(files))
-    if key in _FRAMES:
-        _FRAMES.move_to_end(key)
-        return _FRAMES[key]
-    groups = schema_groups(spark, [f[0] for f in files], files)
-    frames = [normalize_feed(read_raw_group(spark, ps, sig), feed, META_PATH) for sig, ps in groups.items()]
-    df = union_feeds(frames)
-    _FRAMES[key] = df
-    if len(_FRAMES) > _MAX_FRAMES:
-        _FRAMES.popitem(last=False)
-    return df
+    if schema is not None:
+        return normalize_feed(spark.read.schema(schema).parquet(*[f[0] for f in files]), feed, META_PATH)
+    groups = schema_groups(spark, files)
+    return union_feeds([normalize_feed(read_raw_group(spark, ps, sig), feed, META_PATH) for sig, ps in groups.items()])
 
 
 def read_trips(spark: SparkSession, root: str, years: tuple[int, ...] | None = None) -> DataFrame:
@@ -178,15 +175,24 @@ def read_trips(spark: SparkSession, root: str, years: tuple[int, ...] | None = N
     return union_feeds([read_feed(spark, root, feed, years) for feed in FEEDS])
 
 
-def read_all(spark: SparkSession, root: str) -> DataFrame:
+def read_all(spark: SparkSession, root: str, years: tuple[int, ...] | None = None) -> DataFrame:
     """One scan over both feeds' files keeping only the source path.
 
     No data column is requested, so whatever schema each file has, the reader
     only needs row counts (a column-less Parquet scan).
     """
-    paths = [p for feed in FEEDS for p in feed_paths(spark, root, feed)]
-    empty = T.StructType([])
-    return spark.read.schema(empty).parquet(*paths).select(F.col("_metadata.file_path").alias("filename"))
+    return bare_rows(spark, root, years).select(F.col("_metadata.file_path").alias("filename"))
+
+
+def bare_rows(spark: SparkSession, root: str, years: tuple[int, ...] | None = None) -> DataFrame:
+    """All rows of both feeds without any column: what a bare COUNT needs, from row-group counts alone.
+
+    Read by folder: a long list of single files would have Spark list them in a job.
+    """
+    folders = sorted({p.rsplit("/", 1)[0] for feed in FEEDS for p in feed_paths(spark, root, feed, years)})
+    if not folders:
+        raise FileNotFoundError(f"no Parquet files under {root}")
+    return spark.read.schema(T.StructType([])).option("pathGlobFilter", "*.parquet").parquet(*folders)
 
 
 def file_rows(spark: SparkSession, path: str) -> int:

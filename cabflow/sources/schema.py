@@ -37,9 +37,6 @@ CANONICAL: list[tuple[str, T.DataType]] = [
 CANONICAL_NAMES = [n for n, _ in CANONICAL]
 CANONICAL_TYPES = dict(CANONICAL)
 
-# Columns added by the scan from the file path, not read from the file.
-LINEAGE = ("taxi_type", "filename", "file_year", "file_month")
-
 # Source column per canonical column, per feed. None = the feed
 # never carries it and the canonical column is a typed NULL.
 SOURCE_NAMES: dict[str, dict[str, str | None]] = {

@@ -5,8 +5,9 @@ Layout and drift follow the raw feeds: ``<root>/<feed>/<year>/
 ``ehail_fee``; the fee column is ``airport_fee`` in the second year and
 ``Airport_fee`` in the third; ``VendorID`` is INT32 in the first year and INT64
 later; ``passenger_count`` is INT64, then DOUBLE, then INT64; the third year
-adds an unknown ``cbd_fee`` column. Spark writes each (feed, year) with one
-file per month; the driver then renames those few dozen files into place.
+adds an unknown ``cbd_fee`` column. Spark writes each feed in one job per drift
+layout (first, second, third, later years), one file per month; the driver then
+renames those few dozen files into place.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from cabflow.sources.schema import FEEDS, SOURCE_NAMES
 
 
 # Bumped whenever the lake's layout or drift rules change, so old lakes are not reused.
-LAYOUT_VERSION = "l2"
+LAYOUT_VERSION = "l3"
 
 
 def _drift(feed: str, year_index: int) -> dict:
@@ -51,6 +52,7 @@ def raw_projection(trips: DataFrame, feed: str, year_index: int) -> DataFrame:
             c = c.cast(d["types"][canon])
         cols.append(c.alias(name))
     cols += [v.alias(k) for k, v in d["extra"].items()]
+    cols.append(F.col("file_year").alias("_year"))
     cols.append(F.lpad(F.col("file_month").cast("string"), 2, "0").alias("_month"))
     return trips.select(*cols)
 
@@ -69,22 +71,23 @@ def write_lake(spark: SparkSession, trips: DataFrame, root: str) -> str:
     """Write ``trips`` as the drifted raw lake under ``root``; returns ``root``."""
     root = root.rstrip("/")
     years = sorted(r.file_year for r in trips.select("file_year").distinct().collect())  # a handful of ints
+    layouts = [(i, years[i : i + 1]) for i in range(min(3, len(years)))] + ([(3, years[3:])] if years[3:] else [])
     for feed in FEEDS:
-        for i, year in enumerate(years):
-            part = trips.filter((F.col("taxi_type") == feed) & (F.col("file_year") == year))
-            staging = f"{root}/_staging/{feed}-{year}"
+        for i, span in layouts:
+            part = trips.filter((F.col("taxi_type") == feed) & F.col("file_year").isin(*span))
+            staging = f"{root}/_staging/{feed}-{i}"
             # The raw format is one file per feed-month, and one file has one writer:
             # each month goes to one task. This builds test fixtures from lineitem;
             # the library itself only reads such lakes (split by maxPartitionBytes).
             (
                 raw_projection(part, feed, i)
-                .repartition("_month")
+                .repartition("_year", "_month")
                 .write.mode("overwrite")
-                .partitionBy("_month")
+                .partitionBy("_year", "_month")
                 .parquet(staging)
             )
-            for path in glob_paths(spark, f"{staging}/_month=*/*.parquet"):
-                month = path.split("/_month=")[1].split("/")[0]
+            for path in glob_paths(spark, f"{staging}/_year=*/_month=*/*.parquet"):
+                year, month = (path.split(f"/_{k}=")[1].split("/")[0] for k in ("year", "month"))
                 _move(spark, path, f"{root}/{feed}/{year}/{feed}_tripdata_{year}-{month}.parquet")
     return root
 

@@ -1,46 +1,66 @@
-"""Incremental, idempotent ingestion of newly arrived monthly files.
-
-A Structured Streaming ``binaryFile`` source lists the feed folders (paths
-only; file contents are never loaded by the source) and its checkpoint
-remembers which files were already seen, so a rerun processes only new
-arrivals and ``trigger(availableNow=True)`` stops once they are done.
-
-Each micro-batch is a bounded list of files (``maxFilesPerTrigger``). Its
-files are read with the schema-group reader (drift-tolerant), normalised, and
-written with dynamic partition overwrite on (file_year, taxi_type,
-file_month). One monthly file is exactly one such partition, so replaying a
-batch after a failure rewrites the same partitions with the same rows: the
-sink is idempotent without any ledger of its own, and the table itself lists
-the ingested files.
+"""Incremental, idempotent ingestion of new and replaced monthly files.
+
+A ledger table holds the path, length and modification time of every version of
+a file that was ingested or refused. Each run lists the lake anew and takes every
+file whose current version is not in the ledger, whatever its age. New files are read in batches of a bounded number, with the
+schema-group reader (drift-tolerant), normalised, and written with dynamic
+partition overwrite on (file_year, taxi_type, file_month, file_key): a key for
+each file, so that a replaced file replaces its own rows only and several files
+of a month stand side by side. The ledger is written after a batch's rows, so a
+run that dies in between repeats the batch and writes the same partitions again.
+
+Files that are not valid Parquet go to the ledger as ``failed``, with no rows (the
+rows of an earlier, good version stay), and to a table of rejected files; they are
+tried again when they change. A path outside the lake's layout raises.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.operators.normalize import META_PATH, normalize_feed, union_feeds
+from cabflow.session import glob_paths, remove
 from cabflow.sources.footers import LAKE_LAYOUT
-from cabflow.sources.lake import read_raw_group, schema_groups
+from cabflow.sources.lake import feed_files, merge_compatible, read_raw_group, signatures
 from cabflow.sources.schema import CANONICAL_NAMES, FEEDS
 
-TABLE_PARTITIONS = ("file_year", "taxi_type", "file_month")
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+TABLE_PARTITIONS = ("file_year", "taxi_type", "file_month", "file_key")
+LEDGER_SCHEMA = "path string, length long, mtime long, file string, status string, batch string"
+
+
+def _key(path: Column) -> Column:
+    """<feed>/<year>/<file> of a path, hashed: the same for any spelling of the root."""
+    return F.md5(F.concat_ws("/", *[F.regexp_extract(path, LAKE_LAYOUT, i) for i in (1, 2, 3)]))
+
+
+def ledger(spark: SparkSession, state: str) -> DataFrame:
+    """Every file version seen so far and what became of it."""
+    if glob_paths(spark, f"{state}/ledger/*.parquet"):
+        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{state}/ledger")
+    return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
-def _write_batch(spark: SparkSession, paths: list[str], table: str) -> None:
+def rejected_files(spark: SparkSession, state: str) -> DataFrame:
+    """Versions of files that were not valid Parquet."""
+    return ledger(spark, state).filter(F.col("status") == "failed").select("path", "file", "length", "mtime")
+
+
+def _write_rows(spark: SparkSession, found: dict[str, str], feeds: dict[str, str], table: str) -> None:
     frames = []
     for feed in FEEDS:
-        mine = [p for p in paths if (m := re.search(LAKE_LAYOUT, p)) and m.group(1) == feed]
-        if mine:
-            groups = schema_groups(spark, mine)
-            frames += [normalize_feed(read_raw_group(spark, ps, sig), feed, META_PATH) for sig, ps in groups.items()]
-    if not frames:
-        return
+        exact: dict[str, list[str]] = {}
+        for path, signature in found.items():
+            if feeds[path] == feed:
+                exact.setdefault(signature, []).append(path)
+        frames += [normalize_feed(read_raw_group(spark, ps, sig), feed, META_PATH) for sig, ps in merge_compatible(exact).items()]
     (
         union_feeds(frames)
+        .withColumn("file_key", _key(F.col("filename")))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*TABLE_PARTITIONS)
@@ -52,32 +72,46 @@ def ingest_incremental(
     spark: SparkSession,
     root: str,
     table: str,
-    checkpoint: str,
-    max_files_per_trigger: int = 500,
+    state: str,
+    max_files_per_batch: int = 500,
+    years: tuple[int, ...] | None = None,
 ) -> int:
-    """Ingest files under ``root`` not seen before into ``table``; returns the number of new files."""
-    root = root.rstrip("/")
-    source = (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE_SCHEMA)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(f"{root}/{{{','.join(FEEDS)}}}/*/*.parquet")
-        .select("path")
-    )
+    """Ingest new and replaced files under ``root`` into ``table``; returns how many versions the ledger gained.
 
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path for r in batch.collect()]  # at most max_files_per_trigger names
-        if paths:
-            _write_batch(batch.sparkSession, sorted(paths), table)
+    ``state`` is the folder of the ledger; ``years`` limits the run to these years' folders.
+    """
+    files = [f for feed in FEEDS for f in feed_files(spark, root, feed, years)]
+    for path, _, _ in files:
+        if not re.search(LAKE_LAYOUT, path):
+            raise ValueError(f"not in the layout <feed>/<year>/<file>: {path}")
+    if not files:
+        return 0
+    seen = ledger(spark, state)
+    listing = spark.createDataFrame(files, "path string, length long, mtime long")
+    earlier = seen.select("path").distinct().withColumn("_earlier", F.lit(True))
+    new = listing.join(seen, ["path", "length", "mtime"], "left_anti").join(earlier, "path", "left")
+    versions = sorted(tuple(r) for r in new.collect())  # a short row for each new file of the listing
+    for at in range(0, len(versions), max_files_per_batch):
+        batch = versions[at : at + max_files_per_batch]
+        named = {v[0]: re.search(LAKE_LAYOUT, v[0]) for v in batch}
+        found = signatures(spark, [v[:3] for v in batch])
+        good = {p: s for p, s in found.items() if s is not None}
+        for path, *_, earlier_one in batch:
+            if earlier_one and path in good:  # a replaced file may have no rows to overwrite its old ones with
+                key = hashlib.md5("/".join(named[path].groups()).encode()).hexdigest()
+                for part in _parts(spark, table, key):
+                    remove(spark, part)
+        if good:
+            _write_rows(spark, good, {p: m.group(1) for p, m in named.items()}, table)
+        name = uuid.uuid4().hex
+        rows = [(p, n, t, named[p].group(3), "new" if p in good else "failed", name) for p, n, t, _ in batch]
+        spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(f"{state}/ledger")
+    return len(versions)
 
-    query = (
-        source.writeStream.foreachBatch(each_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return int(sum(p["numInputRows"] for p in query.recentProgress))
+
+def _parts(spark: SparkSession, table: str, key: str) -> set[str]:
+    """Partition folders of one file's rows."""
+    return {p.rsplit("/", 1)[0] for p in glob_paths(spark, f"{table}/*/*/*/file_key={key}/*")}
 
 
 def read_ingested(spark: SparkSession, table: str) -> DataFrame:

@@ -16,7 +16,7 @@ def test_matches_numpy_linear_with_hot_group(spark):
     rows += [("hot", None)] * 50  # NULLs are ignored
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.1, 0.5, 0.9, 0.99, 1.0]
-    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["g"], "v", probs, slices=7).collect()}
+    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["g"], "v", probs, slice_values=40).collect()}
     for g in ("hot", "cold", "tiny"):
         vals = np.array([v for k, v in rows if k == g and v is not None])
         for p in probs:
@@ -24,7 +24,7 @@ def test_matches_numpy_linear_with_hot_group(spark):
             assert math.isclose(got[(g, p)], want, rel_tol=1e-12, abs_tol=1e-12), (g, p)
 
 
-def test_both_paths_equal_builtin_percentile(spark):
+def test_any_slicing_equals_builtin_percentile(spark):
     from pyspark.sql import functions as F
 
     rng = np.random.default_rng(3)
@@ -34,7 +34,7 @@ def test_both_paths_equal_builtin_percentile(spark):
     probs = [0.25, 0.33, 0.5, 0.77, 0.9, 0.99]
     builtin = df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()
     want = {(r.g, p): r.q[i] for r in builtin for i, p in enumerate(probs)}
-    for kwargs in ({}, {"slices": 5}):
+    for kwargs in ({}, {"slice_values": 100}):
         got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["g"], "v", probs, **kwargs).collect()}
         assert got == want, kwargs
 
@@ -46,13 +46,30 @@ def test_monotone_and_duplicates(spark):
     assert [v for _, v in got] == [1.0, 5.0, 9.0]
 
 
-def test_sliced_path_equals_bounded_path_on_trip_measures(spark):
+def test_slicing_does_not_change_trip_measures_and_mean_is_plain(spark):
+    from pyspark.sql import functions as F
+
     from cabflow.operators.normalize import valid_trips
     from cabflow.operators.quantiles import _stacked
     from cabflow.sources.fixture import fixture_trips
 
     stacked = _stacked(valid_trips(fixture_trips(spark, "/root/testdata/sf0.01")))
-    probs = [0.01, 0.5, 0.9, 0.99]
-    bounded = {(r.taxi_type, r.measure, r.prob): r.value for r in exact_quantiles(stacked, ["taxi_type", "measure"], "value", probs).collect()}
-    sliced = {(r.taxi_type, r.measure, r.prob): r.value for r in exact_quantiles(stacked, ["taxi_type", "measure"], "value", probs, slices=11).collect()}
-    assert len(bounded) == 2 * 3 * len(probs) and bounded == sliced
+    probs, keys = [0.01, 0.5, 0.9, 0.99], ["taxi_type", "measure"]
+    want = stacked.groupBy(*keys).agg(F.percentile("value", probs).alias("q"), F.avg("value").alias("m")).collect()
+    for size in (3000, 10**9):
+        got = {(r.taxi_type, r.measure, r.prob): (r.value, r.mean) for r in exact_quantiles(stacked, keys, "value", probs, slice_values=size).collect()}
+        assert len(got) == 2 * 3 * len(probs)
+        for r in want:
+            for i, p in enumerate(probs):
+                value, mean = got[r.taxi_type, r.measure, p]
+                assert value == r.q[i] and math.isclose(mean, r.m, rel_tol=1e-12)
+
+
+def test_close_probabilities_keep_their_own_columns(spark):
+    from cabflow.operators.normalize import valid_trips
+    from cabflow.operators.quantiles import quantiles
+    from cabflow.sources.fixture import fixture_trips
+
+    q = quantiles(valid_trips(fixture_trips(spark, "/root/testdata/sf0.001")), (0.5, 0.995, 0.999))
+    assert [c for c in q.columns if c.startswith("total")] == ["total_p50", "total_p99_5", "total_p99_9"]
+    assert all(r.total_p50 < r.total_p99_5 <= r.total_p99_9 for r in q.collect())
