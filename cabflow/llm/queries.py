@@ -94,7 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-# Equal results in DuckDB, where SQL can state them.
+# SQL with equal results, where SQL can state them.
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": """
 WITH lines AS (

@@ -1,12 +1,12 @@
 """The pipeline's stages against brute force, and the registered queries against their SQL."""
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from cabflow.llm import line_dedup
 from cabflow.llm.queries import ORACLE_SQL, QUERIES
+from conftest import sql_engine
 from test_llm_lines import brute as brute_lines
 from test_llm_minhash import brute as brute_links
 from test_llm_packing import held
@@ -71,7 +71,7 @@ def test_line_stage_uses_bitmaps_only(spark):
 
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, key):
-    con = duckdb.connect()
+    con = sql_engine()
     for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = QUERIES[key](spark, SF).toPandas(), con.execute(ORACLE_SQL[key]).df()
