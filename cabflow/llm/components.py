@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import stored
+from cabflow.llm.common import shuffle_partitions, stored
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """Links are short rows, far fewer than what they were made from: an eighth of the tasks will do."""
+    return df.coalesce(max(1, shuffle_partitions(df.sparkSession) // 8))
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -16,28 +21,30 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     join of a node with a third of all edges is one that Spark splits.
     """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "star-least")
+    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    least = stored(_few(least), "star-least")
     joined = both.join(least, "u")
     if large:
         linked = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        linked = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))
-        )
-    return stored(linked.filter(F.col("u") > F.col("v")).distinct(), "star-edges")
+        return stored(_few(linked), "star-edges")
+    linked = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+    return stored(_few(linked.filter(F.col("u") > F.col("v")).distinct()), "star-edges")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and those that have one are nobody's."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    counts = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counts.filter((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1))).isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b); a component is named by its least node."""
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    links = stored(links.filter(F.col("u") > F.col("v")).distinct(), "star-edges")
-    before = None
-    while (now := _state(links)) != before:
-        before = now
+    links = stored(_few(links.filter(F.col("u") > F.col("v")).distinct()), "star-edges")
+    while not _is_forest_of_stars(links):
         links = _star(_star(links, large=True), large=False)
     ends = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return ends.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

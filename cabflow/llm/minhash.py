@@ -8,15 +8,17 @@
 3. Pairs are verified by signature, and those left on the full sets.
 4. Components of the confirmed links come from alternating large-star/small-star.
 5. In a bucket whose members are in several components, members not yet compared
-   may link them. Their signatures are compared in blocks of bounded size, the
-   largest component's members dealt out and the others sent to each block; each
-   member outside it names its most alike partners of other components, which are
-   verified as in 3. Rounds go on, with more partners a member each time, until no
-   such pair is left. Only pairs that could join two components are ever compared.
+   may link them. Such a bucket's members meet again with their full sets, in blocks
+   of a bounded number of shingles: the largest component's members are dealt out,
+   the others sent to each block. Members outside the largest component are compared
+   with all of other components, by signature and then on the sets, most alike first;
+   a link joins their components at once, which spares all further pairs of these
+   two. Only the links come out of a task, never the pairs. A pair that shares
+   several buckets is compared in the first of them.
 
 With 26 bands of 5 minima, two texts at a similarity of 0.85 share no bucket with a
-probability of 3e-7; a signature below ``least_estimate`` rules a pair out (six
-standard deviations at 0.85). Everything else is exact.
+probability of 3e-7; a signature below ``least_estimate`` rules a pair out (five
+standard deviations, with the same probability). Everything else is exact.
 
 Defined results: texts without words (null and empty ones too) have no shingles and
 are linked with nothing; rows that share an id are one document, and their classes
@@ -40,7 +42,7 @@ from cabflow.llm.components import connected_components
 from cabflow.llm.shingles import mix, shingle_sets
 
 BANDS, ROWS = 26, 5
-BLOCK = 2048
+BLOCK_SHINGLES = 1 << 20
 _SEED = np.random.default_rng(20_000)
 _A = _SEED.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _SEED.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -98,9 +100,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            keys = bucket_keys(_matrix(batch.column(1)))
-            cls = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(cls)], names=["bucket", "cls"])
+            keys = bucket_keys(_matrix(batch.column(2)))
+            cls, n = (pa.array(np.repeat(batch.column(i).to_numpy(zero_copy_only=False), BANDS)) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), cls, n], names=["bucket", "cls", "n"])
 
 
 def _alike(least: float):
@@ -155,14 +157,15 @@ class NearDuplicates:
         self.classes = stored(
             self.signed.filter(F.col("_id").isNotNull() & (F.col("n_shingles") > 0))
             .groupBy("c1", "c2")
-            .agg(F.min("_id").alias("cls"), F.first("sig").alias("sig")),
+            .agg(F.min("_id").alias("cls"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")),
             "minhash-classes",
         )
         self.pair = T.StructType([T.StructField("a", _LONG), T.StructField("b", _LONG)])
 
     def members(self) -> DataFrame:
-        kind = T.StructType([T.StructField("bucket", _LONG), T.StructField("cls", _LONG)])
-        every = self.classes.select("cls", "sig").mapInArrow(_buckets, kind)
+        """(bucket, cls, n, hub, size) of all buckets with several classes."""
+        kind = T.StructType([T.StructField(c, _LONG) for c in ("bucket", "cls", "n")])
+        every = self.classes.select("cls", "n", "sig").mapInArrow(_buckets, kind)
         hubs = stored(
             every.groupBy("bucket").agg(F.min("cls").alias("hub"), F.max("cls").alias("most"), F.count(F.lit(1)).alias("size"))
             .filter(F.col("hub") < F.col("most")).drop("most"),
@@ -170,43 +173,36 @@ class NearDuplicates:
         )
         return stored(every.join(hubs, "bucket"), "minhash-members")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that are links, by signature and then on full sets."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) whose signatures allow a link."""
         signs = self.classes.select("cls", "sig")
         first = pairs.join(signs.select(F.col("cls").alias("a"), F.col("sig").alias("x")), "a")
         second = first.join(signs.select(F.col("cls").alias("b"), F.col("sig").alias("y")), "b")
-        likely = stored(second.select("a", "b", "x", "y").mapInArrow(_alike(self.least), self.pair).distinct(), "minhash-likely")
-        needed = likely.select(F.col("a").alias("_id")).unionByName(likely.select(F.col("b").alias("_id"))).distinct()
-        sets = stored(
-            self.docs.join(needed, "_id", "left_semi").mapInArrow(
-                _sets("_id", "_text", self.size),
-                T.StructType([T.StructField("cls", _LONG), T.StructField("shingles", T.BinaryType())]),
-            ),
-            "minhash-sets",
-        )
+        return stored(second.select("a", "b", "x", "y").mapInArrow(_alike(self.least), self.pair), "minhash-likely")
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(cls, shingles) of the classes with the given ids."""
+        kind = T.StructType([T.StructField("cls", _LONG), T.StructField("shingles", T.BinaryType())])
+        wanted = self.docs.join(ids.distinct(), "_id", "left_semi")
+        return stored(wanted.mapInArrow(_sets("_id", "_text", self.size), kind), "minhash-sets")
+
+    def confirmed(self, likely: DataFrame, sets: DataFrame) -> DataFrame:
         left = likely.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
         full = left.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b")
-        return stored(full.select("a", "b", "x", "y").mapInArrow(_confirm(self.percent), self.pair).distinct(), "minhash-links")
+        return stored(full.select("a", "b", "x", "y").mapInArrow(_confirm(self.percent), self.pair), "minhash-links")
 
     def run(self) -> DataFrame:
         members = self.members()
-        spokes = members.filter(F.col("cls") != F.col("hub")).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-        tested = stored(spokes.distinct(), "minhash-tested")
-        links = self.confirmed(tested)
-        most = 64
         crowded = members.filter(F.col("size") > 2)
-        while True:
-            parts = stored(connected_components(links), "minhash-components")
-            found = stored(self._across(crowded, parts, most), "minhash-across")
-            pairs = found.filter(F.col("b").isNotNull()).distinct().join(tested, ["a", "b"], "left_anti")
-            pairs = stored(pairs, "minhash-round")
-            if pairs.isEmpty():
-                if found.filter(F.col("b").isNull()).isEmpty():
-                    break
-            else:
-                tested = tested.unionByName(pairs)
-                links = links.unionByName(self.confirmed(pairs))
-            most *= 8
+        spokes = members.filter(F.col("cls") != F.col("hub")).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+        likely = self.likely(spokes.distinct())
+        ids = likely.select(F.col("a").alias("_id")).unionByName(likely.select(F.col("b").alias("_id")))
+        sets = self.sets(ids.unionByName(crowded.select(F.col("cls").alias("_id"))))
+        links = self.confirmed(likely, sets)
+        parts = stored(connected_components(links), "minhash-components")
+        across = stored(self.across(crowded, parts, sets), "minhash-across")
+        if not across.isEmpty():
+            parts = stored(connected_components(links.unionByName(across)), "minhash-components")
         named = self.classes.select("c1", "c2", "cls").join(
             parts.select(F.col("node").alias("cls"), F.col("component")), "cls", "left"
         )
@@ -221,21 +217,21 @@ class NearDuplicates:
             F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"),
         )
 
-    def _across(self, members: DataFrame, parts: DataFrame, most: int) -> DataFrame:
-        """Pairs in one bucket whose components differ; a row without b says that a has more partners than ``most``."""
-        labelled = members.select("bucket", "cls", "hub").join(
+    def across(self, members: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between members of one bucket whose components differ."""
+        labelled = members.select("bucket", "cls", "n", "hub").join(
             parts.select(F.col("node").alias("cls"), "component"), "cls", "left"
         ).withColumn("component", F.coalesce("component", "cls"))
-        counts = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+        counts = labelled.groupBy("bucket", "component").agg(F.sum("n").alias("n"))
         mixed = stored(
             counts.groupBy("bucket").agg(
-                F.sum("n").alias("all"), F.max("n").alias("top"), F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
+                F.sum("n").alias("all"), F.max("n").alias("top"),
+                F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),
             ).filter(F.col("parts") > 1),
             "minhash-mixed",
         )
-        rows = labelled.join(mixed, "bucket").join(self.classes.select("cls", "sig"), "cls")
-        blocks_main = F.ceil(F.col("top") / BLOCK)
-        blocks_rest = F.ceil((F.col("all") - F.col("top")) / BLOCK)
+        blocks_main = F.ceil(F.col("top") / BLOCK_SHINGLES)
+        blocks_rest = F.ceil((F.col("all") - F.col("top")) / BLOCK_SHINGLES)
         dealt = lambda n: F.pmod(F.xxhash64("cls"), n)
         is_main = F.col("component") == F.col("main")
         span = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
@@ -248,31 +244,46 @@ class NearDuplicates:
                 lambda j: F.struct((-1 - F.least(j, here)).alias("i"), F.greatest(j, here).alias("j")),
             ),
         )
-        placed = rows.withColumn("at", F.explode(F.when(is_main, main_places).otherwise(rest_places)))
-        placed = placed.select("bucket", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "cls", "component", "main", "hub", "sig")
-        spread = placed.repartition(shuffle_partitions(self.spark), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-        return spread.mapInArrow(_name_partners(self.least, most), self.pair)
+        rows = labelled.join(mixed, "bucket").withColumn("at", F.explode(F.when(is_main, main_places).otherwise(rest_places)))
+        placed = rows.select("bucket", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "cls", "component", "main", "hub")
+        whole = placed.join(self.classes.select("cls", "sig"), "cls").join(sets, "cls")
+        spread = whole.repartition(shuffle_partitions(self.spark), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        return spread.mapInArrow(_join_components(self.least, self.percent), self.pair)
 
 
-def _name_partners(least: float, most: int):
-    def partners(group: pa.Table) -> Iterator[tuple[int, int | None]]:
-        cls, part, main, hub = (group[c].to_numpy() for c in ("cls", "component", "main", "hub"))
+def _join_components(least: float, percent: int):
+    def links(group: pa.Table) -> Iterator[tuple[int, int]]:
+        cls, part, hub = (group[c].to_numpy() for c in ("cls", "component", "hub"))
+        main = int(group["main"][0].as_py())
         signs = _matrix(group["sig"].combine_chunks())
-        for u in np.flatnonzero(part != main):
-            share = (signs == signs[u]).mean(axis=1)
-            # Pairs with the bucket's least class were the first to be compared.
-            share[(part == part[u]) | (cls == hub[u]) | (cls[u] == hub[u])] = -1
-            hits = np.flatnonzero(share >= least)
-            if len(hits) > most:
-                yield int(cls[u]), None
-                hits = hits[np.lexsort((cls[hits], -share[hits]))[:most]]
-            for v in hits:
-                a, b = sorted((int(cls[u]), int(cls[v])))
-                yield a, b
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in group["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        bands = signs.reshape(len(signs), BANDS, ROWS)
+        mine = int(np.flatnonzero(bucket_keys(signs[:1])[0] == group["bucket"][0].as_py())[0])
+        label = np.unique(part, return_inverse=True)[1]  # components; a link makes two labels one
+        rest = np.flatnonzero(part != main)
+        for u in rest:
+            open_ = label != label[u]
+            # Pairs outside the largest component come up from both sides, and the hub's were the first of all.
+            open_[(part != main) & (np.arange(len(cls)) < u)] = False
+            open_ &= (cls != hub) & (cls[u] != hub[u])
+            open_ &= 100 * np.minimum(sizes, sizes[u]) >= percent * np.maximum(sizes, sizes[u])
+            at = np.flatnonzero(open_)
+            if not len(at):
+                continue
+            same = bands[at] == bands[u]
+            share = same.mean(axis=(1, 2))
+            earlier = same[:, :mine].all(axis=2).any(axis=1)
+            hits = np.flatnonzero((share >= least) & ~earlier)
+            for k in hits[np.argsort(-share[hits], kind="stable")]:
+                v = at[k]
+                if label[v] != label[u] and linked(sets[u], sets[v], percent):
+                    yield int(cls[u]), int(cls[v])
+                    label[label == label[v]] = label[u]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["bucket", "i", "j"]):
-            found = list(dict.fromkeys(partners(group)))
+            found = list(links(group))
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -314,5 +325,5 @@ def near_duplicates(
     """
     if percent < 80:
         raise ValueError("the bands are made for 80 percent or more")
-    least = percent / 100 - 0.19 if least_estimate is None else least_estimate
+    least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / (BANDS * ROWS)) ** 0.5 if least_estimate is None else least_estimate
     return NearDuplicates(docs, key, text, size, percent, least).run()

@@ -70,7 +70,7 @@ def test_equals_all_pairs(spark):
 
 
 def test_crowded_buckets_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 700)
     rng = random.Random(3)
     rows = list(enumerate(family(rng, [f"w{i}" for i in range(500)], 70, 6)))
     assert run(spark, rows, 80) == brute(rows, 80)
