@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cabflow.session import work_dir
+from cabflow.session import remove, work_dir
 
 BATCH_BYTES = 4 << 20
 
@@ -48,7 +48,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def unstore(*frames: DataFrame) -> None:
+    """Remove stored tables that no later plan reads."""
+    for df in frames:
+        remove(df.sparkSession, df.stored_at)
 
 
 def fresh_name(columns: list[str], name: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import shuffle_partitions, stored
+from cabflow.llm.common import shuffle_partitions, stored, unstore
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -26,9 +26,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     joined = both.join(least, "u")
     if large:
         linked = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return stored(_few(linked), "star-edges")
-    linked = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return stored(_few(linked.filter(F.col("u") > F.col("v")).distinct()), "star-edges")
+    else:
+        linked = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            least.select("u", F.col("m").alias("v"))
+        )
+        linked = linked.filter(F.col("u") > F.col("v")).distinct()
+    out = stored(_few(linked), "star-edges")
+    unstore(least)
+    return out
 
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
@@ -41,10 +46,15 @@ def _is_forest_of_stars(edges: DataFrame) -> bool:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) for all nodes of the edges (a, b); a component is named by its least node."""
+    """(node, component) for all nodes of the edges (a, b), stored; a component is named by its least node."""
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     links = stored(_few(links.filter(F.col("u") > F.col("v")).distinct()), "star-edges")
     while not _is_forest_of_stars(links):
-        links = _star(_star(links, large=True), large=False)
+        for large in (True, False):
+            before, links = links, _star(links, large)
+            unstore(before)
     ends = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return ends.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    every = ends.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    out = stored(_few(every), "components")
+    unstore(links)
+    return out

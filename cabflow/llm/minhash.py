@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import shuffle_partitions, slices, stored, text_column
+from cabflow.llm.common import shuffle_partitions, slices, stored, text_column, unstore
 from cabflow.llm.components import connected_components
 from cabflow.llm.shingles import mix, shingle_sets
 
@@ -171,7 +171,9 @@ class NearDuplicates:
             .filter(F.col("hub") < F.col("most")).drop("most"),
             "minhash-hubs",
         )
-        return stored(every.join(hubs, "bucket"), "minhash-members")
+        out = stored(every.join(hubs, "bucket"), "minhash-members")
+        unstore(hubs)
+        return out
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose signatures allow a link."""
@@ -199,14 +201,18 @@ class NearDuplicates:
         ids = likely.select(F.col("a").alias("_id")).unionByName(likely.select(F.col("b").alias("_id")))
         sets = self.sets(ids.unionByName(crowded.select(F.col("cls").alias("_id"))))
         links = self.confirmed(likely, sets)
-        parts = stored(connected_components(links), "minhash-components")
+        done = [members, likely, sets, links]
+        parts = connected_components(links)
         across = stored(self.across(crowded, parts, sets), "minhash-across")
+        done += [parts, across, self.mixed]
         if not across.isEmpty():
-            parts = stored(connected_components(links.unionByName(across)), "minhash-components")
+            parts = connected_components(links.unionByName(across))
+            done.append(parts)
         named = self.classes.select("c1", "c2", "cls").join(
             parts.select(F.col("node").alias("cls"), F.col("component")), "cls", "left"
         )
         named = stored(named.select("c1", "c2", F.coalesce("component", "cls").alias("component_id")), "minhash-named")
+        unstore(*done, self.classes)  # the result reads the signed documents and the named classes only
         own = (F.col("n_shingles") > 0) & F.col("_id").isNotNull()
         joined = self.signed.drop("sig").withColumn("_own", own).join(named, ["c1", "c2"], "left")
         component = F.when(F.col("_own"), F.col("component_id")).otherwise(F.col("_id"))
@@ -223,7 +229,7 @@ class NearDuplicates:
             parts.select(F.col("node").alias("cls"), "component"), "cls", "left"
         ).withColumn("component", F.coalesce("component", "cls"))
         counts = labelled.groupBy("bucket", "component").agg(F.sum("n").alias("n"))
-        mixed = stored(
+        mixed = self.mixed = stored(
             counts.groupBy("bucket").agg(
                 F.sum("n").alias("all"), F.max("n").alias("top"),
                 F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),

@@ -41,6 +41,8 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_ARTICLE_BODY = re.compile(r"\bitemprop\s*=\s*[\"']?articleBody\b", re.I)
+_MAIN_ROLE = re.compile(r"\brole\s*=\s*[\"']?(?:main|article)\b", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BLOCKS = frozenset(
@@ -51,7 +53,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FRAME_TAGS = frozenset("nav footer aside form dialog menu head button fieldset".split())
 FRAME_NAMES = frozenset(
-    "ad ads adv advert advertisement advertising adverts banner banners breadcrumb breadcrumbs byline comment comments"
+    "ad ads adv advert advertisement advertising adverts alert banner banners breadcrumb breadcrumbs comment comments"
     " consent cookie cookies copyright disclaimer disqus footer gdpr legal login masthead menu modal nav navbar"
     " navigation newsletter notice notices notification overlay pager pagination popup promo promotion reactions"
     " related recommended replies reply respond search share sharing sidebar signup skip social sponsor sponsored"
@@ -74,6 +76,8 @@ def _framed(tag: str, attributes: str, in_article: bool) -> bool:
             found = set(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
             if tag not in ("html", "body", "article", "main") and found & FRAME_NAMES:
                 return True
+            if "header" in found and not in_article and tag not in ("html", "body", "article", "main"):
+                return True
             if tag == "article" and found & {"comment", "comments", "reply"}:
                 return True
         elif name == "role" and value.lower() in FRAME_ROLES or name == "hidden":
@@ -139,9 +143,9 @@ def lines(html: str) -> list[Line]:
         if zone != "frame":
             if _framed(tag, m[4] or "", zone in ("article", "main")):
                 inside = "frame"
-            elif tag == "article":
+            elif tag == "article" or _ARTICLE_BODY.search(m[4] or ""):
                 inside = "article"
-            elif tag == "main" and zone == "body":
+            elif zone == "body" and (tag == "main" or _MAIN_ROLE.search(m[4] or "")):
                 inside = "main"
         if block or inside != zone:
             if inside != zone and not block:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import stored
+from cabflow.llm.common import stored, unstore
 
 PIVOT_SAMPLE = 2048
 N_PIVOTS = 32
@@ -158,6 +158,7 @@ def top_k(
         ),
         "topk-pivot-table",
     )
+    unstore(rows)
     n_blocks, query_blocks = math.ceil(stats["n"] / block), math.ceil(stats["queries"] / block)
     hashed = F.xxhash64("vec_id")
     candidates = indexed.select(
