@@ -1,7 +1,7 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives and unlabelled web text fit a linear model on character-class
-statistics of whole texts, by the non-negative unbiased risk
+Trusted positives and unlabelled web text fit a linear model on character-class and
+repetition statistics of whole texts, by the non-negative unbiased risk
 
     prior * P[loss(+)] + max(0, U[loss(-)] - prior * P[loss(-)])
 
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabflow.llm.common import append, fresh_name, plus, slices, text_column, utf8
+from cabflow.llm.shingles import span_hashes, words
 
 MAX_POSITIVES = 8192
 MAX_UNLABELLED = 8192
@@ -52,11 +53,29 @@ def _class_table() -> np.ndarray:
 
 CLASS_OF = _class_table()
 K = len(_CLASSES) + 1
-N_FEATURES = K * K + K + 4
+LAGS = 8
+N_FEATURES = K * K + K + 4 + LAGS + 1
+
+
+def _repetition(texts: pa.Array) -> np.ndarray:
+    """Share of words equal to the word 1 to ``LAGS`` places before, and share of distinct words."""
+    data, starts, ends, at = words(texts, lower=False)
+    h, n = span_hashes(data, starts, ends), np.diff(at)
+    out = np.zeros((len(texts), LAGS + 1))
+    some = np.flatnonzero(n)
+    if not len(some):
+        return out
+    owner = np.repeat(np.arange(len(texts)), n)
+    for lag in range(1, LAGS + 1):
+        same = (h[lag:] == h[:-lag]) & (owner[lag:] == owner[:-lag])
+        out[:, lag - 1] = np.bincount(owner[lag:][same], minlength=len(texts)) / np.maximum(1, n - lag)
+    for i in some:
+        out[i, LAGS] = len(np.unique(h[at[i] : at[i + 1]])) / n[i]
+    return out
 
 
 def features(texts: pa.Array) -> np.ndarray:
-    """A row for each text: shares of classes and of pairs of neighbouring classes, and four sizes."""
+    """A row for each text: shares of classes and of pairs of neighbouring classes, four sizes, and repetition."""
     data, at = utf8(texts)
     cls = CLASS_OF[data]
     pair = cls[:-1] * np.uint8(K) + cls[1:] if len(cls) else cls
@@ -71,7 +90,8 @@ def features(texts: pa.Array) -> np.ndarray:
         gaps, lines = one[3] + one[4] + 1, one[4] + 1
         out[i, : K * K] = np.sqrt(two / max(1, n - 1))
         out[i, K * K : K * K + K] = np.sqrt(one / n)
-        out[i, K * K + K :] = np.log1p([n, n / gaps, n / lines, gaps / lines])
+        out[i, K * K + K : K * K + K + 4] = np.log1p([n, n / gaps, n / lines, gaps / lines])
+    out[:, K * K + K + 4 :] = _repetition(texts)
     return out
 
 
@@ -92,8 +112,12 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, l2: float = 1e-3) -> Model:
-    """Minimise the non-negative risk by full-batch Adam; while the negative part is below 0, step back up its slope."""
+def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05) -> Model:
+    """Minimise the non-negative risk by full-batch Adam; while the negative part is below 0, step back up its slope.
+
+    The weights' penalty is that of a fixed prior belief on them: the fewer positives, the more it counts.
+    """
+    l2 = 1e-3 + 6 / len(pos)
     both = np.vstack([pos, unl]).astype(np.float64)
     mean, scale = both.mean(0), both.std(0) + 1e-3
     p, u = (pos - mean) / scale, (unl - mean) / scale
