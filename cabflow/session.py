@@ -18,6 +18,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Lists of up to so many single files are checked on the driver, without a job of their own.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000",
     # A bare COUNT over a DataSource V2 Parquet scan comes from the footers.
     "spark.sql.parquet.aggregatePushdown": "true",
 }
