@@ -30,27 +30,43 @@ from cabflow.llm.common import append, fresh_name, int_lists, once, plus, shuffl
 from cabflow.llm.tokens import decoder, tokenizer, text_encoder
 
 LEAF_CHARS = 65_536
+ENCODE_BYTES = 2 << 20
 FIRST_WINDOW = 4
 _SPACE = frozenset(" \t\n\r")
 
 
 def encode(
-    df: DataFrame, path: str, text: str = "text", ids: str = "ids", leaf_chars: int = LEAF_CHARS
+    df: DataFrame,
+    path: str,
+    text: str = "text",
+    ids: str = "ids",
+    leaf_chars: int = LEAF_CHARS,
+    decoded: str | None = None,
 ) -> DataFrame:
-    """``df`` with the ids of each text as an array<int>, as the tokenizer at ``path`` gives them."""
+    """``df`` with the ids of each text as an array<int>, as the tokenizer at ``path`` gives them.
+
+    ``decoded`` names a further column with the text that the ids decode to, for a
+    round trip in one pass: the ids need not go to the JVM and back for it.
+    """
     out = fresh_name(df.columns, ids)
+    back = fresh_name([*df.columns, out], decoded) if decoded else None
     length = F.coalesce(F.char_length(F.col(text)), F.lit(0))
-    short = df.filter(length <= leaf_chars).mapInArrow(
-        _encode_rows(path, text, out), plus(df.schema, T.StructField(out, T.ArrayType(T.IntegerType())))
-    )
-    return short.unionByName(_encode_long(df.filter(length > leaf_chars), path, text, out, leaf_chars))
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(back, T.StringType())] if back else [])]
+    short = df.filter(length <= leaf_chars).mapInArrow(_encode_rows(path, text, out, back), plus(df.schema, *fields))
+    long = _encode_long(df.filter(length > leaf_chars), path, text, out, leaf_chars)
+    return short.unionByName(decode(long, path, out, back) if back else long)
 
 
-def _encode_rows(path: str, text: str, out: str):
+def _encode_rows(path: str, text: str, out: str, back: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path)
-        for batch in slices(batches, text):
-            yield append(batch, [out], [int_lists(*encoder.encode(text_column(batch, text)))])
+        for batch in slices(batches, text, ENCODE_BYTES):
+            flat, offsets = encoder.encode(text_column(batch, text))
+            batch = append(batch, [out], [int_lists(flat, offsets)])
+            if back:
+                texts = decoder(path).decode(flat.astype(np.int64), offsets)
+                batch = append(batch, [back], [pa.array(texts, pa.string())])
+            yield batch
 
     return run
 

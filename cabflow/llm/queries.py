@@ -14,8 +14,7 @@ from cabflow.llm.tokens import public_path
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_path("word_bpe_49k.json")
-    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(coded, path).select(
+    return bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -53,6 +53,8 @@ def test_frames_with_nulls_repeats_and_clashing_columns(spark, name):
         assert sorted(((r.doc_id, r.text, r["ids"], tuple(r["ids_"])) for r in got), key=str) == sorted(
             ((r[0], r[1], r[2], tuple(x)) for r, x in zip(rows, library(path, [r[1] for r in rows]))), key=str
         )
+        both = bpe.encode(df, path, leaf_chars=leaf, decoded="text").collect()
+        assert all(r["text_"] == tokenizer(path).decode(r["ids_"], skip_special_tokens=False) for r in both) and len(both) == len(rows)
     assert bpe.encode(df.limit(0), path).columns == ["doc_id", "text", "ids", "_row", "ids_"]
     assert bpe.encode(df.limit(0), path).isEmpty()
     none = spark.createDataFrame([(1, None)], "k int, ids array<int>")
