@@ -1,15 +1,16 @@
 """License notices in documents, by conditional compression.
 
-Candidate blocks are the lines of a text that hold an anchor, a stem that occurs in
-every template; from longer lines, windows of words around the anchors. Each
-block is compressed with every template as a zstandard raw dictionary and without
-any; the template that shrinks it most is the first to be confirmed, by its exact
-wording: the template's words are aligned with the block's, and the words
-missing, added or changed within the aligned span may be at most a tenth of the
-template's words.
+Every template holds an anchor, a stem. A candidate block is an anchor in a text with
+as many words before and after it as the longest template with its allowed
+differences has, whatever line breaks, spaces and marks of comments stand between
+them. Each block is compressed with every template as a zstandard raw dictionary and
+without any; the template that shrinks it most is the first to be confirmed, by its
+exact wording: the template's words are aligned with the block's around the anchor,
+and the words missing, added or changed within the aligned span may be at most a
+tenth of the template's words.
 If it is not confirmed, the next template follows. A confirmed span is cut out, and
-the words before and after it are blocks again, so that several notices in one
-line are all found.
+the next anchor after it has the next block, so that several notices side by side
+are all found.
 
 Defined results: null and empty texts hold no notice; texts of any length are
 scanned whole; of templates that shrink a block equally, the first in name order
@@ -24,7 +25,6 @@ import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,17 +60,36 @@ TEMPLATES = {
     ),
 }
 ANCHORS = ("licens", "rights reserved", "redistribut", "permission is", "creative commons")
-WINDOW = 60
 LEVEL = 3
 ALLOWED = 0.1
+GAP = r"[^\p{L}\p{N}_]+"  # Java's form of \W+
 _WORD = re.compile(r"\S+")
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
-def words(text: str) -> list[tuple[str, int, int]]:
+def words(text: str, start: int = 0, end: int | None = None) -> list[tuple[str, int, int]]:
     """Plain words of a text with their spans: lower case, without punctuation at their ends."""
-    found = ((_EDGE.sub("", m[0]).lower(), m.start(), m.end()) for m in _WORD.finditer(text))
-    return [w for w in found if w[0]]
+    return list(_words(text, start, len(text) if end is None else end))
+
+
+def _words(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
+    found = ((_EDGE.sub("", m[0]).lower(), m.start(), m.end()) for m in _WORD.finditer(text, start, end))
+    return (w for w in found if w[0])
+
+
+def words_before(text: str, low: int, at: int, n: int) -> list[tuple[str, int, int]]:
+    """The last ``n`` plain words between two places, the second of which starts a word."""
+    size = 16 * n
+    while True:
+        start = max(low, at - size)
+        found = words(text, start, at)
+        if start == low:
+            return found[-n:]
+        if found and found[0][1] == start and not text[start - 1].isspace():  # the end of a longer word
+            del found[0]
+        if len(found) >= n:
+            return found[-n:]
+        size *= 4
 
 
 class Scanner:
@@ -79,13 +98,17 @@ class Scanner:
 
         self.names = sorted(templates)
         self.plain = zstd.ZstdCompressor(level=LEVEL)
-        self.primed, self.words = {}, {}
+        self.primed, self.words, self.pieces = {}, {}, {}
         for name in self.names:
             raw = zstd.ZstdCompressionDict(templates[name].lower().encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)
             raw.precompute_compress(level=LEVEL)
             self.primed[name] = zstd.ZstdCompressor(level=LEVEL, dict_data=raw)
-            self.words[name] = [w for w, _, _ in words(templates[name])]
+            wanted = self.words[name] = [w for w, _, _ in words(templates[name])]
+            n = min(int(allowed * len(wanted)) + 1, len(wanted))
+            cuts = [len(wanted) * i // n for i in range(n + 1)]
+            self.pieces[name] = [(a, wanted[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
         self.allowed = allowed
+        self.reach = max((len(w) + int(allowed * len(w)) + 1 for w in self.words.values()), default=1)
 
     def ranked(self, block: str) -> list[tuple[int, int, str]]:
         """(size alone, size with the template, name) of each template, the one that shrinks the block most first."""
@@ -95,85 +118,82 @@ class Scanner:
         sizes = [(alone, len(self.primed[n].compress(raw)), n) for n in self.names]
         return sorted(sizes, key=lambda x: (x[1], x[2]))
 
-    def aligned(self, name: str, block: list[str]) -> tuple[int, int, list[str], list[str]] | None:
-        """(first word, last word + 1, missing, added) of the template's wording in the block, or None."""
+    def aligned(
+        self, name: str, block: list[str], where: dict[str, list[int]], anchor: range
+    ) -> tuple[int, int, list[str], list[str]] | None:
+        """(first word, last word + 1, missing, added) of the template's wording around the anchor's words, or None.
+
+        ``where`` has the places of each word of the block. Of as many pieces as there
+        may be differences, and one more, one at least is unchanged, so that all places
+        the wording can have are looked at.
+        """
         wanted = self.words[name]
-        match = SequenceMatcher(None, wanted, block, autojunk=False)
-        longest = match.find_longest_match()
-        if not longest.size:
-            return None
-        # Only the surroundings of the longest run can be within the allowed differences.
         reach = int(self.allowed * len(wanted)) + 1
-        start = max(0, longest.b - longest.a - reach)
-        end = min(len(block), longest.b + len(wanted) - longest.a + reach)
-        codes = SequenceMatcher(None, wanted, block[start:end], autojunk=False).get_opcodes()
-        same = [c for c in codes if c[0] == "equal"]
-        first, last = same[0][3], same[-1][4]
-        missing, added, differ = [], [], 0
-        for kind, a, b, c, d in codes:
-            if kind != "equal":
-                c, d = max(c, first), min(d, last)  # words before and after the wording are not part of it
-                missing += wanted[a:b]
-                added += block[start + c : start + d]
-                differ += max(b - a, d - c)
-        if differ > self.allowed * len(wanted):
-            return None
-        return start + first, start + last, missing, added
+        places = sorted(
+            {i - at for at, piece in self.pieces[name] for i in where.get(piece[0], ()) if block[i : i + len(piece)] == piece}
+        )
+        best = None
+        for place in places:
+            if place - reach >= anchor.stop or place + len(wanted) + reach <= anchor.start:
+                continue
+            start, end = max(0, place - reach), min(len(block), place + len(wanted) + reach)
+            codes = SequenceMatcher(None, wanted, block[start:end], autojunk=False).get_opcodes()
+            same = [c for c in codes if c[0] == "equal"]
+            first, last = same[0][3], same[-1][4]
+            missing, added, differ = [], [], 0
+            for kind, a, b, c, d in codes:
+                if kind != "equal":
+                    c, d = max(c, first), min(d, last)  # words before and after the wording are not part of it
+                    missing += wanted[a:b]
+                    added += block[start + c : start + d]
+                    differ += max(b - a, d - c)
+            if differ > self.allowed * len(wanted) or start + first >= anchor.stop or start + last <= anchor.start:
+                continue
+            if best is None or differ < best[0]:
+                best = differ, (start + first, start + last, missing, added)
+        return best and best[1]
 
     def scan(self, text: str, anchors: tuple[str, ...]) -> Iterator[tuple]:
         """(name, start, end, size alone, size with the template, missing, added) of each notice, in text order."""
-        for at, block in blocks(text, anchors):
-            yield from sorted(self._block(block, at, anchors), key=lambda x: x[1])
-
-    def _block(self, block: str, at: int, anchors: tuple[str, ...]) -> Iterator[tuple]:
-        todo = [(at, block)]
-        while todo:
-            at, block = todo.pop()
-            low = block.lower()
-            if not any(a in low for a in anchors):
+        low = text.lower()
+        if len(low) != len(text):  # a letter whose lower case is longer: places must stay those of the text
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        done = seen = 0  # ends of the last notice, and of the last word whose anchor was looked at
+        for m in re.finditer(anchored(anchors, r"\W+"), low):
+            at = m.start()
+            if at < max(done, seen):
                 continue
-            spans = words(block)
-            plain = [w for w, _, _ in spans]
-            for alone, primed, name in self.ranked(block):
-                hit = self.aligned(name, plain)
-                if hit is None:
-                    continue
+            while at > done and not text[at - 1].isspace():
+                at -= 1
+            before = words_before(text, done, at, self.reach)
+            after, held = [], 0
+            for w in _words(text, at, len(text)):
+                after.append(w)
+                held += w[1] < m.end()
+                if len(after) >= held + self.reach:
+                    break
+            seen = after[0][2] if held else m.end()
+            hit = self._confirmed(text, before + after, range(len(before), len(before) + max(1, held)))
+            if hit:
+                yield hit
+                done = hit[2]
+
+    def _confirmed(self, text: str, spans: list[tuple[str, int, int]], anchor: range) -> tuple | None:
+        plain = [w for w, _, _ in spans]
+        where: dict[str, list[int]] = {}
+        for i, w in enumerate(plain):
+            where.setdefault(w, []).append(i)
+        for alone, primed, name in self.ranked(" ".join(text[a:b] for _, a, b in spans)):
+            hit = self.aligned(name, plain, where, anchor)
+            if hit:
                 first, last, missing, added = hit
-                start, end = spans[first][1], spans[last - 1][2]
-                yield name, at + start, at + end, alone, primed, missing, added
-                todo += [(at, block[:start]), (at + end, block[end:])]
-                break
-
-
-def blocks(text: str, anchors: tuple[str, ...]) -> Iterator[tuple[int, str]]:
-    """(start, text) of the candidate blocks: lines with an anchor, or windows of words around the anchors of long lines."""
-    low = text.lower()
-    if len(low) != len(text):  # a letter whose lower case is longer: places must stay those of the text
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    pattern = re.compile("|".join(map(re.escape, anchors)))
-    done = 0
-    for m in pattern.finditer(low):
-        if m.start() < done:
-            continue
-        start, end = low.rfind("\n", 0, m.start()) + 1, low.find("\n", m.end())
-        end = len(low) if end < 0 else end
-        line = text[start:end]
-        spans = [w.span() for w in _WORD.finditer(line)] if len(line) > 8 * WINDOW else []
-        if len(spans) <= 2 * WINDOW:
-            yield start, line
-        else:
-            at = np.array([s for s, _ in spans])
-            hits = [int(np.searchsorted(at, h.start() - start, "right")) - 1 for h in pattern.finditer(low, start, end)]
-            first, last = hits[0] - WINDOW, hits[0] + WINDOW
-            for h in [*hits[1:], None]:
-                if h is not None and h - WINDOW <= last:
-                    last = h + WINDOW
-                    continue
-                a, b = spans[max(0, first)][0], spans[min(len(spans) - 1, last)][1]
-                yield start + a, line[a:b]
-                if h is not None:
-                    first, last = h - WINDOW, h + WINDOW
-        done = end
+                return name, spans[first][1], spans[last - 1][2], alone, primed, missing, added
+        return None
+
+
+def anchored(anchors: tuple[str, ...], gap: str) -> str:
+    """A pattern of the anchors; between their words, anything that is no part of a word."""
+    return "|".join(gap.join(map(re.escape, a.split())) for a in anchors)
 
 
 def _scanner(templates: tuple, allowed: float) -> Scanner:
@@ -193,7 +213,7 @@ def scan(
     """One row for each notice: the other columns of ``df``, the license, its span, sizes, differing words and wording."""
     templates = TEMPLATES if templates is None else templates
     for name, wording in templates.items():
-        if not any(a in wording.lower() for a in anchors):
+        if not re.search(anchored(anchors, r"\W+"), wording.lower()):
             raise ValueError(f"template {name} holds no anchor")
     others = [c for c in df.columns if c != text]
     names = [fresh_name(others, n) for n in NEW]
@@ -216,6 +236,5 @@ def scan(
             yield pa.RecordBatch.from_arrays(columns, names=[*others, *names])
 
     # Texts without any anchor hold no candidate block: a cheap test in the JVM before any text goes to Python.
-    low = F.lower(F.col(f"`{text}`"))
-    anchored = low.rlike("|".join(re.escape(a) for a in anchors))
-    return df.filter(F.coalesce(anchored, F.lit(False))).mapInArrow(run, schema)
+    held = F.lower(F.col(f"`{text}`")).rlike(anchored(anchors, GAP))
+    return df.filter(F.coalesce(held, F.lit(False))).mapInArrow(run, schema)

@@ -1,6 +1,7 @@
 """License scans: planted notices and near misses, against all windows and templates, and edge cases."""
 
 import random
+import textwrap
 
 from cabflow.llm import licenses
 
@@ -64,3 +65,37 @@ def test_edges(spark):
     assert [g[0] for g in got] == [3, 3, 4, None] and all(g[4] == mit for g in got)
     df = spark.createDataFrame(rows, "doc_id long, text string, license string")
     assert licenses.scan(df.limit(0)).isEmpty()
+
+
+def test_wrapped_notices_are_found_whole(spark):
+    """Every template as it stands in files: broken into short lines, indented, and behind marks of comments."""
+    rows, want = [], []
+    for name, wording in sorted(licenses.TEMPLATES.items()):
+        for width in (20, 70):
+            for mark in ("", "    ", " * ", "# ", "// "):
+                wrapped = textwrap.wrap(wording, width, break_long_words=False, break_on_hyphens=False)
+                notice = f"\n{mark}".join(wrapped)
+                text = f"{mark}Copyright 2020\n{mark}\n{mark}{notice}\n\nint main() {{ return 0; }}\n"
+                want.append((len(rows), name, notice.rstrip(".:")))
+                rows.append((len(rows), text, ""))
+    got = [(d, n, notice.rstrip(".:")) for d, n, _, _, notice in found(spark, rows)]
+    assert sorted(got) == sorted(want)
+
+
+def test_anchors_broken_by_white_space(spark):
+    rows = [(i, f"Copyright 2020. All rights{gap}reserved.", "") for i, gap in enumerate(["\n", "  ", "\r\n", "\t", "\u00a0", "\n * "])]
+    assert [(d, n) for d, n, *_ in found(spark, rows)] == [(i, "all-rights-reserved") for i in range(len(rows))]
+
+
+def test_a_longer_excerpt_does_not_hide_a_changed_notice():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    header = licenses.TEMPLATES["mit-header"].split()
+    changed = " ".join([*header[:15], "any", *header[15:30], "any", *header[30:45], "any", *header[45:]])
+    text = " ".join(header[:25]) + "\n\n" + changed
+    assert [h[0] for h in scanner.scan(text, licenses.ANCHORS)] == ["mit-header"]
+
+
+def test_many_notices_in_one_text():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    text = "\n".join(["All rights reserved."] * 2000 + ["x" * 50_000 + "licens" * 20_000])
+    assert len(list(scanner.scan(text, licenses.ANCHORS))) == 2000
