@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabflow.session import remove, work_dir
@@ -71,6 +72,13 @@ def plus(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([*schema.fields, *fields])
 
 
+def sampled(seed: int, share: float, *columns: str) -> Column:
+    """About this share of all values, by their 64-bit hash; any share above 0, however small, counts."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns]) < F.lit(int(share * 2**64) - 2**63)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The column as strings without nulls (null: empty)."""
     column = batch.column(batch.schema.get_field_index(name))

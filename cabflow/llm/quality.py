@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import append, fresh_name, plus, slices, text_column, utf8
+from cabflow.llm.common import append, fresh_name, plus, sampled, slices, text_column, utf8
 from cabflow.llm.shingles import span_hashes, words
 
 MAX_POSITIVES = 8192
@@ -151,8 +151,7 @@ def best_bin_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def _sampled(key: str, wanted: int, there: int) -> Column:
-    share = min(1.0, wanted / max(1, there))
-    return F.pmod(F.xxhash64(F.lit(17), F.col(f"`{key}`")), F.lit(1_000_000)) < int(share * 1_000_000)
+    return sampled(17, wanted / max(1, there), key)
 
 
 def _featured(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -198,14 +197,16 @@ def train(
         "loose", _sampled("id", max_unlabelled, n_docs)
     ).filter(F.col("trusted") | F.col("loose"))
     got = _featured(marked, "text", "x").select("trusted", "loose", "x", "id").toArrow()
-    if not got.num_rows:
+    if not got.num_rows and not (there and n_docs):
         return None
     order = np.argsort(got["id"].to_numpy(), kind="stable")
-    x = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, -1)[order]
+    x = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, N_FEATURES)[order]
     trusted = got["trusted"].fill_null(False).to_numpy()[order]
     loose = got["loose"].to_numpy()[order]
-    if not trusted.any() or not loose.any():
+    if not trusted.any() and (not there or texts.join(ids, "id", "left_semi").isEmpty()):
         return None
+    if not trusted.any() or not loose.any():
+        raise ValueError("there are trusted positives, but the sample of texts to fit holds none, or no unlabelled text")
     first = fit_nnpu(x[trusted], x[loose], 0.5)
 
     bins = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")

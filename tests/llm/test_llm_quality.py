@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from cabflow.llm import quality
 from cabflow.llm.queries import op2_quality
@@ -68,3 +69,25 @@ def test_edges(spark):
     assert quality.train(docs, trusted.limit(0)) is None and quality.train(docs.limit(0), trusted) is None
     assert {r["score_"] for r in quality.score(docs, None).collect()} == {0.5}
     assert quality.score(docs.limit(0), model).isEmpty()
+
+
+def test_samples_of_very_large_tables_are_not_empty(spark):
+    """A share below a millionth, as of more than 8.2e9 texts, still chooses its part."""
+    from cabflow.llm.common import sampled
+
+    ids = spark.range(4_000_000)
+    for share in (5e-6, 9e-7):
+        assert 0 < ids.filter(sampled(17, share, "id")).count() < 20 * 4_000_000 * share
+    assert ids.filter(sampled(17, 0.25, "id")).count() == pytest.approx(1_000_000, rel=0.01)
+    assert ids.filter(quality._sampled("id", 8192, 4_000_000)).count() == pytest.approx(8192, rel=0.1)
+
+
+def test_an_empty_sample_is_an_error(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of some words") for i in range(50)], "doc_id long, text string")
+    good = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    for more in ({"max_unlabelled": 0}, {"max_positives": 0}):
+        with pytest.raises(ValueError, match="sample"):
+            quality.train(docs, good, **more)
+    assert quality.train(docs, good.filter("doc_id > 9")) is None
+    assert quality.train(docs.limit(0), good) is None
+    assert quality.train(docs.filter("doc_id > 9"), good) is None
