@@ -154,9 +154,8 @@ def lines(html: str) -> list[Line]:
             zone = inside
     held.append(html[at:])
     flush()
-    for kind in ("article", "main"):  # what stands outside the article is not its text
-        if any(z == kind for z, _ in out):
-            return [("article" if z == kind else "frame", t) for z, t in out]
+    if any(z in ("article", "main") for z, _ in out):  # what stands outside of both is not the page's text
+        return [("article" if z in ("article", "main") else "frame", t) for z, t in out]
     return out
 
 

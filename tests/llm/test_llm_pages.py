@@ -91,3 +91,9 @@ def test_query_returns_the_article_of_every_page(spark):
     for r in got:
         inside = rows[r.page_id].html.partition("<article>")[2].partition("</article>")[0]
         assert r.text == text(inside) and r.n_chars == len(r.text) and r.url == rows[r.page_id].url
+
+
+def test_main_around_an_article_card_is_kept():
+    page = "<nav>n</nav><main><h1>Headline</h1><p>First.</p><article><p>Card</p></article><p>Last.</p><aside>x</aside></main><p>out</p>"
+    assert text(page) == "Headline\nFirst.\nCard\nLast."
+    assert text("<div role=main><h1>Head</h1><article>Text</article></div><footer>f</footer>") == "Head\nText"
