@@ -10,7 +10,8 @@ path. The two pages' lines are aligned by longest common subsequence.
 Shared lines of the body zone are deleted: a site repeats them around its texts.
 Frame lines are deleted with or without a pair. Lines of an article are kept even
 where the neighbour shares them, as mirrored articles and passages that several
-articles quote are text; where a page has an article, nothing outside it is. A
+articles quote are text; where a page has an article or main element, nothing outside
+of them is text, so that no pair decides there. A
 neighbour that shares nearly all of the body is a copy and says nothing, so the
 other neighbour is asked instead.
 
@@ -200,13 +201,11 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     zones = {"article": "a", "body": "b", "frame": "f"}
     for batch in slices(batches, "_html"):
         parsed = [lines(h) for h in text_column(batch, "_html").to_pylist()]
-        # Only a page without an article needs its other lines, or is asked for them.
-        plain = [p if any(z == "body" for z, _ in p) else [x for x in p if x[0] == "article"] for p in parsed]
         names = [n for n in batch.schema.names if n != "_html"]
         columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
         columns += [
-            pa.array(["".join(zones[z] for z, _ in p) for p in plain], pa.string()),
-            pa.array(["\n".join(t for _, t in p) for p in plain], pa.string()),
+            pa.array(["".join(zones[z] for z, _ in p) for p in parsed], pa.string()),
+            pa.array(["\n".join(t for _, t in p) for p in parsed], pa.string()),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=[*names, "_zones", "_lines"])
 

@@ -97,3 +97,12 @@ def test_main_around_an_article_card_is_kept():
     page = "<nav>n</nav><main><h1>Headline</h1><p>First.</p><article><p>Card</p></article><p>Last.</p><aside>x</aside></main><p>out</p>"
     assert text(page) == "Headline\nFirst.\nCard\nLast."
     assert text("<div role=main><h1>Head</h1><article>Text</article></div><footer>f</footer>") == "Head\nText"
+
+
+def test_neighbours_are_asked_whatever_their_markup(spark):
+    """A page without an article loses the menu it shares with pages that have one."""
+    menu = "<p>Home of all</p><p>Call us now</p>"
+    rows = [(i, f"http://a.example/x/{i}", f"{menu}<article><p>Text of {i}</p></article>") for i in (1, 3)]
+    rows += [(2, "http://a.example/x/2", f"{menu}<p>Own text, in no article.</p>")]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "Text of 1", 2: "Own text, in no article.", 3: "Text of 3"}
