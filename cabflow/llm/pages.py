@@ -4,20 +4,22 @@ A page becomes text lines, one for each block, in page order, each with a zone:
 ``article`` (inside an article or main element), ``frame`` (inside what HTML or a
 class or id names as menu, header, footer, sidebar, notice, advert, form or
 comments) or ``body`` (anything else). Pages are put in the order of host and
-URL path and paired with the neighbour, before or after, that shares the longer
-path. The two pages' lines are aligned by longest common subsequence.
+URL path. Equal pages (of one host, with the same lines and zones) that follow each
+other are a run, and get one text: runs are paired with the run before or after
+that shares the longer path. The two pages' lines are aligned by longest common
+subsequence, whatever markup the neighbour has.
 
 Shared lines of the body zone are deleted: a site repeats them around its texts.
 Frame lines are deleted with or without a pair. Lines of an article are kept even
 where the neighbour shares them, as mirrored articles and passages that several
 articles quote are text; where a page has an article or main element, nothing outside
-of them is text, so that no pair decides there. A
-neighbour that shares nearly all of the body is a copy and says nothing, so the
-other neighbour is asked instead.
+of them is text, so that no pair decides there. A neighbour that holds all of the page's body lines
+is a copy and says nothing, and so is one without a line of its own that shares
+nearly all of the body; the other neighbour is asked instead.
 
 Defined results: null or empty html has the empty text; a null URL is a host of
 its own, with an empty path; broken markup is read as far as it goes; repeated rows are copies of
-each other; an empty table gives an empty table; other columns are not returned.
+each other and get one text; an empty table gives an empty table; other columns are not returned.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -32,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import slices, text_column
-from cabflow.llm.ordered import BUCKET, EDGE, with_edges
+from cabflow.llm.common import slices, stored, text_column, unstore
+from cabflow.llm.ordered import BUCKET, EDGE, with_runs
 
 COPY_SHARE = 0.8
 _TOKEN = re.compile(
@@ -184,59 +187,82 @@ def shared(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
+def deleted(zones: str, keys: list, sizes: list[int], others: list[tuple[str, list]]) -> set[int]:
+    """Indices of body lines shared with the first neighbour that is no copy; lines are equal where their keys are."""
+    body = [i for i, z in enumerate(zones) if z == "b"]
+    total = sum(sizes[i] for i in body)
+    for other_zones, other_keys in others if body else ():
+        here, there = set(keys), set(other_keys)
+        if all(keys[i] in there for i in body):
+            continue  # nothing would stay
+        common = shared(keys, other_keys) & set(body)
+        own = any(z != "f" and k not in here for z, k in zip(other_zones, other_keys, strict=True))
+        if own or sum(sizes[i] for i in common) < COPY_SHARE * total:
+            return common
+    return set()
+
+
 def main_text(page: list[Line], neighbours: list[list[Line]]) -> str:
     """The page's lines without frame lines, and without body lines shared with the first neighbour that is no copy."""
-    body = sum(len(t) for z, t in page if z == "body")
-    drop: set[int] = set()
-    if body:
-        for other in neighbours:
-            common = {i for i in shared([t for _, t in page], [t for _, t in other]) if page[i][0] == "body"}
-            if sum(len(page[i][1]) for i in common) < COPY_SHARE * body:
-                drop = common
-                break
+    split = [("".join(z[0] for z, _ in p), [t for _, t in p]) for p in (page, *neighbours)]
+    drop = deleted(*split[0], [len(t) for _, t in page], split[1:])
     return "\n".join(t for i, (z, t) in enumerate(page) if z != "frame" and i not in drop)
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    zones = {"article": "a", "body": "b", "frame": "f"}
-    for batch in slices(batches, "_html"):
-        parsed = [lines(h) for h in text_column(batch, "_html").to_pylist()]
-        names = [n for n in batch.schema.names if n != "_html"]
-        columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-        columns += [
-            pa.array(["".join(zones[z] for z, _ in p) for p in parsed], pa.string()),
-            pa.array(["\n".join(t for _, t in p) for p in parsed], pa.string()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=[*names, "_zones", "_lines"])
-
-
-def _host_path(url: str | None) -> tuple[str, list[str]]:
-    rest = (url or "").partition("://")[2] or (url or "")
-    host, _, path = re.split(r"[?#]", rest, maxsplit=1)[0].partition("/")
-    return host.lower(), [p for p in path.split("/") if p]
-
-
-def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def page_of(row: dict) -> list[Line]:
-        zones = {"a": "article", "b": "body", "f": "frame"}
-        return [(zones[z], t) for z, t in zip(row["_zones"], row["_lines"].split("\n"), strict=False)]
-
-    def rank(row: dict, other: dict) -> int:
-        a, b = _host_path(row["url"]), _host_path(other["url"])
-        if a[0] != b[0]:
-            return -1
-        n = 0
-        while n < min(len(a[1]), len(b[1])) and a[1][n] == b[1][n]:
-            n += 1
-        return n
-
-    def result(row: dict, before: dict | None, after: dict | None) -> tuple:
-        page = page_of(row)
-        others = []
-        if "b" in row["_zones"]:
-            near = [(rank(row, o), o) for o in (before, after) if o is not None]
-            others = [page_of(o) for r, o in sorted(near, key=lambda x: -x[0]) if r >= 0]
-        return row["page_id"], row["url"], main_text(page, others)
+def _digest(data: bytes) -> int:
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def _parse(full: bool):
+    """Adds each page's hash over its lines and zones; ``full``: also the zones, a hash of every line, and the lines that are not frame."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_html"):
+            parsed = [lines(h) for h in text_column(batch, "_html").to_pylist()]
+            zones = ["".join(z[0] for z, _ in p) for p in parsed]
+            whole = [_digest("\n".join([z, *(t for _, t in p)]).encode()) for z, p in zip(zones, parsed, strict=True)]
+            names = [n for n in batch.schema.names if n != "_html"]
+            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            columns.append(pa.array(whole, pa.int64()))
+            if full:
+                columns += [
+                    pa.array(zones, pa.string()),
+                    pa.array([[_digest(t.encode()) for _, t in p] for p in parsed], pa.list_(pa.int64())),
+                    pa.array(["\n".join(t for z, t in p if z != "frame") for p in parsed], pa.string()),
+                ]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_page", *(["_zones", "_keys", "_lines"] if full else [])])
+
+    return run
+
+
+def _shared_path(key: str, other: str) -> int:
+    """How many parts of the path two keys share; -1 on different hosts."""
+    (host, _, rest), (other_host, _, other_rest) = key.partition("\x01"), other.partition("\x01")
+    if host != other_host:
+        return -1
+    a, b = ([x for x in r.rpartition("\x01")[0].split("/") if x] for r in (rest, other_rest))
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def _text(row: dict, others: list[dict]) -> str:
+    zones = row["_zones"]
+    at = [i for i, z in enumerate(zones) if z != "f"]
+    texts = row["_lines"].split("\n")
+    sizes = dict(zip(at, map(len, texts), strict=False))
+    drop = deleted(zones, row["_keys"], [sizes.get(i, 0) for i in range(len(zones))], [(o["_zones"], o["_keys"]) for o in others])
+    return "\n".join(t for i, t in zip(at, texts, strict=False) if i not in drop)
+
+
+def _stream(spans: dict[int, tuple[str, str]]):
+    """Texts of pages in order; ``spans`` has the first key of each bucket's first run and the last key of its last run."""
+
+    def result(run: list[tuple], page: dict, first: str, last: str, before: dict | None, after: dict | None) -> Iterator[tuple]:
+        near = [(_shared_path(k, o["_k"]), o) for k, o in ((first, before), (last, after)) if o is not None]
+        text = _text(page, [o for r, o in sorted(near, key=lambda x: -x[0]) if r >= 0])
+        return ((*one, text) for one in run)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         ids, urls, texts = zip(*rows, strict=True)
@@ -245,32 +271,41 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["page_id", "url", "text", "n_chars"],
         )
 
-    out: list[tuple] = []
-    before = row = None
-    bucket = None
-    for batch in batches:
-        for now in batch.to_pylist():
-            if now[BUCKET] != bucket:
-                if row is not None:
-                    out.append(result(row, before, None))
-                bucket, before, row = now[BUCKET], None, None
-            if now[EDGE] < 0:
-                before = now  # the last of them is the nearest
-            elif now[EDGE] == 0:
-                if row is not None:
-                    out.append(result(row, before, now))
-                    before = row
-                row = now
-            elif row is not None:
-                out.append(result(row, before, now))
-                row = None
-            if len(out) >= 500:
-                yield batch_of(out)
-                out = []
-    if row is not None:
-        out.append(result(row, before, None))
-    if out:
-        yield batch_of(out)
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket = before = page = first = last = None
+        run: list[tuple] = []  # id and url of equal pages in a row, of which ``page`` is one
+
+        out: list[tuple] = []
+
+        def closed(after: dict | None, end: bool) -> Iterator[pa.RecordBatch]:
+            if run:
+                for row in result(run, page, first, spans[bucket][1] if end else last["_k"], before, after):
+                    out.append(row)
+                    if len(out) >= 500:
+                        yield batch_of(out)
+                        out.clear()
+
+        for batch in batches:
+            for now in batch.to_pylist():
+                if now[BUCKET] != bucket:
+                    yield from closed(None, True)
+                    bucket, before, page, run, first = now[BUCKET], None, None, [], spans[now[BUCKET]][0]
+                if now[EDGE] < 0:
+                    before = now
+                elif now[EDGE] > 0:
+                    yield from closed(now, True)
+                    run = []
+                else:
+                    if page is not None and now["_run"] != page["_run"]:
+                        yield from closed(now, False)
+                        before, page, run, first = last, None, [], now["_k"]
+                    page, last = page or now, now
+                    run.append((now["page_id"], now["url"]))
+        yield from closed(None, True)
+        if out:
+            yield batch_of(out)
+
+    return stream
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -286,12 +321,18 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         place.alias("_place"),
         host.alias("_host"),
     )
-    rows = rows.select(
-        "page_id", "url", "_html", F.concat_ws("\x01", "_host", path, F.coalesce(F.col("page_id").cast("string"), F.lit(""))).alias("_k")
-    )
-    text = T.StringType()
-    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "_html"], T.StructField("_zones", text), T.StructField("_lines", text)])
-    parsed = rows.mapInArrow(_parse, schema)
-    # The order needs the keys alone: they are taken from the pages, not from the parsed ones.
-    ordered = with_edges(parsed, "_k", "page_id", before=True, keys=rows.select("_k"))
-    return ordered.mapInArrow(_stream, "page_id long, url string, text string, n_chars long")
+    page_id = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    rows = rows.select("page_id", "url", "_html", "_host", F.xxhash64("_html").alias("_tie"), F.concat_ws("\x01", "_host", path, page_id).alias("_k"))
+    long, text = T.LongType(), T.StringType()
+
+    def parsed(full: bool, *names: str) -> DataFrame:
+        part = rows.select(*names, "_html")
+        new = [("_page", long), *([("_zones", text), ("_keys", T.ArrayType(long)), ("_lines", text)] if full else [])]
+        schema = T.StructType([*[f for f in part.schema.fields if f.name != "_html"], *[T.StructField(n, k) for n, k in new]])
+        return part.mapInArrow(_parse(full), schema).withColumn("_run", F.xxhash64("_host", "_page")).drop("_host", "_page")
+
+    # The order and its runs of equal pages need a narrow table alone.
+    keys = stored(parsed(False, "_host", "_k", "_tie").select("_k", "_tie", "_run"), "page-keys")
+    ordered, spans = with_runs(parsed(True, "page_id", "url", "_host", "_k", "_tie"), "_k", "_tie", "_run", keys)
+    unstore(keys)
+    return ordered.mapInArrow(_stream(spans), "page_id long, url string, text string, n_chars long")

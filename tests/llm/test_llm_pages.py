@@ -106,3 +106,40 @@ def test_neighbours_are_asked_whatever_their_markup(spark):
     rows += [(2, "http://a.example/x/2", f"{menu}<p>Own text, in no article.</p>")]
     got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {1: "Text of 1", 2: "Own text, in no article.", 3: "Text of 3"}
+
+
+def test_all_copies_get_one_text(spark):
+    """Runs of equal pages, some longer than many buckets, against a brute-force pairing of runs."""
+    rng = random.Random(4)
+    runs, rows = [], []
+    for i in range(24):
+        host, path = f"h{i // 8}.example", f"{'ab'[i % 2]}/{i:03d}"
+        html = f"<p>Site of {host}</p><p>Body {i} says {rng.random()}</p>" + "<p>Section line</p>" * (i % 2)
+        urls = [f"http://{host}/{path}" + f"/{j:03d}" * (i % 3 == 0) for j in range(rng.choice([1, 2, 3, 5, 150]))]
+        runs.append((host, path, html, urls))
+        rows += [(len(rows) + j, u, f"<!-- {j} -->" * (i % 4 == 0) + html) for j, u in enumerate(urls)]
+    rng.shuffle(rows)
+    got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.url) for r in got) == sorted(r[:2] for r in rows)
+    texts = {}
+    for r in got:
+        texts.setdefault(r.url, set()).add(r.text)
+    runs.sort(key=lambda r: (r[0], f"/{r[1]}"))
+    for k, (host, path, html, urls) in enumerate(runs):
+        near = []
+        for j in (k - 1, k + 1):
+            if 0 <= j < len(runs) and runs[j][0] == host:
+                near.append((-(runs[j][1][0] == path[0]), len(near), pages.lines(runs[j][2])))
+        want = pages.main_text(pages.lines(html), [n for *_, n in sorted(near, key=lambda x: x[:2])])
+        assert {t for u in urls for t in texts[u]} == {want} and "Site of" not in want, k
+
+
+def test_copies_are_told_by_their_own_lines():
+    menu = "".join(f"<p>Menu entry {i} with many more words around it</p>" for i in range(20))
+    a, b = (pages.lines(f"{menu}<p>Only {x}.</p>") for x in ("this", "that"))
+    assert pages.main_text(a, [b]) == "Only this." and pages.main_text(b, [a, a]) == "Only that."
+    whole, stamped = pages.lines("<p>A long text of many words that two pages have.</p>"), pages.lines(
+        "<p>A long text of many words that two pages have.</p><p>Copied.</p>"
+    )
+    for page, other in ((whole, stamped), (stamped, whole), (whole, whole)):
+        assert pages.main_text(page, [other]) == pages.main_text(page, [])
