@@ -1,7 +1,8 @@
 """Rows next to each other in a global order, without a global window.
 
-The order, by a key and a tie, is cut at quantiles of a sample into buckets,
-four for each shuffle partition. Only what stands at each bucket's ends reaches the driver: its
+The order, by a key and a tie, is cut at quantiles of a sample of both into buckets,
+four for each shuffle partition, so that rows of one key fill many buckets where
+their ties differ. Only what stands at each bucket's ends reaches the driver: its
 first and last row, or its first and last two runs of equal rows. Rows that follow a
 bucket (or come before it) are sent to that bucket as well, as edges. One shuffle by
 bucket then brings every row together with its neighbours, and a task streams its
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import plus, shuffle_partitions
+from cabflow.llm.common import plus, sampled, shuffle_partitions
 
 BUCKETS_PER_PARTITION = 4
 SAMPLE_PER_BUCKET = 20
@@ -30,9 +31,9 @@ Place = tuple  # a key and its tie
 
 def _splits(keys: DataFrame, key: str, tie: str) -> list[Place]:
     n = BUCKETS_PER_PARTITION * shuffle_partitions(keys.sparkSession)
-    share = min(1.0, n * SAMPLE_PER_BUCKET / max(1, keys.count()))
-    picked = keys.filter(F.pmod(F.xxhash64(F.lit(5), key), F.lit(1_000_000)) < int(share * 1_000_000)).select(key)
-    sample = sorted((r[0], -(2**63)) for r in picked.distinct().collect())  # about SAMPLE_PER_BUCKET a bucket
+    share = n * SAMPLE_PER_BUCKET / max(1, keys.count())
+    picked = keys.filter(sampled(5, share, key, tie)).select(key, tie)
+    sample = sorted(tuple(r) for r in picked.distinct().collect())  # about SAMPLE_PER_BUCKET a bucket
     return sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
 
 
