@@ -1,11 +1,12 @@
 """Line dedup across documents, with DataFrame functions only.
 
 Every long enough line becomes a 128-bit hash of its key. The hashes are range
-partitioned with document and position as secondary sort, so that a line found
-in a third of all documents fills many partitions, each with a run of its
-documents; streaming a partition yields, for each line, how many documents the
-run holds and the last of them, one row for each line and partition. Those rows
-are summed, and lines of enough documents are joined back. What comes out is not
+partitioned with the document, so that a line found in a third of all documents
+fills many partitions, each with a run of its documents. Spark drops the sort
+within the partitions, as the aggregates over them need no order: a hash aggregate
+in each partition counts each line's documents and takes the last of them, one row
+for each line and partition. Those rows are summed by a second aggregate, and lines
+of enough documents are joined back. What comes out is not
 text but one sparse bitmap for each document that loses lines: (word, bits)
 pairs, 64 lines a word, words without a dropped line left out. ``apply_bitmaps``
 joins them to the documents.
