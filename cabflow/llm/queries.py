@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm import bpe, fingerprints, licenses, line_dedup, minhash, packing, pages, quality, topk, warc
+from cabflow.llm import (
+    bpe,
+    exact_dedup,
+    fingerprints,
+    licenses,
+    line_dedup,
+    merkle,
+    minhash,
+    packing,
+    pages,
+    quality,
+    topk,
+    warc,
+    whitening,
+)
 from cabflow.llm.common import scratch, table
 from cabflow.llm.tokens import public_path
 
@@ -80,6 +94,94 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_next(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, components=4)
+    rows, new = whitening.whiten(vectors, model)
+    explained = F.array(*[F.lit(x) for x in model.explained]).cast("array<double>")
+    each = rows.select("vec_id", F.col(new["deviation"]).alias("deviation"), F.posexplode(new["whitened"]).alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, "at").alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, new = exact_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        F.col(new["keep_id"]).alias("keep_id"),
+        F.col(new["group_size"]).alias("group_size"),
+        F.col(new["kept"]).alias("kept"),
+        F.lower(F.hex(new["digest"])).alias("text_sha256"),
+    )
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return merkle.manifest(
+        docs,
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        claims={"text": F.translate("text", upper, upper.lower())},
+        claimed=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0,
+    ).prove()
+
+
+def merkle_sql(levels: int = 7, forest_levels: int = 3) -> str:
+    """SQL of ``op13_merkle`` for groups of at most 8**levels rows and 8**forest_levels groups."""
+
+    def climbed(name: str, n: int) -> str:
+        """Level by level: each row's own siblings as text, the node above it, and what its claim folds to."""
+        out = ""
+        for i in range(n):
+            below = f"{name}{i}"
+            # the run of a node's level, once for each node, then the rows that stand below it
+            out += f""", {below}n AS (
+  SELECT tree, node, size, any_value(digest) AS digest FROM {below} GROUP BY tree, node, size
+), {below}r AS (
+  SELECT tree, node // 8 AS up, size, string_agg(digest, '' ORDER BY node) AS run FROM {below}n GROUP BY tree, node // 8, size
+), {name}{i + 1} AS (
+  SELECT b.doc_id, b.leaf, b.tree, b.node // 8 AS node, (b.size + 7) // 8 AS size,
+         CASE WHEN b.size > 1 THEN sha256(r.run) ELSE b.digest END AS digest,
+         CASE WHEN b.size > 1 THEN sha256(left(r.run, 64 * (b.node % 8)) || b.folded || substr(r.run, 64 * (b.node % 8) + 65)) ELSE b.folded END AS folded,
+         b.proof || left(r.run, 64 * (b.node % 8)) || substr(r.run, 64 * (b.node % 8) + 65) AS proof{", b.subroot" if name == "f" else ""}
+  FROM {below} b JOIN {below}r r ON r.tree = b.tree AND r.up = b.node // 8
+)"""
+        return out
+
+    def leaf(text: str) -> str:
+        fields = [f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)]
+        return f"sha256({' || '.join(fields)})"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = """xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+    return f"""
+WITH hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {leaf("text")} AS leaf,
+         CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS claim
+  FROM documents
+), l0 AS (
+  SELECT doc_id, leaf, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS node,
+         count(*) OVER (PARTITION BY tree) AS size, leaf AS digest, claim AS folded, '' AS proof
+  FROM hashed
+){climbed("l", levels)}, places AS (
+  SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS node, count(*) OVER () AS size FROM (SELECT DISTINCT tree FROM l{levels})
+), f0 AS (
+  SELECT l.doc_id, l.leaf, '' AS tree, p.node, p.size, l.digest, l.folded, l.proof, l.digest AS subroot
+  FROM l{levels} l JOIN places p ON p.tree = l.tree
+){climbed("f", forest_levels)}
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM f{forest_levels}
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -91,6 +193,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_warc": op9_warc,
     "op10_fingerprints": op10_fingerprints,
+    "op11_whitening": op11_whitening,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_merkle": op13_merkle,
 }
 
 # SQL with equal results, where SQL can state them.
@@ -152,4 +257,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CAST(CASE WHEN page_id < original THEN original END AS DOUBLE) AS refers_to
 FROM best
 """,
+    "op12_exact_dedup": """
+WITH hashed AS (SELECT doc_id, coalesce(text, '') AS body FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM hashed WINDOW same AS (PARTITION BY body)
+""",
+    "op13_merkle": merkle_sql(),
 }
