@@ -242,7 +242,7 @@ def _paths(name: str | None):
 _PATH_FIELDS = f"tree string, pos long, subroot binary, path {_PATH}"
 
 
-def _with_paths(rounds: list[DataFrame], outer: DataFrame | None, name: str | None = None) -> DataFrame:
+def _with_paths(rounds: list[DataFrame], outer: DataFrame | None) -> DataFrame:
     """The first round's blocks with the paths from their tops to the root and their trees' subroots.
 
     ``outer`` has (tree, subroot, path) of each tree; without it, the rounds are the forest's.
@@ -258,7 +258,7 @@ def _with_paths(rounds: list[DataFrame], outer: DataFrame | None, name: str | No
             up = above.withColumnRenamed("pos", "block")
             done = done.unionByName(blocks.filter(F.col("size") > BLOCK).join(up, ["tree", "block"]))
         if blocks is not rounds[0]:
-            above = stored(done.mapInArrow(_paths(name), _PATH_FIELDS), "merkle-paths")
+            above = stored(done.mapInArrow(_paths(None), _PATH_FIELDS), "merkle-paths")
     return done
 
 
@@ -366,7 +366,7 @@ class Manifest:
 
     def prove(self) -> DataFrame:
         """A row for each leaf: its digests, the hash of its proof, and what its claim folds to (all in hex)."""
-        subtrees = _with_paths(self.forest, None, "name").mapInArrow(_paths("name"), _PATH_FIELDS).drop("pos")
+        subtrees = _with_paths(self.forest, None).mapInArrow(_paths("name"), _PATH_FIELDS).drop("pos")
         blocks = _with_paths(self.rounds, stored(subtrees, "merkle-paths"))
         kind = blocks.schema["key"].dataType.elementType
         digests = [T.StructField(n, T.BinaryType()) for n in ("leaf", "subroot", "proof", "folded")]
