@@ -17,16 +17,16 @@ from cabflow.functions.columns import card_tip_pct_value, is_weekend, sql_round
 from cabflow.operators.indicators import ordered
 
 
-def indicator_cube(valid: DataFrame) -> DataFrame:
+# Columns of the cube that are not keys, in the order of ``cube_aggs``.
+CUBE_MEASURES = (
+    "trips", "total_sum", "total_n", "distance_sum", "distance_n", "duration_sum", "duration_n", "tip_sum", "tip_n",
+)
+
+
+def cube_aggs() -> list[Column]:
+    """Counts and sums that every indicator can be rebuilt from."""
     tip = card_tip_pct_value()
-    return valid.groupBy(
-        F.col("file_year").cast("long").alias("file_year"),
-        F.col("file_month").cast("long").alias("file_month"),
-        "taxi_type",
-        "payment_type",
-        F.hour("pickup_datetime").cast("long").alias("pickup_hour"),
-        is_weekend("pickup_datetime").alias("weekend"),
-    ).agg(
+    return [
         F.count(F.lit(1)).alias("trips"),
         F.sum("total_amount").alias("total_sum"),
         F.count("total_amount").alias("total_n"),
@@ -36,7 +36,18 @@ def indicator_cube(valid: DataFrame) -> DataFrame:
         F.count("duration_minutes").alias("duration_n"),
         F.sum(tip).alias("tip_sum"),
         F.count(tip).alias("tip_n"),
-    )
+    ]
+
+
+def indicator_cube(valid: DataFrame) -> DataFrame:
+    return valid.groupBy(
+        F.col("file_year").cast("long").alias("file_year"),
+        F.col("file_month").cast("long").alias("file_month"),
+        "taxi_type",
+        "payment_type",
+        F.hour("pickup_datetime").cast("long").alias("pickup_hour"),
+        is_weekend("pickup_datetime").alias("weekend"),
+    ).agg(*cube_aggs())
 
 
 def _mean(total: str, n: str) -> Column:
@@ -119,7 +130,10 @@ def totals(cube: DataFrame) -> DataFrame:
 
 def dashboard(valid: DataFrame) -> dict[str, DataFrame]:
     """All dashboard indicators from one scan; the cube is checkpointed (small, reliable)."""
-    cube = indicator_cube(valid).checkpoint(eager=True)
+    return dashboard_of(indicator_cube(valid).checkpoint(eager=True))
+
+
+def dashboard_of(cube: DataFrame) -> dict[str, DataFrame]:
     return {
         "monthly_indicators": monthly_indicators(cube),
         "yearly_indicators": yearly_indicators(cube),

@@ -37,7 +37,7 @@ def audit_by_file(trips: DataFrame) -> DataFrame:
     ``coverage_of`` and ``quality_of`` are sums of it, for runs that need both.
     """
     keys = ["taxi_type", F.col("file_year").cast("long").alias("file_year"), "filename"]
-    return trips.groupBy(*keys).agg(*_quality_aggs())
+    return trips.groupBy(*keys).agg(*quality_aggs())
 
 
 def coverage_of(audit: DataFrame) -> DataFrame:
@@ -69,12 +69,19 @@ def file_row_counts(all_files: DataFrame, path_col: str = "filename") -> DataFra
 
 def quality(trips: DataFrame) -> DataFrame:
     """Rows and seven overlapping defect counters per taxi type and file year."""
-    q = trips.groupBy("taxi_type", F.col("file_year").cast("long").alias("file_year")).agg(*_quality_aggs())
+    q = trips.groupBy("taxi_type", F.col("file_year").cast("long").alias("file_year")).agg(*quality_aggs())
     return ordered(q, "file_year", "taxi_type")
 
 
+# Columns of a quality report that are not keys, in the order of ``quality_aggs``.
+COUNTERS = (
+    "rows", "null_timestamps", "pickup_outside_file_year", "nonpositive_duration", "duration_over_24h",
+    "nonpositive_distance", "negative_total", "missing_or_zero_passengers",
+)
+
+
 @reused
-def _quality_aggs() -> list:
+def quality_aggs() -> list:
     p, d = F.col("pickup_datetime"), F.col("dropoff_datetime")
     counters = {
         "null_timestamps": p.isNull() | d.isNull(),

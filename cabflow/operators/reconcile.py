@@ -6,7 +6,9 @@
   yearly indicators;
 * per taxi: valid trips by payment type vs by pickup hour.
 
-Inputs are aggregates, so the joins are between frames of a few rows.
+``reconcile_lake`` reads the lake twice at most: all totals of the normalised
+relation come from one scan, each counted by a grouping set of its own, and the
+other scan reads no column. Inputs of the joins are aggregates of a few rows.
 """
 
 from __future__ import annotations
@@ -14,6 +16,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cabflow.operators.onepass import SET, flagged, grouped
+from cabflow.operators.quality import file_row_counts
+from cabflow.session import work_dir
+
+# Each total has its own grouping set over the rows.
+TOTALS = {
+    "coverage": ("taxi_type", "file_year", "filename"),
+    "monthly": ("taxi_type", "file_year", "file_month", "_valid"),
+    "yearly": ("taxi_type", "file_year", "_valid"),
+    "payment": ("taxi_type", "payment_type", "_valid"),
+    "hourly": ("taxi_type", "pickup_hour", "_valid"),
+}
+
 
 def _pair(check: str, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     j = left.join(right, keys, "full_outer")
@@ -48,3 +63,13 @@ def reconcile_counts(
         .unionByName(_pair("monthly_vs_yearly", m, y, k))
         .unionByName(_pair("payment_vs_hourly", p, h, ["taxi_type"]))
     )
+
+
+def reconcile_lake(trips: DataFrame, all_files: DataFrame) -> DataFrame:
+    """``reconcile_counts`` of a lake: its normalised relation, and the bare scan of its files' paths."""
+    work_dir(trips.sparkSession)  # sets the checkpoint folder where the session has none
+    groups = grouped(flagged(trips), TOTALS, [F.count(F.lit(1)).alias("trips")])
+    groups = groups.withColumn("file_year", F.col("file_year").cast("long")).checkpoint()  # files and some thousand rows
+    own = {n: groups.filter((F.col(SET) == n) & (F.col("_valid") if "_valid" in s else F.lit(True))) for n, s in TOTALS.items()}
+    coverage = own["coverage"].groupBy("taxi_type", "file_year").agg(F.sum("trips").alias("rows"))
+    return reconcile_counts(coverage, file_row_counts(all_files), own["monthly"], own["yearly"], own["payment"], own["hourly"])

@@ -341,6 +341,8 @@ SQL.update(
         "ingest_calendar": CALENDAR,
         "ingest_missing_months": f"SELECT * FROM ({CALENDAR}) c WHERE c.file NOT IN (SELECT DISTINCT filename FROM trips)",
         "ingest_incremental": SQL["coverage"],
+        "ingest_stream": SQL["coverage"],
+        "ingest_removed": f"SELECT * FROM ({SQL['coverage']}) WHERE file_year IN (1996, 1997)",
         "reconcile_counts": _with(
             """SELECT 'coverage_vs_files' AS "check", taxi_type, CAST(file_year AS DOUBLE) AS file_year,
   rows AS "left", rows AS "right", true AS ok FROM cov
@@ -381,6 +383,29 @@ DRIFT = """SELECT c.taxi_type, c.column_name, CAST(min(c.file_year) AS BIGINT) A
   COUNT(*) = max(a.files) AS in_every_file
 FROM carried c JOIN (SELECT taxi_type, COUNT(*) AS files FROM files GROUP BY ALL) a USING (taxi_type)
 GROUP BY c.taxi_type, c.column_name"""
+def _type_of(column: str) -> str:
+    """The footer's type of a source column, as SQL over (nth year)."""
+    if column == "VendorID":
+        return "CASE WHEN nth = 1 THEN 'integer' ELSE 'long' END"
+    if column == "passenger_count":
+        return "CASE WHEN nth = 2 THEN 'double' ELSE 'long' END"
+    types = {src.lower(): CANONICAL_NAMES_TYPES[canon] for f in FEEDS for canon, src in SOURCE_NAMES[f].items() if src}
+    return repr(types.get(column.lower(), "double"))
+
+
+CANONICAL_NAMES_TYPES = {n: t.typeName() for n, t in CANONICAL}
+TYPED = " UNION ALL ".join(
+    f"SELECT taxi_type, filename, right(replace(filename, '.parquet', ''), 7) AS period, '{c}' AS column_name, {_type_of(c)} AS type "
+    f"FROM files WHERE {_carries(c)}"
+    for c in _source_columns()
+)
+MONTHS = """SELECT taxi_type, period, files, row_number() OVER (PARTITION BY taxi_type ORDER BY period) AS nth
+FROM (SELECT taxi_type, right(replace(filename, '.parquet', ''), 7) AS period, COUNT(*) AS files FROM files GROUP BY ALL)"""
+RUNS = """SELECT taxi_type, column_name, type, min(period) AS first_period, max(period) AS last_period, COUNT(*) AS periods,
+  CAST(sum(own) AS BIGINT) AS files, sum(own) = sum(files) AS in_every_file
+FROM (SELECT t.*, m.files, m.nth - row_number() OVER (PARTITION BY taxi_type, column_name, type ORDER BY m.nth) AS run
+      FROM (SELECT taxi_type, period, column_name, type, COUNT(*) AS own FROM typed GROUP BY ALL) t JOIN months m USING (taxi_type, period))
+GROUP BY taxi_type, column_name, type, run"""
 SPELLED = {"string": "string", "integer": "int", "long": "long", "double": "double", "timestamp_ntz": "timestamp_ntz"}
 DESCRIBED = " UNION ALL ".join(
     f"SELECT '{n}' AS column_name, '{SPELLED[t.typeName()]}' AS column_type, COUNT(*) AS rows, COUNT({n}) AS values FROM lake"
@@ -401,6 +426,16 @@ SQL.update(
   COUNT(DISTINCT filename) AS valid_files, COUNT(DISTINCT filename) AS sized_files FROM trips GROUP BY ALL""",
         "ingest_gate": "SELECT COUNT(DISTINCT filename) AS files, COUNT(*) AS rows FROM trips",
         "schema_drift": _with(DRIFT, files=FILES, carried=CARRIED),
+        "schema_runs": _with(RUNS, files=FILES, typed=TYPED, months=MONTHS),
+        "schema_columns": _with(
+            """SELECT taxi_type, CAST(file_year AS BIGINT) AS year, COUNT(*) AS files, min(n) AS fewest_columns, max(n) AS most_columns,
+  max(names) AS distinct_columns
+FROM (SELECT taxi_type, file_year, filename, COUNT(*) AS n FROM carried GROUP BY ALL)
+JOIN (SELECT taxi_type, file_year, COUNT(DISTINCT column_name) AS names FROM carried GROUP BY ALL) USING (taxi_type, file_year)
+GROUP BY taxi_type, file_year""",
+            files=FILES,
+            carried=CARRIED,
+        ),
         "ingest_status_summary": _with(
             """SELECT s.status, CAST(coalesce(n.files, 0) AS BIGINT) AS files,
   s.status = 'new' AND coalesce(n.files, 0) > 0 AS has_new_bytes

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabflow.functions.columns import FILE_PERIOD_ANCHORED, FILE_PERIOD_LENGTH
 from cabflow.session import work_dir
 from cabflow.sources.schema import FEEDS
 
@@ -104,6 +105,56 @@ def gate(manifest: DataFrame, report: str | None = None) -> DataFrame:
     return manifest
 
 
+def _period(file: str, year: str) -> Column:
+    """``YYYY-MM`` of a file's name; a name without a month counts for its year."""
+    suffix = F.substring(F.col(file), -FILE_PERIOD_LENGTH, FILE_PERIOD_LENGTH)
+    return F.when(suffix.rlike(FILE_PERIOD_ANCHORED), F.substring(suffix, 1, 7)).otherwise(F.col(year).cast("string"))
+
+
+# Fixed value: the part of a Spark schema's JSON that is read back (the footer signature).
+_SIGNATURE_FIELDS = "struct<fields: array<struct<name: string, type: string>>>"
+
+
+def schema_runs(manifest: DataFrame) -> DataFrame:
+    """Runs of periods in which a feed's files carry a column with one type.
+
+    A run goes on while the column is in some file of each next period that the feed has
+    files of; a column that goes and returns, or switches its type and back, has several.
+    ``files`` carry it so, ``in_every_file`` says whether these are all of the run's files.
+    All frames have a row a file and column at most; windows run over a column's periods.
+    """
+    valid = manifest.filter(F.col("valid_parquet")).withColumn("period", _period("file", "year"))
+    feed = Window.partitionBy("taxi_type").orderBy("period")
+    periods = valid.groupBy("taxi_type", "period").agg(F.count(F.lit(1)).alias("_all")).withColumn("_nth", F.row_number().over(feed))
+    fields = valid.select("taxi_type", "period", F.explode(F.from_json("signature", _SIGNATURE_FIELDS)["fields"]).alias("_f"))
+    carried = fields.groupBy("taxi_type", "period", F.col("_f.name").alias("column_name"), F.col("_f.type").alias("type")).agg(
+        F.count(F.lit(1)).alias("_files")
+    )
+    own = ["taxi_type", "column_name", "type"]
+    island = F.col("_nth") - F.row_number().over(Window.partitionBy(*own).orderBy("_nth"))
+    runs = carried.join(periods, ["taxi_type", "period"]).withColumn("_run", island).groupBy(*own, "_run")
+    return runs.agg(
+        F.min("period").alias("first_period"),
+        F.max("period").alias("last_period"),
+        F.count(F.lit(1)).alias("periods"),
+        F.sum("_files").alias("files"),
+        (F.sum("_files") == F.sum("_all")).alias("in_every_file"),
+    ).drop("_run")
+
+
+def schema_columns(manifest: DataFrame) -> DataFrame:
+    """Per feed and year: files, and how many columns the narrowest and the widest of them has, and all together."""
+    valid = manifest.filter(F.col("valid_parquet")).withColumn("year", F.col("year").cast("long"))
+    names = valid.select("taxi_type", "year", F.explode("column_names").alias("_name")).distinct()
+    total = names.groupBy("taxi_type", "year").agg(F.count(F.lit(1)).alias("distinct_columns"))
+    counts = valid.groupBy("taxi_type", "year").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.min("columns").cast("long").alias("fewest_columns"),
+        F.max("columns").cast("long").alias("most_columns"),
+    )
+    return counts.join(total, ["taxi_type", "year"])
+
+
 def schema_drift(manifest: DataFrame) -> DataFrame:
     """Per feed and column name: first / last year it occurs and in how many files."""
     cols = manifest.filter(F.col("valid_parquet")).select(

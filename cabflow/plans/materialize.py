@@ -5,11 +5,12 @@ here the equivalent is a Parquet table partitioned by those two columns:
 lookups by them prune whole directories (``PartitionFilters``), and rows are
 clustered by month inside each partition so month predicates skip row groups.
 
-No shuffle is needed to write it: a scan split holds one monthly file, a part of
-one or several small ones, so a task writes into few partition directories. A
-dominant feed just means more tasks of the same size (splits follow
-``spark.sql.files.maxPartitionBytes``), never one huge task;
-``maxRecordsPerFile`` bounds output file size.
+Rows are dealt by (file_year, taxi_type) with the ``rebalance`` hint before they
+are written: adaptive execution merges small partitions and splits large ones by
+``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so the number of files
+follows the bytes of a partition, not the number of scan tasks (which would each
+leave a file in every partition they touch), and a dominant feed is split over
+many tasks. ``maxRecordsPerFile`` bounds a file's rows besides.
 
 Replacement is atomic for readers: each materialisation is written to a fresh
 version folder and published afterwards by creating a marker file; readers take
@@ -57,7 +58,8 @@ def materialize(
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"  # sorts by publication time
     try:
         (
-            trips.sortWithinPartitions(*PARTITION_COLUMNS, "file_month")
+            trips.hint("rebalance", *PARTITION_COLUMNS)
+            .sortWithinPartitions(*PARTITION_COLUMNS, "file_month")
             .write.mode("errorifexists")
             .option("maxRecordsPerFile", max_records_per_file)
             .partitionBy(*PARTITION_COLUMNS)

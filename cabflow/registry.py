@@ -19,18 +19,19 @@ from cabflow.operators import quality as qual
 from cabflow.operators import quantiles as qnt
 from cabflow.operators import reshape as rs
 from cabflow.operators.normalize import rejected_trips, valid_trips
-from cabflow.operators.reconcile import reconcile_counts
+from cabflow.operators.reconcile import reconcile_lake
 from cabflow.plans import benchmark as bm
 from cabflow.plans import ingest as ing
 from cabflow.plans.materialize import materialize, read_materialized, table_location
 from cabflow.plans.sinks import export_csv, export_json, read_csv, read_json
 from cabflow.plans.views import register_views
-from cabflow.session import work_dir
+from cabflow.session import copy_folder, work_dir
 from cabflow.sources import lake
 from cabflow.sources.fixture import SCOPE_YEARS, fixture_trips
 from cabflow.sources.footers import manifest
+from cabflow.sources.schema import FEEDS
 from cabflow.sources.testlake import fixture_lake
-from cabflow.streaming.incremental import ingest_incremental, read_ingested
+from cabflow.streaming.incremental import ingest_incremental, ingest_stream, read_ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,17 +268,27 @@ def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qual.coverage(read_ingested(spark, f"{base}/table"))
 
 
+def _ingest_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of the table, by status of its files, after all years but two were removed from the lake."""
+    root = _lake(spark, sf_dir)
+    base = work_dir(spark, f"ingest/{uuid.uuid4().hex}")
+    ingest_incremental(spark, root, f"{base}/table", f"{base}/state")
+    for year in SCOPE_YEARS:
+        for feed in FEEDS:
+            copy_folder(spark, f"{root}/{feed}/{year}", f"{base}/lake/{feed}/{year}")
+    ingest_incremental(spark, f"{base}/lake", f"{base}/table", f"{base}/state")
+    return qual.coverage(read_ingested(spark, f"{base}/table"))
+
+
+def _ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of the table that the stream made of the whole lake."""
+    base = work_dir(spark, f"ingest/{uuid.uuid4().hex}")
+    ingest_stream(spark, _lake(spark, sf_dir), f"{base}/table", f"{base}/state")
+    return qual.coverage(read_ingested(spark, f"{base}/table"))
+
+
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = _lake_trips(spark, sf_dir)
-    v = valid_trips(trips)
-    return reconcile_counts(
-        qual.coverage(trips),
-        qual.file_row_counts(lake.read_all(spark, _lake(spark, sf_dir))),
-        ind.monthly_volume(v),
-        ind.yearly_indicators_raw(v),
-        ind.payment_mix(v),
-        ind.pickup_hour(v),
-    )
+    return reconcile_lake(_lake_trips(spark, sf_dir), lake.read_all(spark, _lake(spark, sf_dir)))
 
 
 ALL_YEARS = None  # the benchmark's widest scope: every year of the lake
@@ -316,7 +327,11 @@ QUERIES.update(
         "ingest_integrity": _integrity,
         "ingest_gate": _gate,
         "schema_drift": lambda s, d: ing.schema_drift(manifest(s, _lake(s, d))),
+        "schema_runs": lambda s, d: ing.schema_runs(manifest(s, _lake(s, d))),
+        "schema_columns": lambda s, d: ing.schema_columns(manifest(s, _lake(s, d))),
         "ingest_incremental": _ingest,
+        "ingest_removed": _ingest_removed,
+        "ingest_stream": _ingest_stream,
         "describe_trips": _describe,
         "reconcile_counts": _reconcile,
     }

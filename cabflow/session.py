@@ -81,6 +81,16 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a folder of few files from one place of a Hadoop file system to another (through the driver)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    to = b.getFileSystem(conf)
+    to.mkdirs(b.getParent())
+    if not jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, to, b, False, conf):
+        raise OSError(f"copy failed: {source} -> {target}")
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths of the files that match (listing only, no data read)."""
     return [f[0] for f in glob_status(spark, pattern)]

@@ -107,19 +107,19 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """``path, length`` of every file under ``root`` matching ``glob`` (recursive)."""
+    """``path, length, mtime`` (ms) of every file under ``root`` matching ``glob`` (recursive)."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .load(root)
-        .select("path", "length")
+        .select("path", "length", F.unix_millis("modificationTime").alias("mtime"))
     )
 
 
 def footers(listing: DataFrame) -> DataFrame:
     """Footer facts per listed file (see ``FOOTER_SCHEMA``)."""
-    return listing.mapInPandas(_read_footers, FOOTER_SCHEMA)
+    return listing.select("path", "length").mapInPandas(_read_footers, FOOTER_SCHEMA)
 
 
 # Directory layout <feed>/<year>/<file> under the lake root.
@@ -127,8 +127,13 @@ LAKE_LAYOUT = r"/(yellow|green)/(\d{4})/([^/]+)$"
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file: feed, year (from its directories), name, bytes, validity, rows, columns."""
-    f = footers(list_files(spark, root))
+    """One row per file: feed, year (from its directories), name, bytes, validity, rows, columns.
+
+    Only footers that the catalogue of file versions does not have yet are opened.
+    """
+    from cabflow.sources.catalogue import facts
+
+    f = facts(list_files(spark, root)).withColumnRenamed("length", "bytes")
     return f.select(
         F.regexp_extract("path", LAKE_LAYOUT, 1).alias("taxi_type"),
         F.regexp_extract("path", LAKE_LAYOUT, 2).cast("int").alias("year"),

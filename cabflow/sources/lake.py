@@ -13,6 +13,7 @@ name.
 from __future__ import annotations
 
 import json
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from cabflow.operators.normalize import META_PATH, normalize_feed, union_feeds
 from cabflow.session import glob_status
-from cabflow.sources.footers import footers
+from cabflow.sources.catalogue import facts
 from cabflow.sources.schema import FEEDS
 
 
@@ -51,33 +52,46 @@ def require_feeds(spark: SparkSession, root: str) -> None:
             raise FileNotFoundError(f"no Parquet files of feed {feed!r} under {root}")
 
 
-# (path, length, mtime) -> footer signature, for files whose footers were already read; the oldest go first.
-_SIGNATURES: dict[tuple[str, int, int], str | None] = {}
-_MAX_SIGNATURES = 100_000
+class FileFacts(NamedTuple):
+    """A file's footer: its schema as the key of its group (None: not valid Parquet), and its rows."""
 
+    signature: str | None
+    rows: int | None
 
-def signatures(spark: SparkSession, files: list[tuple[str, int, int]]) -> dict[str, str | None]:
-    """Path -> footer signature (None: not valid Parquet). Only files that are new or rewritten are opened.
 
-    The footers are read by executors. A row a file comes back, in one transfer
-    and never gathered in a task; equal signatures are held once.
+# What this driver remembers of the catalogue, by (path, length, mtime), so that a query plans without
+# a job; the oldest go first.
+_FACTS: dict[tuple[str, int, int], FileFacts] = {}
+_MAX_FACTS = 100_000
+
+
+def file_facts(spark: SparkSession, files: list[tuple[str, int, int]]) -> dict[str, FileFacts]:
+    """Path -> facts of its footer, from the catalogue of file versions (see ``catalogue.py``).
+
+    A row a file comes back, in one transfer and never gathered in a task; equal
+    signatures are held once.
     """
-    todo = [f for f in files if f not in _SIGNATURES]
+    todo = [f for f in files if f not in _FACTS]
     if todo:
-        parts = max(1, min(len(todo), 4 * spark.sparkContext.defaultParallelism))
-        listing = spark.createDataFrame([f[:2] for f in todo], "path string, length long").repartition(parts)
-        read = footers(listing).select("path", "signature").toArrow()
-        text = read["signature"].combine_chunks().dictionary_encode()
+        read = facts(spark.createDataFrame(todo, "path string, length long, mtime long"))
+        table = read.select("path", "signature", "rows").toArrow()
+        text = table["signature"].combine_chunks().dictionary_encode()
         distinct, index = text.dictionary.to_pylist(), text.indices.to_pylist()
-        found = {p: None if i is None else distinct[i] for p, i in zip(read["path"].to_pylist(), index, strict=True)}
+        rows = table["rows"].to_pylist()
+        found = {p: FileFacts(None if i is None else distinct[i], n) for p, i, n in zip(table["path"].to_pylist(), index, rows, strict=True)}
         for f in todo:
-            _SIGNATURES[f] = found[f[0]]
-    out = {f[0]: _SIGNATURES[f] for f in files}
-    while len(_SIGNATURES) > _MAX_SIGNATURES:
-        del _SIGNATURES[next(iter(_SIGNATURES))]
+            _FACTS[f] = found[f[0]]
+    out = {f[0]: _FACTS[f] for f in files}
+    while len(_FACTS) > _MAX_FACTS:
+        del _FACTS[next(iter(_FACTS))]
     return out
 
 
+def signatures(spark: SparkSession, files: list[tuple[str, int, int]]) -> dict[str, str | None]:
+    """Path -> footer signature (None: not valid Parquet)."""
+    return {p: f.signature for p, f in file_facts(spark, files).items()}
+
+
 def schema_groups(spark: SparkSession, files: list[tuple[str, int, int]]) -> dict[str, list[str]]:
     """Read schema -> files; raises where one is not valid Parquet."""
     found = signatures(spark, files)
