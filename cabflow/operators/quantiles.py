@@ -68,6 +68,11 @@ def _holds(before: Column) -> Column:
     return (F.col("_rank") >= before) & (F.col("_rank") < before + F.col("_n"))
 
 
+def _sorted_values(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The only values that are sorted: those in bins that hold a rank."""
+    return counts.join(wanted.select("_g", "_bin").distinct(), ["_g", "_bin"], "left_semi")
+
+
 def exact_quantiles(
     df: DataFrame,
     group_cols: list[str],
@@ -123,9 +128,8 @@ def quantiles_of_counts(counted: DataFrame, probs: list[float], slice_values: in
         wanted = kept(inner.where(_holds(F.col("_before"))).select(*found_in), f"wanted-{rounds}")
         counts = counts.drop("_in")
 
-    sorted_values = counts.join(wanted.select("_g", "_bin").distinct(), ["_g", "_bin"], "left_semi")
     within = Window.partitionBy("_g", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = sorted_values.withColumn("_cum", F.sum("_n").over(within))
+    cum = _sorted_values(counts, wanted).withColumn("_cum", F.sum("_n").over(within))
     hits = (
         cum.join(wanted.select("_g", "_bin", "_rank", "_before"), ["_g", "_bin"])
         .where(_holds(F.col("_before") + F.col("_cum") - F.col("_n")))
