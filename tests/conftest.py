@@ -1,7 +1,6 @@
 import os
 import sys
 
-import duckdb
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -12,11 +11,6 @@ from cabflow.session import get_session  # noqa: E402
 SF_SMALL = "/root/testdata/sf0.001"
 
 
-def sql_engine():
-    """A fresh connection of the SQL engine that the oracle is written for."""
-    return duckdb.connect()
-
-
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", shuffle_partitions=8, app="cabflow-tests")
