@@ -12,12 +12,16 @@ subsequence, whatever markup the neighbour has.
 Shared lines of the body zone are deleted: a site repeats them around its texts.
 Frame lines are deleted with or without a pair. Lines of an article are kept even
 where the neighbour shares them, as mirrored articles and passages that several
-articles quote are text; where a page has an article or main element, nothing outside
-of them is text, so that no pair decides there. A neighbour that holds all of the page's body lines
-is a copy and says nothing, and so is one without a line of its own that shares
-nearly all of the body; the other neighbour is asked instead.
-
-Defined results: null or empty html has the empty text; a null URL is a host of
+articles quote are text. Where a page has a main element, or articles with at least half of
+what is not frame, nothing outside of them is text, so that no pair decides there; shorter
+articles are cards beside the text, for which the pair decides as on any other page. Names
+in a class or an id are hints: in an article they count on containers of adverts and comments
+alone, and a heading's id never does. An embedded element (svg, video and the like) is skipped
+to its end tag; one that is closed in its own tag, or never, loses its tag alone. A neighbour
+that holds all of the page's lines but frame is a copy and says nothing, and so is one without a
+line of its own that shares nearly all of the body; the other neighbour is asked instead.
+
+Defined results: null or empty html has the empty text; pages of any length are read whole; a null URL is a host of
 its own, with an empty path; broken markup is read as far as it goes; repeated rows are copies of
 each other and get one text; an empty table gives an empty table; other columns are not returned.
 """
@@ -40,10 +44,13 @@ from cabflow.llm.ordered import BUCKET, EDGE, with_runs
 
 COPY_SHARE = 0.8
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|title)\b"
-    r"[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
+# Elements without text of the page inside, which are skipped where they are closed (see ``_closed``).
+SKIPPED = frozenset("noscript template svg math iframe object canvas audio video textarea select title".split())
+_SKIPPED = re.compile(rf"<(/?)({'|'.join(sorted(SKIPPED))})\b", re.I)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _ARTICLE_BODY = re.compile(r"\bitemprop\s*=\s*[\"']?articleBody\b", re.I)
 _MAIN_ROLE = re.compile(r"\brole\s*=\s*[\"']?(?:main|article)\b", re.I)
@@ -63,12 +70,32 @@ FRAME_NAMES = frozenset(
     " related recommended replies reply respond search share sharing sidebar signup skip social sponsor sponsored"
     " subscribe subscription tags toolbar toplinks topbar widget widgets".split()
 )
+# Inside an article, only containers with one of these names are no text of it.
+ASIDE_NAMES = frozenset("ad ads advert advertisement advertising adverts comment comments disqus replies reply respond".split())
+CONTAINERS = frozenset("div section ul ol dl table ins details iframe article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FRAME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 # An element that starts here ends an open paragraph, item or cell of the kind.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 Line = tuple[str, str]
 
 
+def _named(tag: str, kind: str, value: str, in_article: bool) -> bool:
+    """Whether a class or an id says that an element is no text of the page.
+
+    A name is a hint that a site's author gives, not a rule of HTML. In an article it counts on
+    containers alone, and only for adverts and comments; a heading's id is an anchor.
+    """
+    if tag in ("html", "body", "main") or kind == "id" and tag in HEADINGS:
+        return False
+    found = set(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
+    if tag == "article":
+        return bool(found & {"comment", "comments", "reply"})
+    if in_article:
+        return tag in CONTAINERS and bool(found & ASIDE_NAMES)
+    return bool(found & FRAME_NAMES) or "header" in found
+
+
 def _framed(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in FRAME_TAGS or (tag == "header" and not in_article):
         return True
@@ -77,12 +104,7 @@ def _framed(tag: str, attributes: str, in_article: bool) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            found = set(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
-            if tag not in ("html", "body", "article", "main") and found & FRAME_NAMES:
-                return True
-            if "header" in found and not in_article and tag not in ("html", "body", "article", "main"):
-                return True
-            if tag == "article" and found & {"comment", "comments", "reply"}:
+            if _named(tag, name, value, in_article):
                 return True
         elif name == "role" and value.lower() in FRAME_ROLES or name == "hidden":
             return True
@@ -91,6 +113,23 @@ def _framed(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _closed(html: str) -> dict[int, int]:
+    """Where each skipped element that is closed ends: by its start, the start of its end tag.
+
+    An element whose name opens again before it is closed was not closed: only its tag goes, as
+    whatever follows it may be the page's text.
+    """
+    ends, following = {}, {}
+    for m in reversed(list(_SKIPPED.finditer(html))):
+        name = m[2].lower()
+        if m[1]:
+            following[name] = m.start()
+        elif following.get(name) is not None:
+            ends[m.start()] = following[name]
+            following[name] = None
+    return ends
+
+
 def lines(html: str) -> list[Line]:
     """(zone, text) of each block with text, in page order."""
     out: list[Line] = []
@@ -110,8 +149,9 @@ def lines(html: str) -> list[Line]:
         del stack[i:]
         zone = stack[-1][1] if stack else "body"
 
+    ends = _closed(html)
     at = 0
-    for m in _TOKEN.finditer(html):
+    while m := _TOKEN.search(html, at):
         if m.start() > at:
             held.append(html[at : m.start()])
         at = m.end()
@@ -119,6 +159,10 @@ def lines(html: str) -> list[Line]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in SKIPPED:
+            if not m[2] and not m[4].rstrip().endswith("/"):
+                at = max(at, ends.get(m.start(), at))
+            continue
         block = tag in BLOCKS
         if tag == "br":
             held.append(" ")
@@ -158,9 +202,21 @@ def lines(html: str) -> list[Line]:
             zone = inside
     held.append(html[at:])
     flush()
-    if any(z in ("article", "main") for z, _ in out):  # what stands outside of both is not the page's text
-        return [("article" if z in ("article", "main") else "frame", t) for z, t in out]
-    return out
+    return _settled(out)
+
+
+def _settled(out: list[Line]) -> list[Line]:
+    """Zones of a whole page, where it is known how much of it stands in articles.
+
+    With a main element, or articles that hold at least half of all that is not frame, nothing
+    outside of them is text. Shorter articles are cards beside the text, which stays body.
+    """
+    size = lambda *zones: sum(len(t) for z, t in out if z in zones)
+    within = size("article", "main")
+    if not within:
+        return out
+    outside = "frame" if size("main") or size("article") >= size("body") else "body"
+    return [("article" if z in ("article", "main") else "frame" if z == "frame" else outside, t) for z, t in out]
 
 
 def shared(a: list[str], b: list[str]) -> set[int]:
@@ -193,8 +249,8 @@ def deleted(zones: str, keys: list, sizes: list[int], others: list[tuple[str, li
     total = sum(sizes[i] for i in body)
     for other_zones, other_keys in others if body else ():
         here, there = set(keys), set(other_keys)
-        if all(keys[i] in there for i in body):
-            continue  # nothing would stay
+        if all(k in there for z, k in zip(zones, keys, strict=True) if z != "f"):
+            continue  # it has the whole page
         common = shared(keys, other_keys) & set(body)
         own = any(z != "f" and k not in here for z, k in zip(other_zones, other_keys, strict=True))
         if own or sum(sizes[i] for i in common) < COPY_SHARE * total:

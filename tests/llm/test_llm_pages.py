@@ -143,3 +143,50 @@ def test_copies_are_told_by_their_own_lines():
     )
     for page, other in ((whole, stamped), (stamped, whole), (whole, whole)):
         assert pages.main_text(page, [other]) == pages.main_text(page, [])
+
+
+def test_embedded_elements_lose_no_text_around_them():
+    assert text('<article><h1>T</h1><p>one <svg class="i"/> two</p><p>three</p></article>') == "T\none two\nthree"
+    assert text("<article><p>one <svg><path d='M0'/><text>label</text></svg> two</p></article>") == "one two"
+    for tag in ("<iframe src=x/>", "<video src=x>", "<object data=x>", "<canvas>", "<select>", "<title>", "<audio src=x>", "<math/>", "<textarea>"):
+        assert text(f"<article><p>one</p>{tag}<p>two</p></article>") == "one\ntwo", tag
+        name = tag.strip("<>/").split()[0]
+        again = f"<article><p>one</p>{tag}<p>two</p><{name}>inner</{name}><p>three</p></article>"
+        assert text(again) == "one\ntwo\nthree", tag
+    assert text("<p>a</p><video><source src=x><p>Your browser has no video</p></video><p>b</p>") == "a\nb"
+    assert text("<p>a</p><script>if (x < '<p>') {}</script><style>p{}</style><p>b</p>") == "a\nb"
+
+
+def test_names_do_not_decide_about_an_articles_text():
+    page = '<article><h1>T</h1><h2 id="search">Search</h2><p class="alert">Mind this.</p><section id="related"><p>Related work</p></section>'
+    page += '<p id="share">We share.</p><div class="ads">Buy!</div><section id="comments"><p>Nice</p></section><p>End.</p></article>'
+    assert text(page) == "T\nSearch\nMind this.\nRelated work\nWe share.\nEnd."
+    assert text('<div class="menu">m</div><h2 id="comments">On comments</h2><p>Text.</p><div id="newsletter">n</div>') == "On comments\nText."
+
+
+def test_an_article_card_beside_the_text_keeps_the_text():
+    page = '<nav>n</nav><div class="content"><h1>Head</h1><p>A long text of the page.</p></div><article><p>card</p></article>'
+    assert text(page) == "Head\nA long text of the page.\ncard"
+    assert text("<div>Teaser</div><article><p>The article, which is far longer.</p></article>") == "The article, which is far longer."
+
+
+def test_differencing_decides_on_pages_without_articles(spark):
+    """The given pages with neither article nor frame elements: what pages of a host share goes, all else stays."""
+    from urllib.parse import urlsplit
+
+    given = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    rows, want = [], {}
+    for r in given:
+        inside = r.html.partition("<article>")[2].partition("</article>")[0]
+        host = urlsplit(r.url).netloc
+        menu = "".join(f"<div><a href=/{i}>{host} section {i}</a></div>" for i in range(4))
+        rows.append((r.page_id, r.url, f"<body>{menu}<div>{inside}</div><p>Imprint of {host}</p><p>Read on the same site</p></body>"))
+        want[r.page_id] = pages.main_text(pages.lines(f"<article>{inside}</article>"), [])
+    alone = {h for h in {urlsplit(u).netloc for _, u, _ in rows} if sum(urlsplit(u).netloc == h for _, u, _ in rows) == 1}
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    decided = 0
+    for i, u, _ in rows:
+        if urlsplit(u).netloc not in alone:
+            decided += got[i] == want[i]
+            assert "section 1" not in got[i] and "Imprint of" not in got[i], u
+    assert decided >= 0.9 * (len(rows) - len(alone))  # pages with passages that neighbours share lose these
