@@ -77,7 +77,7 @@ def scaled(vector: Column, scale: float) -> Column:
     return F.when(v.isNotNull() & F.coalesce(finite, F.lit(False)), whole)
 
 
-def _matrix(lists: pa.Array, width: int) -> np.ndarray:
+def whole_matrix(lists: pa.Array, width: int) -> np.ndarray:
     """Rows of a list column as whole numbers, filled up with 0."""
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     if len(sizes) and sizes.max() > width:
@@ -119,7 +119,7 @@ def _moments(width: int, centre: list[int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, np.zeros(width if centre is None else (width, width), object)
         for batch in batches:
-            x = _matrix(batch.column(0), width)
+            x = whole_matrix(batch.column(0), width)
             n += len(x)
             if centre is not None:
                 total += products(_less(x, centre))
@@ -216,7 +216,7 @@ def _check(model: Whitening):
         k, seen = len(model.values), False
         total = np.zeros((k + 1, k))
         for batch in batches:
-            w = _projected(_less(_matrix(batch.column(0), model.width), model.centre), model)
+            w = _projected(_less(whole_matrix(batch.column(0), model.width), model.centre), model)
             total += np.vstack([w.sum(0), w.T @ w])
             seen = seen or len(w) > 0
         if seen:
@@ -281,7 +281,7 @@ def whiten(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            z = _less(_matrix(batch.column(batch.num_columns - 1), model.width), model.centre)
+            z = _less(whole_matrix(batch.column(batch.num_columns - 1), model.width), model.centre)
             w = _projected(z, model)
             offsets = pa.array(np.arange(len(z) + 1, dtype=np.int32) * w.shape[1])
             lists = pa.ListArray.from_arrays(offsets, pa.array(w.ravel()))
