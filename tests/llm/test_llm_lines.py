@@ -66,3 +66,36 @@ def test_bitmaps_are_sparse_and_native(spark):
     out, _ = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+def test_first_occurrences_are_streamed_from_sorted_runs(spark):
+    """The plan keeps the sort that the window over the range partitions needs, without another exchange between."""
+    from pyspark.sql import functions as F
+
+    rows = [(i % 7, 1, d, 0, p) for i in range(50) for d in (None, 1, 2) for p in (3, 1)]
+    hashed = spark.createDataFrame(rows, "h1 long, h2 long, doc long, part int, pos int")
+    first = line_dedup.first_occurrences(hashed)
+    assert sorted(map(str, first.select("h1", "doc", "pos").collect())) == sorted(
+        map(str, spark.createDataFrame([(h, d, 1) for h in range(7) for d in (None, 1, 2)], "h1 long, doc long, pos int").collect())
+    )
+    plan = first._jdf.queryExecution().executedPlan().toString().splitlines()
+    steps = [next(w for w in ("Window", "Sort", "Exchange") if w in ln) for ln in plan if any(w in ln for w in ("Window", "Sort ", "Exchange"))]
+    final = steps[: steps.index("Exchange") + 1]
+    assert "Sort" in final and final[0] == "Window" and final[-1] == "Exchange", plan
+    assert any("rangepartitioning(h1" in ln for ln in plan)
+    assert line_dedup.first_occurrences(hashed.withColumn("part", F.lit(1)).limit(0)).isEmpty()
+
+
+def test_rows_that_share_an_id_in_many_partitions_are_one_document(spark):
+    line = "a line that is long enough to be counted among the repeated"
+    rows = [(7, line)] * 300 + [(7, f"{line}\nother {i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert line_dedup.keep_bitmaps(df).isEmpty()  # one document has it
+    more = df.union(spark.createDataFrame([(i, line) for i in range(3, 7)], "doc_id long, text string"))
+    assert sorted(r.doc for r in line_dedup.keep_bitmaps(more).collect()) == [3, 4, 5, 6]
+
+
+def test_any_column_name_passes_through(spark):
+    df = spark.createDataFrame([(1, "x", 2, 3, 4)], "doc_id long, text string, _doc int, _row int, _words int")
+    out, _ = line_dedup.dedup_lines(df)
+    assert out.first()["_words"] == 4 and out.columns[:5] == df.columns
