@@ -82,9 +82,10 @@ class Search:
         none = np.zeros(0, np.int64)
         self.best = [(none, none.astype(bool), none) for _ in range(len(queries))]  # ids, whether there is none, scores
 
-    def scores(self, n: int, candidates: np.ndarray, plain: np.ndarray | None) -> np.ndarray:
-        if plain is not None:
-            return (plain @ self.plain[n]).astype(np.int64)
+    def scores(self, n: int, candidates: np.ndarray) -> np.ndarray:
+        """Exact products of a query with candidates, which come as doubles where these hold every sum."""
+        if candidates.dtype == np.float64:
+            return (candidates @ self.plain[n]).astype(np.int64)
         if _reach(candidates) * _reach(self.whole[n]) * candidates.shape[1] < 2**63:
             return candidates @ self.whole[n]
         exact = candidates.astype(object) @ self.whole[n].astype(object)
@@ -100,7 +101,7 @@ class Search:
     def take(self, candidates: np.ndarray, ids: np.ndarray, absent: np.ndarray, rows: np.ndarray, far: np.ndarray) -> None:
         """Let the block's queries meet some more candidates, each with its distances to the pivots."""
         exact = _reach(candidates) * _reach(self.whole) * candidates.shape[1] < 2**53
-        plain = candidates.astype(np.float64) if exact else None
+        candidates = candidates.astype(np.float64) if exact else candidates
         columns = np.ascontiguousarray(far.T)
         gap, nearest = np.empty(len(ids)), np.empty(len(ids))
         for n in range(len(self.whole)):
@@ -118,22 +119,25 @@ class Search:
             first = first[np.isfinite(bound[first])]
             seen = np.zeros(len(ids), bool)
             seen[first] = True
-            self._look(n, first, candidates, plain, ids, absent)
+            self._look(n, first, candidates, ids, absent)
             rest = rest[(bound[rest] >= self._worst(n)) & ~seen[rest] & np.isfinite(bound[rest])]
             rest = rest[np.argsort(-bound[rest], kind="stable")]
             while len(rest):
                 step *= 4
                 some, rest = rest[:step], rest[step:]
-                self._look(n, some, candidates, plain, ids, absent)
+                self._look(n, some, candidates, ids, absent)
                 rest = rest[: int(np.searchsorted(-bound[rest], -self._worst(n), "right"))]
 
     def _worst(self, n: int) -> float:
         scores = self.best[n][2]
         return float(scores[-1]) if len(scores) == self.k else -np.inf
 
-    def _look(self, n: int, some: np.ndarray, candidates: np.ndarray, plain: np.ndarray | None, ids: np.ndarray, absent: np.ndarray) -> None:
+    def _look(self, n: int, some: np.ndarray, candidates: np.ndarray, ids: np.ndarray, absent: np.ndarray) -> None:
         if len(some):
-            own = self.scores(n, candidates[some], None if plain is None else plain[some])
+            own = self.scores(n, candidates.take(some, axis=0))
+            if len(self.best[n][2]) == self.k:
+                better = own >= self.best[n][2][-1]
+                some, own = some[better], own[better]
             self._merged(n, ids[some], absent[some], own)
 
 
