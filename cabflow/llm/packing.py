@@ -2,7 +2,8 @@
 
 Each text's ids (plus an end id) are cut into pieces of a sequence's length; a
 piece of full length is a sequence by itself. The rest of each text, an item, is
-dealt out evenly over tasks by the hash of what it holds, and every task fills
+dealt out evenly over tasks by the hash of what it holds (and, of rows that are equal
+in all, by how many the task before had already seen), and every task fills
 sequences by the dot-product heuristic: of all items that fit, take the one whose
 demand (tokens, one segment, loss-bearing tokens, each as a share of its limit)
 has the largest dot product with what the sequence has left. Where none fits
@@ -14,7 +15,12 @@ A task holds the items of one block (``BLOCK_ITEMS``) at a time, so memory does
 not grow with the input. ``sequence_id`` is the task's number and a running
 number in it; any attempt of a task packs all its items, whatever their order.
 
-Defined results: null or empty text has the end id alone; a null ``loss_from``
+The limit on segments is by default that on tokens, which no item can reach before it, so
+that short items fill their sequences; a smaller one leaves padding where items are
+shorter than ``capacity / max_segments`` on average, as no packing of whole and cut items
+can avoid.
+
+Defined results: of items with equal dot products any may come first; null or empty text has the end id alone; a null ``loss_from``
 counts as 0; a text of any length; repeated rows are packed each for itself; an
 empty table gives an empty table; other columns pass through, and a new column
 whose name is taken gets an underscore more.
@@ -45,7 +51,7 @@ def pack(
     text: str = "text",
     loss_from: str | None = None,
     capacity: int = 1024,
-    max_segments: int = 256,
+    max_segments: int | None = None,
     max_loss: int | None = None,
     end_id: int = 0,
     keep_ids: bool = True,
@@ -59,22 +65,25 @@ def pack(
     ``offset`` there, and with ``keep_ids`` its ``ids`` as such numbers.
     """
     max_loss = capacity if max_loss is None else max_loss
+    max_segments = capacity if max_segments is None else max_segments
     if not 0 < max_loss or not 0 < max_segments or not 0 < capacity:
         raise ValueError("limits must be positive")
     others = [c for c in df.columns if c != text]
-    names = {n: fresh_name(others, n) for n in (*NEW, "_loss_from", "_full")}
+    names = {n: fresh_name(others, n) for n in (*NEW, "_loss_from", "_full", "_same", "_seen")}
     first = F.greatest(F.coalesce(F.col(loss_from).cast("long"), F.lit(0)), F.lit(0)) if loss_from else F.lit(0)
+    hashable = [c for c in others if _hashable(df, c)]
     rows = df.withColumn(names["_loss_from"], first.cast("long"))
+    rows = rows.withColumn(names["_same"], F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in hashable]))
     fields = [df.schema[c] for c in others]
     long = lambda n: T.StructField(names[n], T.LongType())
     piece = T.StructType(
         [*fields, long("start"), long("length"), long("ids_crc32"), long("doc_tokens"), long("_loss_from"),
-         T.StructField(names["_full"], T.BooleanType()), T.StructField(names["ids"], T.BinaryType())]
+         T.StructField(names["_full"], T.BooleanType()), T.StructField(names["ids"], T.BinaryType()), long("_same"), long("_seen")]
     )
     cut = rows.mapInArrow(_cut(path, text, others, names, capacity, max_loss, end_id, keep_ids), piece)
-    spread = cut.repartition(
-        shuffle_partitions(df.sparkSession), names["ids_crc32"], names["start"], *[c for c in others if _hashable(df, c)]
-    )
+    # Equal rows differ in ``_seen``, which any attempt of a task gives to the same number of them.
+    spread = cut.repartition(shuffle_partitions(df.sparkSession), names["ids_crc32"], names["start"], names["_same"], names["_seen"])
+    spread = spread.drop(names["_same"], names["_seen"])
     placed = T.StructType(
         [*fields, *[long(n) for n in NEW[:-1]], *([T.StructField(names["ids"], T.BinaryType())] if keep_ids else [])]
     )
@@ -90,11 +99,15 @@ def _cut(path, text, others, names, capacity, max_loss, end_id, keep_ids):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path)
+        task = TaskContext.get()
+        number = (task.partitionId() if task else 0) << 32
+        met: dict[tuple, int] = {}  # how many equal pieces this task has had
         for batch in slices(batches, text):
             flat, offsets = encoder.encode(text_column(batch, text))
             flat = flat.astype("<u4")
             loss = batch.column(batch.schema.get_field_index(names["_loss_from"])).to_pylist()
-            row, start, length, crc, total, is_full, raw = [], [], [], [], [], [], []
+            same = batch.column(batch.schema.get_field_index(names["_same"])).to_pylist()
+            row, start, length, crc, total, is_full, raw, seen = [], [], [], [], [], [], [], []
             end = np.array([end_id], "<u4").tobytes()
             for i in range(batch.num_rows):
                 data = flat[offsets[i] : offsets[i + 1]].tobytes() + end
@@ -106,6 +119,9 @@ def _cut(path, text, others, names, capacity, max_loss, end_id, keep_ids):
                     start.append(a)
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
+                    piece = (same[i], a, crc[-1])
+                    seen.append(number + met.get(piece, 0))
+                    met[piece] = met.get(piece, 0) + 1
                     total.append(n)
                     is_full.append(whole)
                     raw.append(part if keep_ids or not whole else None)
@@ -113,7 +129,8 @@ def _cut(path, text, others, names, capacity, max_loss, end_id, keep_ids):
             columns = [batch.column(batch.schema.get_field_index(c)).take(taken) for c in others]
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
             columns += [pa.array([loss[i] for i in row], pa.int64()), pa.array(is_full, pa.bool_()), pa.array(raw, pa.binary())]
-            keys = [names[n] for n in ("start", "length", "ids_crc32", "doc_tokens", "_loss_from", "_full", "ids")]
+            columns += [pa.array([same[i] for i in row], pa.int64()), pa.array(seen, pa.int64())]
+            keys = [names[n] for n in ("start", "length", "ids_crc32", "doc_tokens", "_loss_from", "_full", "ids", "_same", "_seen")]
             yield pa.RecordBatch.from_arrays(columns, names=[*others, *keys])
 
     return run
