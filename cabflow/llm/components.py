@@ -1,16 +1,15 @@
-"""Connected components by alternating large-star and small-star."""
+"""Connected components by alternating large-star and small-star.
+
+Every step runs at the width of its joins: adaptive execution merges small partitions of links and
+splits those of a node with very many, which a fixed number of tasks above a join would undo.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import shuffle_partitions, stored, unstore
-
-
-def _few(df: DataFrame) -> DataFrame:
-    """Links are short rows, far fewer than what they were made from: an eighth of the tasks will do."""
-    return df.coalesce(max(1, shuffle_partitions(df.sparkSession) // 8))
+from cabflow.llm.common import stored, unstore
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -22,7 +21,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    least = stored(_few(least), "star-least")
+    least = stored(least, "star-least")
     joined = both.join(least, "u")
     if large:
         linked = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -31,7 +30,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
             least.select("u", F.col("m").alias("v"))
         )
         linked = linked.filter(F.col("u") > F.col("v")).distinct()
-    out = stored(_few(linked), "star-edges")
+    out = stored(linked, "star-edges")
     unstore(least)
     return out
 
@@ -48,13 +47,13 @@ def _is_forest_of_stars(edges: DataFrame) -> bool:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b), stored; a component is named by its least node."""
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    links = stored(_few(links.filter(F.col("u") > F.col("v")).distinct()), "star-edges")
+    links = stored(links.filter(F.col("u") > F.col("v")).distinct(), "star-edges")
     while not _is_forest_of_stars(links):
         for large in (True, False):
             before, links = links, _star(links, large)
             unstore(before)
     ends = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     every = ends.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
-    out = stored(_few(every), "components")
+    out = stored(every, "components")
     unstore(links)
     return out

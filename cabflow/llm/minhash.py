@@ -9,7 +9,7 @@
 4. Components of the confirmed links come from alternating large-star/small-star.
 5. In a bucket whose members are in several components, members not yet compared
    may link them. Such a bucket's members meet again with their full sets, in blocks
-   of a bounded number of shingles: the largest component's members are dealt out,
+   of a bounded number of shingles (and of like size, up to some thousands of members): the largest component's members are dealt out,
    the others sent to each block. Members outside the largest component are compared
    with all of other components, by signature and then on the sets, most alike first;
    a link joins their components at once, which spares all further pairs of these
@@ -20,7 +20,7 @@ With 26 bands of 5 minima, two texts at a similarity of 0.85 share no bucket wit
 probability of 3e-7; a signature below ``least_estimate`` rules a pair out (five
 standard deviations, with the same probability). Everything else is exact.
 
-Defined results: texts without words (null and empty ones too) have no shingles and
+Defined results: texts of any length are shingled whole; texts without words (null and empty ones too) have no shingles and
 are linked with nothing; rows that share an id are one document, and their classes
 one node; rows without an id take no part and are kept; repeated rows get equal
 results; an empty table gives an empty table; columns other than id and text are
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,7 @@ from cabflow.llm.shingles import mix, shingle_sets
 
 BANDS, ROWS = 26, 5
 BLOCK_SHINGLES = 1 << 20
+EVEN_ROWS, EVEN_BLOCKS = 256, 16
 _SEED = np.random.default_rng(20_000)
 _A = _SEED.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _SEED.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -228,16 +229,23 @@ class NearDuplicates:
         labelled = members.select("bucket", "cls", "n", "hub").join(
             parts.select(F.col("node").alias("cls"), "component"), "cls", "left"
         ).withColumn("component", F.coalesce("component", "cls"))
-        counts = labelled.groupBy("bucket", "component").agg(F.sum("n").alias("n"))
+        counts = labelled.groupBy("bucket", "component").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
         mixed = self.mixed = stored(
             counts.groupBy("bucket").agg(
                 F.sum("n").alias("all"), F.max("n").alias("top"),
                 F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),
+                F.sum("rows").alias("all_rows"), F.max_by("rows", F.struct("n", "component")).alias("top_rows"),
             ).filter(F.col("parts") > 1),
             "minhash-mixed",
         )
-        blocks_main = F.ceil(F.col("top") / BLOCK_SHINGLES)
-        blocks_rest = F.ceil((F.col("all") - F.col("top")) / BLOCK_SHINGLES)
+
+        def blocks(shingles: Column, rows: Column) -> Column:
+            """As many as memory asks for, and up to ``EVEN_BLOCKS`` so that tasks get blocks of like size."""
+            even = F.least(F.ceil(rows / EVEN_ROWS), F.lit(EVEN_BLOCKS))
+            return F.greatest(F.ceil(shingles / BLOCK_SHINGLES), even).cast("long")
+
+        blocks_main = blocks(F.col("top"), F.col("top_rows"))
+        blocks_rest = blocks(F.col("all") - F.col("top"), F.col("all_rows") - F.col("top_rows"))
         dealt = lambda n: F.pmod(F.xxhash64("cls"), n)
         is_main = F.col("component") == F.col("main")
         span = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
