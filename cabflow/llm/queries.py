@@ -24,6 +24,7 @@ from cabflow.llm import (
 )
 from cabflow.llm.common import scratch, table
 from cabflow.llm.tokens import public_path
+from cabflow.session import remove
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,9 +86,9 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archives(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
-    return warc.read_archives(spark, path).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    records = warc.read_archives(spark, path)  # a table of its own, without the payloads
+    remove(spark, path)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
