@@ -1,5 +1,7 @@
 """The pipeline's stages against brute force."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from cabflow.llm import line_dedup
@@ -62,6 +64,24 @@ def test_stages_take_odd_documents(spark):
             assert out.count() >= 0
 
 
+def test_of_rows_that_share_an_id_the_stated_one_stays(spark):
+    """The same row whatever the order of the table, although texts differ."""
+    texts = {i: f"text number {i} with words of its own {'abcdefgh'[i % 8] * 9} and {i * 7919}" for i in range(40)}
+    lone = "one more text, with other words in it than all of those have"
+    rows = [(i % 4, texts[i], "en", "s", i) for i in range(40)] + [(9, lone, "en", "s", 0), (9, lone, "en", "s", 0), (9, lone, "de", "s", 0)]
+    stage, schema = dict(corpus_pipeline.STAGES)["near-duplicates"], docs_of(spark).schema
+    names = [f.name for f in schema.fields]
+    order = [names.index(c) for c in ("doc_id", "text", "lang", "source", "n_chars")]
+    place = lambda r: tuple(r[order.index(i)] for i in range(5))
+    found = set()
+    for part in (rows, rows[::-1], rows[20:] + rows[:20]):
+        df = spark.createDataFrame([place(r) for r in part], schema).repartition(3).withColumn("_text", F.lit(1))
+        got = stage(spark, df, SF)
+        assert got.columns == df.columns
+        found.add(tuple(sorted(map(repr, got.collect()))))
+    assert len(found) == 1 and len(next(iter(found))) == len({r[0] for r in rows})
+
+
 def test_line_stage_uses_bitmaps_only(spark):
     assert line_dedup.keep_bitmaps(docs_of(spark)).columns == ["doc", "row", "n_dropped", "dropped"]
 
