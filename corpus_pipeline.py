@@ -1,4 +1,10 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+Every stage takes any documents: null ids and texts, empty and very long texts, repeated rows, and
+empty tables (which stay empty); columns it does not know pass through all stages but the last,
+whatever their names, as each stage gives its own columns names that are not taken. What a stage
+does with them is said at the stage.
+"""
 
 from __future__ import annotations
 
@@ -16,14 +22,23 @@ QUALITY_THRESHOLD = 0.3
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality classifier: documents that score below the threshold go."""
+    """Quality classifier: documents that score below the threshold go.
+
+    Null and empty texts are scored as empty; rows that share an id or a text are scored each
+    for itself; a null id is never a trusted row; without a label all score 0.5 and stay.
+    """
     name = fresh_name(docs.columns, "score")
     scored = quality.score(docs, quality_model(spark, docs, sf_dir), out=name)
     return scored.filter(F.col(name) >= QUALITY_THRESHOLD).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: lines of at least 40 code points in at least 5 documents stay in the last one only."""
+    """Line dedup: lines of at least 40 code points in at least 5 documents stay in the last one only.
+
+    The last document is that with the largest id; rows that share an id are one document, a null
+    id is before all others. Documents that lose no line keep their text and ``n_chars`` as they
+    are, null too.
+    """
     out, new = line_dedup.dedup_lines(docs)
     text = F.col(new["kept"])
     changed = {"text": text, "n_chars": F.char_length(text).cast("long")}
@@ -32,15 +47,29 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup at a similarity of 0.8: the document with the least id of each group stays."""
+    """MinHash near-dedup at a similarity of 0.8: the document with the least id of each group stays.
+
+    Documents without an id or without words are linked with nothing and stay. Rows that share an
+    id are one document: that with the least hash of its text stays, then that with the least hash
+    of all columns; of rows that are equal in all, one.
+    """
     groups = minhash.near_duplicates(docs, percent=80)
     kept = groups.filter("kept").select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows that share an id: one stays
-    return known.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    hashes = {n: fresh_name(docs.columns, n) for n in ("_text", "_all", "_first")}
+    rows = docs.withColumns({hashes["_text"]: F.xxhash64("text"), hashes["_all"]: F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])})
+    order = F.struct(hashes["_text"], hashes["_all"])
+    first = rows.groupBy("doc_id").agg(F.min(order).alias(hashes["_first"])).join(kept, "doc_id", "left_semi")
+    first = first.select("doc_id", f"{hashes['_first']}.*")
+    known = rows.join(first, ["doc_id", hashes["_text"], hashes["_all"]], "left_semi").dropDuplicates(["doc_id"])  # equal rows
+    return known.unionByName(rows.filter(F.col("doc_id").isNull())).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: the kept documents' ids in sequences of 1024 tokens."""
+    """Packing: the kept documents' ids in sequences of 1024 tokens.
+
+    Null and empty texts have the end id alone; repeated rows are packed each for itself; only id
+    and text are read.
+    """
     return packing.pack(docs.select("doc_id", "text"), public_path("byte_bpe_50k.json"), keep_ids=False)
 
 
