@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabflow.llm.common import fresh_name, once, slices, text_column
+from cabflow.llm.license_texts import TEXTS
 
-# Short notices and the usual headers of public licenses.
+# Short notices and the first words of public licenses; ``license_texts`` has whole wordings.
 TEMPLATES = {
+    **TEXTS,
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": (
@@ -59,7 +61,10 @@ TEMPLATES = {
         " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"
     ),
 }
-ANCHORS = ("licens", "rights reserved", "redistribut", "permission is", "creative commons")
+ANCHORS = (
+    "licens", "rights reserved", "redistribut", "permission is", "permission to use", "creative commons", "unencumbered software",
+    "merchantab", "express or implied warrant",
+)
 LEVEL = 3
 ALLOWED = 0.1
 GAP = r"[^\p{L}\p{N}_]+"  # Java's form of \W+

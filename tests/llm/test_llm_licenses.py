@@ -1,6 +1,7 @@
 """License scans: planted notices and near misses, against all windows and templates, and edge cases."""
 
 import random
+import re
 import textwrap
 
 from cabflow.llm import licenses
@@ -99,3 +100,44 @@ def test_many_notices_in_one_text():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     text = "\n".join(["All rights reserved."] * 2000 + ["x" * 50_000 + "licens" * 20_000])
     assert len(list(scanner.scan(text, licenses.ANCHORS))) == 2000
+
+
+def test_whole_texts_with_changed_words_against_all_windows():
+    """Every place of the text is tried for every template, by counting equal words; the scanner finds the same notices."""
+    rng = random.Random(8)
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    other = "some words that no license has between its lines or at its ends".split()
+
+    def brute(text, name):
+        """Least number of changed words over all windows of the template's length."""
+        own, wanted = [w for w, _, _ in licenses.words(text)], scanner.words[name]
+        n = len(wanted)
+        return min((sum(a != b for a, b in zip(own[i : i + n], wanted)) for i in range(len(own) - n + 1)), default=n)
+
+    whole = [n for n in licenses.TEMPLATES if n.endswith(("-text", "-notice"))]
+    assert len(whole) >= 14
+    looked = 0
+    for name in whole:
+        for share in (0.0, 0.05, 0.09, 0.2):
+            tokens = licenses.TEMPLATES[name].split()
+            for i in rng.sample(range(1, len(tokens) - 1), int(share * len(tokens))):
+                tokens[i] = rng.choice(other)
+            text = " ".join([*rng.choices(other, k=30), *tokens, *rng.choices(other, k=300)])
+            if not re.search(licenses.anchored(licenses.ANCHORS, r"\W+"), text.lower()):
+                continue  # all its anchors are among the changed words
+            looked += 1
+            changed = brute(text, name)
+            hits = [h[0] for h in scanner.scan(text, licenses.ANCHORS)]
+            if changed <= licenses.ALLOWED * len(scanner.words[name]):
+                better = min(whole, key=lambda n: brute(text, n) / len(scanner.words[n]))
+                assert name in hits or better in hits, (name, share, hits)
+            else:
+                assert name not in hits, (name, share, hits)
+    assert looked > 0.9 * 4 * len(whole)
+
+
+def test_the_wording_that_is_there_is_told_from_its_relatives():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, wording in licenses.TEMPLATES.items():
+        hits = [h[0] for h in scanner.scan(f"Copyright 2021 Someone\n\n{wording}\n\nint main;", licenses.ANCHORS)]
+        assert hits == [name], (name, hits)

@@ -23,6 +23,16 @@ def test_held_out_labels_are_predicted(spark):
     assert all(r.predicted == (r.score >= 0.3) for r in got.values())
 
 
+def test_both_labels_are_recalled_on_held_out_rows(spark):
+    """A classifier that keeps all documents, or drops all, is right on one label only."""
+    sf = "/root/testdata/sf0.1"
+    predicted = {r.doc_id: r.predicted for r in op2_quality(spark, sf).select("doc_id", "predicted").collect()}
+    held = [x for x in spark.read.parquet(f"{sf}/labels.parquet").collect() if zlib.crc32(str(x.doc_id).encode()) % 5 == 0]
+    for label in (0, 1):
+        own = [predicted[x.doc_id] == label for x in held if x.quality == label]
+        assert len(own) > 50 and np.mean(own) >= 0.95, label
+
+
 def test_labels_and_ids_are_no_inputs(spark):
     docs = spark.createDataFrame([(1, "same text\n"), (2, "same text\n"), (2, "same text\n")], "doc_id long, text string")
     model = quality.Model(np.zeros(quality.N_FEATURES), np.ones(quality.N_FEATURES), np.ones(quality.N_FEATURES), -3.0, 0.5)
