@@ -12,11 +12,12 @@ the size, until it ends; the likeness is then exact: shared over all digests.
 The fingerprint is the sketch of the smallest size, in base 64. All texts of a
 batch are sketched and peeled together, as arrays.
 
-Defined results: a null text is empty; texts without words are equal to each
+Defined results: a null text is empty, and texts of any length are read whole; texts without words are equal to each
 other, and share nothing with others; equal texts have equal fingerprints;
 repeated rows and rows that share an id stand next to each other, in the order
 of their text's hash; rows without an id come last; a single row is its own next
-document; an empty table gives an empty table.
+document; an empty table gives an empty table. Other columns pass through ``fingerprint``
+and ``compare_versions``, whatever their names; ``against_next`` reads id and text only.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import append, plus, slices, text_column, utf8
+from cabflow.llm.common import append, fresh_name, int_lists, plus, slices, text_column, utf8
 from cabflow.llm.ordered import BUCKET, EDGE, with_edges
 from cabflow.llm.shingles import mix, span_hashes, words
 
@@ -185,7 +186,8 @@ def picked(units: tuple[np.ndarray, np.ndarray], rows: np.ndarray) -> tuple[np.n
 
 
 def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
-    """``df`` with each whole text's fingerprint."""
+    """``df`` with each whole text's fingerprint; a name that is taken gets an underscore more."""
+    out = fresh_name(df.columns, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
@@ -195,7 +197,11 @@ def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
 
 
 def compare_versions(df: DataFrame, old: str, new: str) -> DataFrame:
-    """``df`` with ``removed`` and ``added`` paragraph digests (arrays of long) and ``likeness`` of two texts a row."""
+    """``df`` with ``removed`` and ``added`` paragraph digests (arrays of long) and ``likeness`` of two texts a row.
+
+    A name that is taken gets an underscore more.
+    """
+    names = [fresh_name(df.columns, n) for n in ("removed", "added", "likeness")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, old):
@@ -203,12 +209,14 @@ def compare_versions(df: DataFrame, old: str, new: str) -> DataFrame:
             pair, digests, signs = differences(a, b)
             lists = []
             for sign in (1, -1):
-                of = [digests[(pair == i) & (signs == sign)].astype(np.int64) for i in range(batch.num_rows)]
-                lists.append(pa.array([np.sort(x) for x in of], pa.list_(pa.int64())))
-            yield append(batch, ["removed", "added", "likeness"], [*lists, pa.array(likeness(a, b))])
-
-    longs = T.ArrayType(T.LongType())
-    fields = [T.StructField("removed", longs), T.StructField("added", longs), T.StructField("likeness", T.DoubleType())]
+                of, own = pair[signs == sign], digests[signs == sign].astype(np.int64)
+                order = np.lexsort((own, of))
+                bounds = np.searchsorted(of[order], np.arange(batch.num_rows + 1))
+                lists.append(int_lists(own[order], bounds, pa.int64()))
+            yield append(batch, names, [*lists, pa.array(likeness(a, b))])
+
+    kinds = [T.ArrayType(T.LongType()), T.ArrayType(T.LongType()), T.DoubleType()]
+    fields = [T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]
     return df.mapInArrow(run, plus(df.schema, *fields))
 
 

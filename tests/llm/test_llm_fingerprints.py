@@ -50,6 +50,19 @@ def test_an_edit_keeps_what_it_does_not_touch(spark):
     assert fp.compare_versions(df.limit(0), "old", "new").isEmpty()
 
 
+def test_differences_of_many_rows_and_taken_names(spark):
+    texts = corpus(120, 9)
+    rows = [(i, t, texts[(i * 7 + 1) % len(texts)], "a", "b") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "k int, old string, new string, added string, Likeness string")
+    out = fp.compare_versions(df, "old", "new")
+    assert out.columns == [*df.columns, "removed", "added_", "likeness_"]
+    for r in out.collect():
+        a, b = (sets_of(fp.paragraphs(pa.array([t])))[0] for t in (r.old, r.new))
+        signed = lambda s: sorted(int(np.uint64(x).astype(np.int64)) for x in s)
+        assert (r.removed, r["added_"], r.added) == (signed(a - b), signed(b - a), "a")
+    assert fp.fingerprint(df, "old", out="added").columns == [*df.columns, "added_"]
+
+
 def neighbours(rows):
     """(id, text, next text) in descending id, ties by the text's hash as Spark has it."""
     return [(i, t, rows[(k + 1) % len(rows)][1]) for k, (i, t) in enumerate(rows)]
