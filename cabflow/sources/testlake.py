@@ -6,13 +6,14 @@ Layout and drift follow the raw feeds: ``<root>/<feed>/<year>/
 ``Airport_fee`` in the third; ``VendorID`` is INT32 in the first year and INT64
 later; ``passenger_count`` is INT64, then DOUBLE, then INT64; the third year
 adds an unknown ``cbd_fee`` column. Spark writes each feed in one job per drift
-layout (first, second, third, later years), one file per month; the driver then
+layout (first, second, third, later years), all at once, one file per month; the driver then
 renames those few dozen files into place.
 """
 
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,23 +73,26 @@ def write_lake(spark: SparkSession, trips: DataFrame, root: str) -> str:
     root = root.rstrip("/")
     years = sorted(r.file_year for r in trips.select("file_year").distinct().collect())  # a handful of ints
     layouts = [(i, years[i : i + 1]) for i in range(min(3, len(years)))] + ([(3, years[3:])] if years[3:] else [])
-    for feed in FEEDS:
-        for i, span in layouts:
-            part = trips.filter((F.col("taxi_type") == feed) & F.col("file_year").isin(*span))
-            staging = f"{root}/_staging/{feed}-{i}"
-            # The raw format is one file per feed-month, and one file has one writer:
-            # each month goes to one task. This builds test fixtures from lineitem;
-            # the library itself only reads such lakes (split by maxPartitionBytes).
-            (
-                raw_projection(part, feed, i)
-                .repartition("_year", "_month")
-                .write.mode("overwrite")
-                .partitionBy("_year", "_month")
-                .parquet(staging)
-            )
-            for path in glob_paths(spark, f"{staging}/_year=*/_month=*/*.parquet"):
-                year, month = (path.split(f"/_{k}=")[1].split("/")[0] for k in ("year", "month"))
-                _move(spark, path, f"{root}/{feed}/{year}/{feed}_tripdata_{year}-{month}.parquet")
+
+    def write(feed: str, i: int, span: list[int]) -> None:
+        part = trips.filter((F.col("taxi_type") == feed) & F.col("file_year").isin(*span))
+        staging = f"{root}/_staging/{feed}-{i}"
+        # The raw format is one file per feed-month, and one file has one writer:
+        # each month goes to one task. This builds test fixtures from lineitem;
+        # the library itself only reads such lakes (split by maxPartitionBytes).
+        (
+            raw_projection(part, feed, i)
+            .repartition("_year", "_month")
+            .write.mode("overwrite")
+            .partitionBy("_year", "_month")
+            .parquet(staging)
+        )
+        for path in glob_paths(spark, f"{staging}/_year=*/_month=*/*.parquet"):
+            year, month = (path.split(f"/_{k}=")[1].split("/")[0] for k in ("year", "month"))
+            _move(spark, path, f"{root}/{feed}/{year}/{feed}_tripdata_{year}-{month}.parquet")
+
+    with ThreadPoolExecutor(len(FEEDS) * len(layouts)) as jobs:  # independent jobs of few tasks each
+        list(jobs.map(lambda a: write(*a), [(feed, *layout) for feed in FEEDS for layout in layouts]))
     return root
 
 
