@@ -134,3 +134,29 @@ def parquet_v2(spark: SparkSession):
             yield
         finally:
             spark.conf.set(key, old)
+
+
+_OPEN: dict[str, list] = {}  # by session: how many blocks are open, and the setting before the first
+_OPEN_LOCK = threading.Lock()
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, files: int = 64):
+    """Partitioned writes started inside the block need no sort by their partition columns.
+
+    A task keeps up to ``files`` files open and sorts only the rows of further ones. Without
+    this, every task sorts its whole share: the memory and spill of a task grow with its rows.
+    Blocks may overlap: the setting, which is the session's, is restored by the last to end.
+    """
+    key, session = "spark.sql.maxConcurrentOutputFileWriters", spark._jsparkSession.sessionUUID()
+    with _OPEN_LOCK:
+        held = _OPEN.setdefault(session, [0, spark.conf.get(key)])
+        held[0] += 1
+        spark.conf.set(key, str(files))
+    try:
+        yield
+    finally:
+        with _OPEN_LOCK:
+            held[0] -= 1
+            if not held[0]:
+                spark.conf.set(key, _OPEN.pop(session)[1])

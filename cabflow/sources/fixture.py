@@ -38,12 +38,21 @@ def lineitem_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(LINEITEM_SCHEMA).parquet(f"{sf_dir}/lineitem.parquet")
 
 
+def feed_of_line() -> Column:
+    """The feed of a lineitem row's trip."""
+    return F.when(F.col("l_returnflag") == "R", "green").otherwise("yellow")
+
+
 def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25-column canonical relation built from lineitem (no file I/O besides the scan)."""
-    li = lineitem_scope(spark, sf_dir)
+    return trips_of(lineitem_scope(spark, sf_dir))
+
+
+def trips_of(li: DataFrame) -> DataFrame:
+    """The trips of lineitem rows, row by row."""
     ok = F.col("l_orderkey")
     green = F.col("l_returnflag") == "R"
-    taxi = F.when(green, "green").otherwise("yellow")
+    taxi = feed_of_line()
 
     pickup_offset = (
         (F.col("l_partkey") % 1440) * 60

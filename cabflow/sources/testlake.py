@@ -7,7 +7,8 @@ Layout and drift follow the raw feeds: ``<root>/<feed>/<year>/
 later; ``passenger_count`` is INT64, then DOUBLE, then INT64; the third year
 adds an unknown ``cbd_fee`` column. Spark writes each feed in one job per drift
 layout (first, second, third, later years), all at once, one file per month; the driver then
-renames those few dozen files into place.
+renames those few dozen files into place. The narrow lineitem rows are shuffled, each month
+to a task of its own, and become trips there, without a sort.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.session import file_identity, glob_paths, work_dir
-from cabflow.sources.fixture import fixture_trips
+from cabflow.session import file_identity, glob_paths, unsorted_writes, work_dir
+from cabflow.sources.fixture import feed_of_line, lineitem_scope, trips_of
 from cabflow.sources.schema import FEEDS, SOURCE_NAMES
 
 
@@ -68,21 +69,30 @@ def _move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
-def write_lake(spark: SparkSession, trips: DataFrame, root: str) -> str:
-    """Write ``trips`` as the drifted raw lake under ``root``; returns ``root``."""
+def months_of(lineitem: DataFrame, feed: str, years: list[int]) -> DataFrame:
+    """Trips of one feed and these years, each month's in a partition of its own.
+
+    The lineitem rows are dealt, before they become trips: they are less than half as wide.
+    """
+    year, month = F.year("l_shipdate"), F.month("l_shipdate")
+    part = lineitem.filter((feed_of_line() == feed) & year.isin(*years))
+    at = (F.array_position(F.array(*[F.lit(y) for y in years]), year) - 1) * 12 + month - 1
+    return trips_of(part.repartitionById(12 * len(years), at.cast("int")))
+
+
+def write_lake(spark: SparkSession, lineitem: DataFrame, root: str) -> str:
+    """Write the trips of ``lineitem`` as the drifted raw lake under ``root``; returns ``root``."""
     root = root.rstrip("/")
-    years = sorted(r.file_year for r in trips.select("file_year").distinct().collect())  # a handful of ints
+    years = sorted(r.year for r in lineitem.select(F.year("l_shipdate").alias("year")).distinct().collect())  # a handful of ints
     layouts = [(i, years[i : i + 1]) for i in range(min(3, len(years)))] + ([(3, years[3:])] if years[3:] else [])
 
     def write(feed: str, i: int, span: list[int]) -> None:
-        part = trips.filter((F.col("taxi_type") == feed) & F.col("file_year").isin(*span))
         staging = f"{root}/_staging/{feed}-{i}"
         # The raw format is one file per feed-month, and one file has one writer:
         # each month goes to one task. This builds test fixtures from lineitem;
         # the library itself only reads such lakes (split by maxPartitionBytes).
         (
-            raw_projection(part, feed, i)
-            .repartition("_year", "_month")
+            raw_projection(months_of(lineitem, feed, span), feed, i)
             .write.mode("overwrite")
             .partitionBy("_year", "_month")
             .parquet(staging)
@@ -91,7 +101,7 @@ def write_lake(spark: SparkSession, trips: DataFrame, root: str) -> str:
             year, month = (path.split(f"/_{k}=")[1].split("/")[0] for k in ("year", "month"))
             _move(spark, path, f"{root}/{feed}/{year}/{feed}_tripdata_{year}-{month}.parquet")
 
-    with ThreadPoolExecutor(len(FEEDS) * len(layouts)) as jobs:  # independent jobs of few tasks each
+    with unsorted_writes(spark), ThreadPoolExecutor(len(FEEDS) * len(layouts)) as jobs:  # independent jobs of few tasks each
         list(jobs.map(lambda a: write(*a), [(feed, *layout) for feed in FEEDS for layout in layouts]))
     return root
 
@@ -115,6 +125,6 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> str:
     if ready:
         return ready[0].rsplit("/", 1)[0]
     root = f"{base}/{uuid.uuid4().hex}"
-    write_lake(spark, fixture_trips(spark, sf_dir), root)
+    write_lake(spark, lineitem_scope(spark, sf_dir), root)
     _write_marker(spark, f"{root}/_READY")
     return root
