@@ -10,7 +10,7 @@ removed there and arrives here.
 
 New files are read in batches of a bounded number with the schema-group reader
 (drift-tolerant), normalised, and written to a fresh folder, partitioned by
-(file_year, taxi_type, file_month, file_key). Then one commit publishes the next
+(file_year, taxi_type, file_month, file_key), without a sort. Then one commit publishes the next
 version. Nothing that a version names is ever written again or deleted while it
 can be read, so a reader sees whole versions only, before, during and after a
 run, and a run that dies is repeated from its last commit. Tombstones are
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabflow.operators.normalize import META_PATH, normalize_feed, union_feeds
+from cabflow.session import unsorted_writes
 from cabflow.sources.footers import LAKE_LAYOUT
 from cabflow.sources.lake import feed_files, file_facts, merge_compatible, read_raw_group
 from cabflow.sources.schema import CANONICAL_NAMES, FEEDS, canonical_schema
@@ -119,7 +120,9 @@ def _write_rows(spark: SparkSession, found: dict[str, str], feeds: dict[str, str
             if feeds[path] == feed:
                 exact.setdefault(signature, []).append(path)
         frames += [normalize_feed(read_raw_group(spark, ps, sig), feed, META_PATH) for sig, ps in merge_compatible(exact).items()]
-    union_feeds(frames).withColumn("file_key", _key(F.col("filename"))).write.partitionBy(*TABLE_PARTITIONS).parquet(folder)
+    rows = union_feeds(frames).withColumn("file_key", _key(F.col("filename")))
+    with unsorted_writes(spark):  # a task reads file after file, few in all, and each is a partition of the table
+        rows.write.partitionBy(*TABLE_PARTITIONS).parquet(folder)
 
 
 def _stage(spark: SparkSession, changes: list, table: str) -> list[tuple]:
